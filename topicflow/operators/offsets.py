@@ -40,9 +40,10 @@ def committed_offsets(consumed: DataFrame) -> DataFrame:
 def offsets_for_times(log: DataFrame, t) -> DataFrame:
     """L2: per partition, the first offset whose timestamp is at or after
     ``t`` (null when there is none)."""
-    tt = _ts(t)
-    return log.groupBy(*TP).agg(F.min(F.when(F.col("timestamp") >= tt, F.col("offset")))
-                                .alias("offset"))
+    # the flag is a column of its own: ``t`` may be a scalar subquery, which
+    # Spark does not accept inside an aggregate's arguments
+    flagged = log.withColumn("__in", F.col("timestamp") >= _ts(t))
+    return flagged.groupBy(*TP).agg(F.min(F.when(F.col("__in"), F.col("offset"))).alias("offset"))
 
 
 def offsets_before(log: DataFrame, t=None) -> DataFrame:
@@ -51,9 +52,9 @@ def offsets_before(log: DataFrame, t=None) -> DataFrame:
     ``t`` the partition's first offset is returned."""
     if t is None:
         return log.groupBy(*TP).agg((F.max("offset") + 1).alias("offset"))
-    tt = _ts(t)
-    return log.groupBy(*TP).agg(F.coalesce(
-        F.max(F.when(F.col("timestamp") < tt, F.col("offset"))) + 1,
+    flagged = log.withColumn("__before", F.col("timestamp") < _ts(t))
+    return flagged.groupBy(*TP).agg(F.coalesce(
+        F.max(F.when(F.col("__before"), F.col("offset"))) + 1,
         F.min("offset")).alias("offset"))
 
 

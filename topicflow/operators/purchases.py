@@ -13,7 +13,9 @@ from topicflow.operators.tables import order_user, order_user_item
 from topicflow.schemas import (ADULT_MAX_AGE, ADULT_MIN_AGE, TOP_ITEMS_ADVANCE_MS, TOP_ITEMS_K,
                                TOP_ITEMS_WINDOW_MS)
 
-ARRIVAL = ("transaction_date", "order_key", "line_number")
+# arrival order of the order stream; (order, line, item, quantity) is unique
+# in the driver data, and rows equal in all five are interchangeable
+ARRIVAL = ("transaction_date", "order_key", "line_number", "item_name", "quantity")
 
 
 def same_region_purchases(orders: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -71,7 +73,7 @@ def purchase_changelog(purchases: DataFrame, bucket_seconds: int = 86400) -> Dat
         {"order_count": F.lit(1).cast("long"),
          "item_count": F.col("quantity").cast("long"),
          "amount": F.col("quantity") * F.col("item_price")},
-    ).drop("quantity", "item_price")
+    ).drop("item_price")
 
 
 def adult_purchases(orders: DataFrame, users: DataFrame, items: DataFrame,
@@ -124,7 +126,6 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
              .groupBy("item_type", "item_name", "pane")
              .agg(F.sum("quantity").cast("long").alias("cnt"),
                   F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
-                  F.min(first_key).alias("first_key"),
                   F.min_by("item_price", first_key).alias("first_price")))
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
@@ -135,7 +136,10 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     per_window = (spread.withColumn("start", F.explode(F.sequence(s_from, s_to)))
                   .groupBy("item_type", "blk", "start", "item_name")
                   .agg(F.sum("cnt").alias("count"), F.sum("amt").alias("amount"),
-                       F.min_by("first_price", "first_key").alias("price")))
+                       # panes are disjoint in time: the window's first order
+                       # is in its earliest pane (a long key keeps this a
+                       # hash aggregate)
+                       F.min_by("first_price", "pane").alias("price")))
     w = Window.partitionBy("item_type", "blk", "start").orderBy(F.col("amount").desc(),
                                                                  F.col("item_name"))
     ranked = per_window.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
