@@ -67,7 +67,7 @@ def purchase_changelog(purchases: DataFrame, bucket_seconds: int = 86400) -> Dat
     totals of its key (every intermediate value, in arrival order)."""
     p = purchases.withColumn("group_key", region_gender_key())
     return running_sums(
-        p.select("group_key", *ARRIVAL, "quantity", "item_price"),
+        p.select("group_key", *ARRIVAL, "item_price"),
         ["group_key"], [F.col(c) for c in ARRIVAL],
         F.floor(F.col("transaction_date") / F.lit(bucket_seconds * 1000)).cast("long"),
         {"order_count": F.lit(1).cast("long"),
@@ -102,17 +102,22 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     item's first order in the window, ``amount`` = sum of quantity*price,
     ``rank`` 1..k (ties: item name).
 
-    Plan (no 720-way Expand, no 720x shuffle):
-
-    1. pre-aggregate the stream to panes of ``advance_ms`` per (type, item):
-       partial aggregation, so a hot item costs one row per pane;
-    2. give each pane to the time blocks of window starts it belongs to
-       (``block_ms`` wide, 2-13 copies instead of one per window);
-    3. shuffle once by (type, block); then, inside each task, expand the
-       pane to its window starts within the block, aggregate per
-       (start, type, item) and rank per (start, type).  Both the aggregate
-       and the ranking window are satisfied by the (type, block) hash
-       partitioning, so Spark adds no further exchange."""
+    Plan — no 720-way Expand, no 720x shuffle, no per-window aggregation
+    where the window content does not change:
+
+    1. pre-aggregate the stream to panes of ``advance_ms`` per (type, item)
+       (partial aggregation: a hot item costs one row per pane and task);
+    2. hand each pane to the time blocks (``block_ms`` of window starts) it
+       reaches: at most ``size/block + 1`` small rows per pane;
+    3. shuffle once by (type, block).  Inside a block, the window starts
+       where some pane enters or leaves cut the block into segments of equal
+       content (at most one per window start, so the boundary list of a
+       block is bounded by ``block_ms/advance_ms + 1``);
+    4. aggregate and rank once per segment, then expand each ranked row to
+       the window starts of its segment.
+
+    Aggregate, boundary list, join and ranking window all follow the
+    (type, block) hash partitioning, so Spark adds no further exchange."""
     if size_ms % advance_ms:
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
@@ -130,23 +135,29 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
     spread = (panes.withColumn("blk", F.explode(blocks))
+              .withColumn("a", F.greatest(lo, F.col("blk") * BL))
+              .withColumn("b", F.least(F.col("pane"), F.col("blk") * BL + (BL - 1)))
               .repartition("item_type", "blk"))
-    s_from = F.greatest(lo, F.col("blk") * BL)
-    s_to = F.least(F.col("pane"), F.col("blk") * BL + (BL - 1))
-    per_window = (spread.withColumn("start", F.explode(F.sequence(s_from, s_to)))
-                  .groupBy("item_type", "blk", "start", "item_name")
-                  .agg(F.sum("cnt").alias("count"), F.sum("amt").alias("amount"),
-                       # panes are disjoint in time: the window's first order
-                       # is in its earliest pane (a long key keeps this a
-                       # hash aggregate)
-                       F.min_by("first_price", "pane").alias("price")))
-    w = Window.partitionBy("item_type", "blk", "start").orderBy(F.col("amount").desc(),
-                                                                 F.col("item_name"))
-    ranked = per_window.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select((F.col("start") * advance_ms).alias("window_start"),
-                         (F.col("start") * advance_ms + size_ms).alias("window_end"),
-                         "item_type", "item_name", F.col("count").cast("long").alias("count"),
-                         "price", "amount", F.col("rank").cast("int").alias("rank"))
+    # segment boundaries of each block: every a and b+1 (<= BL+1 values);
+    # a window over the block (same partitioning, no second pass over input)
+    blk_w = Window.partitionBy("item_type", "blk")
+    bnd = F.array_sort(F.array_distinct(F.flatten(
+        F.collect_set(F.array(F.col("a"), F.col("b") + 1)).over(blk_w))))
+    segs = (spread.withColumn("bnd", bnd)
+            .withColumn("seg", F.explode(F.filter("bnd", lambda x: (x >= F.col("a")) & (x <= F.col("b")))))
+            .withColumn("seg_end", F.element_at("bnd", F.array_position("bnd", F.col("seg")).cast("int") + 1)))
+    per_seg = (segs.groupBy("item_type", "blk", "seg", "seg_end", "item_name")
+               .agg(F.sum("cnt").alias("count"), F.sum("amt").alias("amount"),
+                    # panes are disjoint in time: the window's first order is
+                    # in its earliest pane (a long key keeps a hash aggregate)
+                    F.min_by("first_price", "pane").alias("price")))
+    w = Window.partitionBy("item_type", "blk", "seg").orderBy(F.col("amount").desc(), F.col("item_name"))
+    ranked = per_seg.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
+    return out.select((F.col("start") * advance_ms).alias("window_start"),
+                      (F.col("start") * advance_ms + size_ms).alias("window_end"),
+                      "item_type", "item_name", F.col("count").cast("long").alias("count"),
+                      "price", "amount", F.col("rank").cast("int").alias("rank"))
 
 
 def top_items_report(top: DataFrame, money_digits: int | None = None) -> DataFrame:
