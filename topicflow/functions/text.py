@@ -23,7 +23,8 @@ def parse_int_strict(c, what: str = "integer") -> Column:
     """F5 ``Integer.parseInt``: no blanks allowed; a bad value fails the whole
     job (``raise_error``), overflow fails through the ANSI cast."""
     c = _c(c)
-    return F.when(c.rlike(INT_PATTERN), c.cast("int")).otherwise(
+    return F.when(c.isNull(), F.lit(None).cast("int")).when(
+        c.rlike(INT_PATTERN), c.cast("int")).otherwise(
         F.raise_error(F.concat(F.lit(f"bad {what}: '"), F.coalesce(c, F.lit("null")),
                                F.lit("'"))).cast("int"))
 

@@ -22,32 +22,39 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def valid_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Non-blank lines split into exactly four fields (``f`` array)."""
-    return (lines.where(is_not_blank(F.col(value_col)))
-            .select("*", java_split(F.col(value_col), FIELD_SEP).alias("f"))
-            .where(F.size("f") == 4))
+    """Non-blank lines split into exactly four fields (``f`` array).
+
+    ``f`` is null for any other line and fields are read with ``get``:
+    Catalyst may evaluate the typed parse of a field together with (or, by
+    common-subexpression elimination, before) the field-count test, so
+    nothing here may fail on a line that is about to be dropped."""
+    v = F.col(value_col)
+    parts = java_split(v, FIELD_SEP)
+    f = F.when(is_not_blank(v) & (F.size(parts) == 4), parts)
+    return lines.select("*", f.alias("f")).where(F.col("f").isNotNull())
+
+
+def _f(i: int):
+    return F.get(F.col("f"), i)
 
 
 def parse_orders(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    f = F.col("f")
     return valid_fields(lines, value_col).select(
-        f[0].alias("user_name"), f[1].alias("item_name"),
-        parse_datetime_ms(f[2]).alias("transaction_date"),
-        parse_int_strict(f[3], "quantity").alias("quantity"))
+        _f(0).alias("user_name"), _f(1).alias("item_name"),
+        parse_datetime_ms(_f(2)).alias("transaction_date"),
+        parse_int_strict(_f(3), "quantity").alias("quantity"))
 
 
 def parse_users(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    f = F.col("f")
     return valid_fields(lines, value_col).select(
-        f[0].alias("name"), f[1].alias("address"), f[2].alias("gender"),
-        parse_int_strict(f[3], "age").alias("age"))
+        _f(0).alias("name"), _f(1).alias("address"), _f(2).alias("gender"),
+        parse_int_strict(_f(3), "age").alias("age"))
 
 
 def parse_items(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    f = F.col("f")
     return valid_fields(lines, value_col).select(
-        f[0].alias("item_name"), f[1].alias("address"), f[2].alias("type"),
-        parse_double(f[3]).alias("price"))
+        _f(0).alias("item_name"), _f(1).alias("address"), _f(2).alias("type"),
+        parse_double(_f(3)).alias("price"))
 
 
 PARSERS = {"order": parse_orders, "user": parse_users, "item": parse_items}
