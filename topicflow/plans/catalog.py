@@ -582,3 +582,34 @@ def q_ingest_items(spark, sf_dir):
     ls = i.select(F.concat(F.concat_ws(",", "item_name", "address", "type"), F.lit(", "),
                            F.col("price").cast("string"), F.lit(" ")).alias("value"))
     return lines.parse_items(ls)
+
+
+# ----------------------------------------------------------------- streaming
+def _register_streams():
+    from topicflow.streaming import jobs
+
+    def reg(name, fn, sql):
+        def run(spark, sf_dir):
+            ensure_conf(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        STREAM_QUERIES[name] = run
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+
+    reg("stream_lookup", jobs.stream_lookup, ORACLE_SQL["order_user"])
+    reg("stream_table_latest", jobs.stream_table_latest, ORACLE_SQL["table_latest"])
+    reg("stream_wordcount_total", jobs.stream_wordcount_total, ORACLE_SQL["wordcount_total"])
+    reg("stream_wordcount_tumbling", jobs.stream_wordcount_tumbling, ORACLE_SQL["wordcount_tumbling"])
+    reg("stream_flush_count", jobs.stream_flush_count, ORACLE_SQL["wordcount_flush"])
+    reg("stream_fanout", jobs.stream_fanout, ORACLE_SQL["purchase_by_region_gender"])
+    reg("stream_due_messages", jobs.stream_due_messages, V.with_(V.LOG) + """,
+h AS (SELECT *, 0 AS header_pos, CAST(floor(ev_value / 4) AS BIGINT) AS delay_seconds FROM log_t
+      WHERE topic = 'test' AND event_type IN ('click', 'view')
+      UNION ALL SELECT *, 1, CAST(floor(ev_value / 8) AS BIGINT) FROM log_t WHERE topic = 'test' AND event_type = 'view')
+SELECT topic, partition, "offset", key_s AS key, value_s AS value, timestamp, CAST(header_pos AS INTEGER) AS header_pos,
+       delay_seconds
+FROM h WHERE delay_seconds > 0""")
+
+
+_register_streams()

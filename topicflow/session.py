@@ -44,7 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.driver.memory", "16g")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**PLAN_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    conf = {**PLAN_CONF, **REQUIRED_CONF, **(extra or {})}
+    # tests only: a checkpoint folder of our own when none is configured
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="topicflow-ckpt-"))
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,17 +65,19 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset, as in local tests, a fresh folder under the system temp dir is
-    chosen and recorded in the session so every later call agrees.
-    """
+    Read from the session: ``spark.checkpoint.dir`` (set by the cluster), or
+    a checkpoint directory already set on the context.  Only when neither is
+    set, as in local tests, a fresh folder under the system temp dir is
+    chosen and set on the context, so every later call agrees."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="topicflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    d = spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    d = tempfile.mkdtemp(prefix="topicflow-ckpt-")
+    spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
