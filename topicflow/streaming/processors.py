@@ -1,7 +1,10 @@
 """Stateful processors for ``transformWithStateInPandas`` (ST4, ST5).
 
-Both work on Arrow batches of one key; per-row work is a few vectorised
-pandas operations, the state is O(pending flushes / deliveries) per key."""
+Both keep per key a list of pending entries, appended in bulk per
+micro-batch (one state call per key and batch, not per row), and one
+event-time timer at the earliest pending time.  When it fires, everything
+the watermark has passed is emitted at once, the rest is put back and the
+timer re-armed.  Per-row work is vectorised pandas."""
 
 from __future__ import annotations
 
@@ -10,108 +13,102 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
-from pyspark.sql.types import LongType, StructField, StructType
 
 FLUSH_OUT = "flush_time long, word string, count long"
 DUE_OUT = ("topic string, partition int, offset long, key string, value string, timestamp timestamp, "
            "header_pos int, delay_seconds long")
 
 
-class FlushCounter(StatefulProcessor):
-    """ST4: count words since the last flush; every ``interval_ms`` of event
-    time emit ``(flush_time, word, count)`` and delete the count.
+def _epoch_us(s: pd.Series) -> pd.Series:
+    return pd.to_datetime(s, utc=True).astype("int64") // 1000
 
-    State per word: map ``flush_time -> count`` (one entry per pending
-    flush); one event-time timer per pending flush.  Flush times are
-    epoch-aligned multiples of the interval."""
 
-    def __init__(self, interval_ms: int = 1000):
-        self.interval_ms = interval_ms
+class _PendingList(StatefulProcessor):
+    """Shared mechanics: ``pending`` list state, first column = due time."""
+
+    STATE_SCHEMA = ""
+    OUT_COLS: list[str] = []
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState(
-            "pending", StructType([StructField("flush_time", LongType())]),
-            StructType([StructField("count", LongType())]))
+        self.pending = handle.getListState("pending", self.STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
-        iv = self.interval_ms
-        parts = []
-        for pdf in rows:
-            ms = pd.to_datetime(pdf["timestamp"], utc=True).astype("int64") // 1_000_000
-            parts.append(((ms // iv) + 1) * iv)
-        if not parts:
-            return iter([])
-        counts = pd.concat(parts).value_counts()
-        for flush_time, n in counts.items():
-            k = (int(flush_time),)
-            prev = self.pending.getValue(k)[0] if self.pending.containsKey(k) else 0
-            if prev == 0:
-                self.handle.registerTimer(int(flush_time))
-            self.pending.updateValue(k, (prev + int(n),))
-        return iter([])
+    def _add(self, pdf: pd.DataFrame) -> None:
+        if len(pdf):
+            self.pending.appendList(list(pdf.itertuples(index=False, name=None)))
+            self.handle.registerTimer(int(pdf.iloc[:, 0].min()))
+
+    def _emit(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
+        raise NotImplementedError
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        k = (int(t),)
-        if not self.pending.containsKey(k):
-            return iter([])
-        n = self.pending.getValue(k)[0]
-        self.pending.removeKey(k)
-        yield pd.DataFrame({"flush_time": [t], "word": [key[0]], "count": [n]})
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        rows = list(self.pending.get()) if self.pending.exists() else []
+        if not rows:
+            return
+        cols = [f.strip().split(" ")[0] for f in self.STATE_SCHEMA.split(",")]
+        pdf = pd.DataFrame(rows, columns=cols)
+        due = pdf.iloc[:, 0] <= wm
+        rest = pdf[~due]
+        if len(rest):
+            self.pending.put(list(rest.itertuples(index=False, name=None)))
+            self.handle.registerTimer(int(rest.iloc[:, 0].min()))
+        else:
+            self.pending.clear()
+        if due.any():
+            yield self._emit(key, pdf[due])
 
     def close(self) -> None:
         pass
 
 
-class DelayedDelivery(StatefulProcessor):
+class FlushCounter(_PendingList):
+    """ST4: count words since the last flush; every ``interval_ms`` of event
+    time emit ``(flush_time, word, count)`` and forget the count.  Flush
+    times are epoch-aligned multiples of the interval."""
+
+    STATE_SCHEMA = "flush_time long, count long"
+
+    def __init__(self, interval_ms: int = 1000):
+        self.interval_ms = interval_ms
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
+        iv = self.interval_ms
+        parts = [((_epoch_us(p["timestamp"]) // 1000) // iv + 1) * iv for p in rows]
+        if parts:
+            vc = pd.concat(parts).value_counts()
+            self._add(pd.DataFrame({"flush_time": vc.index.astype("int64"),
+                                    "count": vc.values.astype("int64")}))
+        return iter([])
+
+    def _emit(self, key, pdf):
+        g = pdf.groupby("flush_time", as_index=False)["count"].sum()
+        return pd.DataFrame({"flush_time": g["flush_time"].astype("int64"), "word": key[0],
+                             "count": g["count"].astype("int64")})
+
+
+class DelayedDelivery(_PendingList):
     """ST5 (streaming): hold each (record, due header) until event time
     reaches ``timestamp + delay`` and deliver it then, once.  Unlike the
     polling consumer there is no look-back limit: a long delay is delivered
     late rather than never.  Input rows are already one per due header."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getMapState(
-            "pending",
-            StructType([StructField("offset", LongType()), StructField("header_pos", LongType()),
-                        StructField("partition", LongType())]),
-            StructType([StructField("due_ms", LongType()), StructField("ts_us", LongType()),
-                        StructField("delay_seconds", LongType())]))
-        self.payload = handle.getMapState(
-            "payload", StructType([StructField("offset", LongType()), StructField("partition", LongType())]),
-            "topic string, key string, value string")
+    STATE_SCHEMA = ("due_ms long, topic string, partition int, offset long, key string, value string, "
+                    "ts_us long, header_pos int, delay_seconds long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
-        for pdf in rows:
-            ts_us = pd.to_datetime(pdf["timestamp"], utc=True).astype("int64") // 1000
-            due = ts_us // 1000 + pdf["delay_seconds"].astype("int64") * 1000
-            for i in range(len(pdf)):
-                off, part = int(pdf["offset"].iat[i]), int(pdf["partition"].iat[i])
-                self.pending.updateValue((off, int(pdf["header_pos"].iat[i]), part),
-                                         (int(due.iat[i]), int(ts_us.iat[i]), int(pdf["delay_seconds"].iat[i])))
-                self.payload.updateValue((off, part), (pdf["topic"].iat[i], pdf["key"].iat[i], pdf["value"].iat[i]))
-                self.handle.registerTimer(int(due.iat[i]))
+        for p in rows:
+            ts_us = _epoch_us(p["timestamp"])
+            d = p["delay_seconds"].astype("int64")
+            self._add(pd.DataFrame({
+                "due_ms": ts_us // 1000 + d * 1000, "topic": p["topic"], "partition": p["partition"].astype("int32"),
+                "offset": p["offset"].astype("int64"), "key": p["key"], "value": p["value"], "ts_us": ts_us,
+                "header_pos": p["header_pos"].astype("int32"), "delay_seconds": d}))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        out, done = [], []
-        for (off, pos, part), (due, ts_us, d) in self.pending.iterator():
-            if due <= t:
-                topic, k, v = self.payload.getValue((off, part))
-                out.append((topic, part, off, k, v, pd.Timestamp(ts_us, unit="us"), pos, d))
-                done.append((off, pos, part))
-        for kk in done:
-            self.pending.removeKey(kk)
-        left = {(o, p) for (o, _, p), _ in self.pending.iterator()}
-        for off, _, part in done:
-            if (off, part) not in left and self.payload.containsKey((off, part)):
-                self.payload.removeKey((off, part))
-        if out:
-            yield pd.DataFrame(out, columns=["topic", "partition", "offset", "key", "value", "timestamp",
-                                             "header_pos", "delay_seconds"]).astype(
-                {"partition": "int32", "header_pos": "int32", "offset": "int64", "delay_seconds": "int64"})
-
-    def close(self) -> None:
-        pass
+    def _emit(self, key, pdf):
+        out = pdf.drop(columns=["due_ms"]).copy()
+        out["timestamp"] = pd.to_datetime(out.pop("ts_us"), unit="us", utc=True)
+        return out[["topic", "partition", "offset", "key", "value", "timestamp", "header_pos",
+                    "delay_seconds"]].astype({"partition": "int32", "header_pos": "int32",
+                                              "offset": "int64", "delay_seconds": "int64"})
