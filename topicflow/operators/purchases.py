@@ -118,20 +118,34 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
 
     Aggregate, boundary list, join and ranking window all follow the
     (type, block) hash partitioning, so Spark adds no further exchange."""
+    return top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k, block_ms)
+
+
+def pane_totals(purchases: DataFrame, advance_ms: int = TOP_ITEMS_ADVANCE_MS) -> DataFrame:
+    """W3 step 1: per (type, item, pane of ``advance_ms``): quantity, amount
+    and the price of the first order (arrival order)."""
+    first_key = F.struct(*[F.col(c) for c in ARRIVAL])
+    return (purchases
+            .select("item_type", "item_name", "quantity", "item_price", *ARRIVAL,
+                    F.floor(F.col("transaction_date") / F.lit(advance_ms)).cast("long").alias("pane"))
+            .groupBy("item_type", "item_name", "pane")
+            .agg(F.sum("quantity").cast("long").alias("cnt"),
+                 F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
+                 F.min_by("item_price", first_key).alias("first_price")))
+
+
+def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
+                         advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
+                         block_ms: int | None = None, starts: tuple | None = None) -> DataFrame:
+    """W3 steps 2-4 over pane totals (``item_type, item_name, pane, cnt, amt,
+    first_price``); ``starts=(lo, hi)`` keeps window starts in ``[lo, hi)``
+    pane units (used by the streaming form to finalise closed windows)."""
     if size_ms % advance_ms:
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
     if block_ms is None:
         block_ms = max(advance_ms, size_ms // 12)
     BL = max(1, block_ms // advance_ms)             # window starts per block
-    first_key = F.struct(*[F.col(c) for c in ARRIVAL])
-    panes = (purchases
-             .select("item_type", "item_name", "quantity", "item_price", *ARRIVAL,
-                     F.floor(F.col("transaction_date") / F.lit(advance_ms)).cast("long").alias("pane"))
-             .groupBy("item_type", "item_name", "pane")
-             .agg(F.sum("quantity").cast("long").alias("cnt"),
-                  F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
-                  F.min_by("item_price", first_key).alias("first_price")))
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
     spread = (panes.withColumn("blk", F.explode(blocks))
@@ -154,6 +168,8 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     w = Window.partitionBy("item_type", "blk", "seg").orderBy(F.col("amount").desc(), F.col("item_name"))
     ranked = per_seg.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
+    if starts is not None:
+        out = out.where((F.col("start") >= F.lit(starts[0])) & (F.col("start") < F.lit(starts[1])))
     return out.select((F.col("start") * advance_ms).alias("window_start"),
                       (F.col("start") * advance_ms + size_ms).alias("window_end"),
                       "item_type", "item_name", F.col("count").cast("long").alias("count"),

@@ -603,6 +603,7 @@ def _register_streams():
     reg("stream_wordcount_tumbling", jobs.stream_wordcount_tumbling, ORACLE_SQL["wordcount_tumbling"])
     reg("stream_flush_count", jobs.stream_flush_count, ORACLE_SQL["wordcount_flush"])
     reg("stream_fanout", jobs.stream_fanout, ORACLE_SQL["purchase_by_region_gender"])
+    reg("stream_top_items", jobs.stream_top_items, None)
     reg("stream_due_messages", jobs.stream_due_messages, V.with_(V.LOG) + """,
 h AS (SELECT *, 0 AS header_pos, CAST(floor(ev_value / 4) AS BIGINT) AS delay_seconds FROM log_t
       WHERE topic = 'test' AND event_type IN ('click', 'view')

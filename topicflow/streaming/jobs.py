@@ -157,3 +157,80 @@ def stream_due_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             DelayedDelivery(), DUE_OUT, "Append", "EventTime")
     out = run_bounded(spark, "due-messages", src, "timestamp", build, sentinel=eos)
     return read_result(spark, out).where(F.col("topic") == DELAY_TOPIC)
+
+
+def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TW3 + ST7: hourly top-10 items per type on a 5 s hop, incrementally.
+
+    Stage 1 is a streaming event-time aggregation to 5 s panes per
+    (type, item) — JVM state, bounded by the open panes — in append mode,
+    so each pane is emitted once, when the watermark (1 day retention) has
+    passed it.  In ``foreachBatch`` the closed panes are appended to a pane
+    table and exactly the windows that closed in this batch — end in
+    (previous frontier, new frontier], where the frontier is the newest
+    emitted pane end — are ranked from the pane table by the batch
+    algorithm.  Batch outputs are written under ``batch=<id>`` (idempotent
+    on retry).  Two end-of-stream records push the watermark past the last
+    real window."""
+    from topicflow.session import scratch_path
+    from topicflow.schemas import TOP_ITEMS_ADVANCE_MS as ADV, TOP_ITEMS_WINDOW_MS as SIZE
+
+    orders = driver.orders(spark, sf_dir)
+    users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
+    root = scratch_path(spark, "stream-top-items")
+    panes_path, out_path, front_path = f"{root}/panes", f"{root}/windows", f"{root}/frontier"
+    hi = orders.agg(F.max("transaction_date")).first()[0]
+    eos_user = "\u0000eos"
+    eos = spark.createDataFrame(
+        [(eos_user, "", hi + 30 * 86400000, 0, -1, 0), (eos_user, "", hi + 60 * 86400000, 0, -2, 0)],
+        orders.schema)
+    eos_users = spark.createDataFrame([(eos_user, "eos", None, 20)], users.schema)
+    eos_items = spark.createDataFrame([("", "eos", "\u0000eos", 0.0)], items.schema)
+    L = SIZE // ADV
+
+    def build(s):
+        p = purchases.adult_purchases(s, users.unionByName(eos_users), items.unionByName(eos_items))
+        first_key = F.struct(*[F.col(c) for c in purchases.ARRIVAL])
+        return (p.withColumn("ts", F.timestamp_millis("transaction_date"))
+                .withWatermark("ts", DEFAULT_RETENTION)
+                .groupBy(F.window("ts", f"{ADV} milliseconds").alias("w"), "item_type", "item_name")
+                .agg(F.sum("quantity").cast("long").alias("cnt"),
+                     F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
+                     F.min_by("item_price", first_key).alias("first_price"))
+                .select("item_type", "item_name",
+                        (F.unix_millis(F.col("w.start")) / ADV).cast("long").alias("pane"),
+                        "cnt", "amt", "first_price"))
+
+    def finalize(batch: DataFrame, batch_id: int):
+        # frontier of the batches before this one (a one-row table per batch)
+        try:
+            prev = (spark.read.parquet(front_path).where(F.col("batch") < batch_id)
+                    .agg(F.max("frontier")).first()[0]) or 0
+        except Exception:  # noqa: BLE001 - no batch has closed a pane yet
+            prev = 0
+        batch.write.mode("overwrite").parquet(f"{panes_path}/batch={batch_id}")
+        new = spark.read.parquet(f"{panes_path}/batch={batch_id}").agg(F.max("pane")).first()[0]
+        if new is None:
+            return
+        frontier = max(prev, new + 1)            # all panes below it are closed
+        spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
+            .parquet(f"{front_path}/batch={batch_id}")
+        lo_start, hi_start = max(prev - L + 1, 0), frontier - L + 1   # window ends in (prev, frontier]
+        if hi_start <= lo_start:
+            return
+        panes = spark.read.parquet(panes_path).where(
+            (F.col("pane") >= lo_start) & (F.col("pane") < frontier)).drop("batch")
+        top = purchases.top_items_from_panes(panes, SIZE, ADV, starts=(lo_start, hi_start))
+        top.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    inp, ckpt = f"{root}/input", f"{root}/checkpoint"
+    lo = orders.agg(F.min("transaction_date")).first()[0]
+    mid = (lo + hi) // 2
+    for part in (orders.where(F.col("transaction_date") <= mid),
+                 orders.where(F.col("transaction_date") > mid), eos):
+        part.write.mode("append").parquet(inp)
+        q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
+             .outputMode("append").option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).foreachBatch(finalize).start())
+        q.awaitTermination()
+    return spark.read.parquet(out_path).drop("batch").where(F.col("item_type") != "\u0000eos")
