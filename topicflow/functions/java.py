@@ -45,14 +45,17 @@ def hash_partition_abs(key, n: int, key_type: str = "string") -> Column:
 
 def java_split(c, regex: str) -> Column:
     """``String.split(regex)`` with limit 0: trailing empty strings are
-    removed, leading and inner ones kept; ``""`` gives ``[""]``."""
+    removed, leading and inner ones kept; ``""`` gives ``[""]``.
+
+    Trailing empties are exactly what a run of separator matches at the very
+    end of the text produces, so that run is cut off first (``\\z``: the
+    absolute end, unlike ``$``) and the rest is split keeping everything —
+    plain regex built-ins, no per-element lambda."""
     c = _c(c)
-    parts = F.split(c, regex, -1)
-    rev_non_empty = F.transform(F.reverse(parts), lambda x: x != F.lit(""))
-    p = F.array_position(rev_non_empty, True)          # 1-based, 0 if none
-    keep = F.when(p == 0, F.lit(0)).otherwise(F.size(parts) - p + 1)
-    return F.when(c == F.lit(""), F.array(F.lit(""))).otherwise(
-        F.slice(parts, F.lit(1), keep.cast("int")))
+    body = F.regexp_replace(c, f"(?:{regex})+\\z", "")
+    return (F.when(c == F.lit(""), F.array(F.lit("")))
+            .when(body == F.lit(""), F.array().cast("array<string>"))
+            .otherwise(F.split(body, regex, -1)))
 
 
 def split_words(c) -> Column:

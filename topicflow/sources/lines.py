@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicflow.functions.java import java_split
 from topicflow.functions.text import (is_not_blank, parse_datetime_ms, parse_double,
                                       parse_int_strict)
 
@@ -24,14 +23,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def valid_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Non-blank lines split into exactly four fields (``f`` array).
 
+    The split is ``java_split`` in steps: cut the trailing separators, split
+    keeping everything.  For a non-blank line the special cases of
+    ``java_split`` cannot give four fields, so they need no branch here.
+    Each step is its own column, so Catalyst computes every regex once.
+
     ``f`` is null for any other line and fields are read with ``get``:
     Catalyst may evaluate the typed parse of a field together with (or, by
     common-subexpression elimination, before) the field-count test, so
     nothing here may fail on a line that is about to be dropped."""
     v = F.col(value_col)
-    parts = java_split(v, FIELD_SEP)
-    f = F.when(is_not_blank(v) & (F.size(parts) == 4), parts)
-    return lines.select("*", f.alias("f")).where(F.col("f").isNotNull())
+    # only a line ending in a comma or blank can have trailing separators
+    ends_sep = F.substring(v, -1, 1).isin(",", " ", "\t", "\n", "\u000b", "\f", "\r")
+    body = F.when(ends_sep, F.regexp_replace(v, f"(?:{FIELD_SEP})+\\z", "")).otherwise(v)
+    d = (lines.withColumn("__body", body)
+         .withColumn("__parts", F.split(F.col("__body"), FIELD_SEP, -1)))
+    f = F.when(is_not_blank(v) & (F.size("__parts") == 4), F.col("__parts"))
+    return d.select(*lines.columns, f.alias("f")).where(F.col("f").isNotNull())
 
 
 def _f(i: int):
