@@ -50,3 +50,18 @@ def keyed_json_records(df: DataFrame, key_col: str, fields: dict, topic: str) ->
                      F.encode(F.col(key_col), "UTF-8").alias("key"),
                      F.encode(to_json_all_fields({k: F.col(v) for k, v in fields.items()}),
                               "UTF-8").alias("value"))
+
+
+def produce_tap(df: DataFrame, name: str = "produced") -> DataFrame:
+    """Pass records through unchanged while counting them (records,
+    key and value bytes) as a named observation, read after the action
+    from ``pyspark.sql.Observation`` or the streaming progress."""
+    return df.observe(name, F.count(F.lit(1)).alias("records"),
+                      F.sum(F.coalesce(F.octet_length("key"), F.lit(0))).alias("key_bytes"),
+                      F.sum(F.coalesce(F.octet_length("value"), F.lit(0))).alias("value_bytes"))
+
+
+def console_sink(df: DataFrame, checkpoint: str, truncate: bool = False):
+    """K4: print every record of a stream (console sink)."""
+    return (df.writeStream.format("console").option("truncate", str(truncate).lower())
+            .option("checkpointLocation", checkpoint))
