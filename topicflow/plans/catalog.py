@@ -164,9 +164,10 @@ def q_asof_lookup(spark, sf_dir):
     s = e.where(F.col("event_type").isin("click", "view", "purchase")).select(
         "event_id", F.col("user_id").cast("string").alias("key"),
         F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    chg = driver.changelog(spark, sf_dir).join(
-        e.where(F.col("event_type").isin("signup", "error")).select(F.col("event_id").alias("seq")),
-        "seq", "left_semi")
+    chg = e.where(F.col("event_type").isin("signup", "error")).select(
+        F.col("user_id").cast("string").alias("key"),
+        F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(F.col("props")).alias("value"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))
     return tables.asof_lookup(s, chg, key="key", ts="ts", seq="seq", value_cols=("value",))
 
 
@@ -585,12 +586,18 @@ def q_ingest_items(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- streaming
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _register_streams():
     from topicflow.streaming import jobs
 
     def reg(name, fn, sql):
         def run(spark, sf_dir):
             ensure_conf(spark)
+            # keyed state (transformWithState) runs on the RocksDB provider;
+            # it is recorded in each new checkpoint, so existing ones keep theirs
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         STREAM_QUERIES[name] = run
