@@ -68,19 +68,24 @@ def _timed_words_with_eos(spark, sf_dir):
     return tw, eos
 
 
+def windowed_word_counts(s: DataFrame, size: str = "5 seconds",
+                         retention: str = DEFAULT_RETENTION) -> DataFrame:
+    """TW1 + ST3 on a stream of ``value, timestamp`` records: tumbling counts
+    per word; records older than the watermark (newest time − retention)
+    are dropped as late, windows are emitted once the watermark passes."""
+    w = (s.withWatermark("timestamp", retention)
+         .select(F.col("timestamp"), F.explode(split_words(F.col("value"))).alias("word"))
+         .groupBy(F.window("timestamp", size).alias("w"), "word")
+         .agg(F.count(F.lit(1)).alias("count")))
+    return w.select(F.unix_millis(F.col("w.start")).alias("window_start"),
+                    F.unix_millis(F.col("w.end")).alias("window_end"), "word", "count")
+
+
 def stream_wordcount_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TW1 + ST3 + K1: 5 s tumbling word counts on record time with the
     default one-day retention as watermark, append mode to a file sink."""
     tw, eos = _timed_words_with_eos(spark, sf_dir)
-
-    def build(s):
-        w = (s.withWatermark("timestamp", DEFAULT_RETENTION)
-             .select(F.col("timestamp"), F.explode(split_words(F.col("value"))).alias("word"))
-             .groupBy(F.window("timestamp", "5 seconds").alias("w"), "word")
-             .agg(F.count(F.lit(1)).alias("count")))
-        return w.select(F.unix_millis(F.col("w.start")).alias("window_start"),
-                        F.unix_millis(F.col("w.end")).alias("window_end"), "word", "count")
-    out = run_bounded(spark, "wordcount-tumbling", tw, "timestamp", build, sentinel=eos)
+    out = run_bounded(spark, "wordcount-tumbling", tw, "timestamp", windowed_word_counts, sentinel=eos)
     return read_result(spark, out).where(F.col("word") != EOS_WORD)
 
 
@@ -124,7 +129,14 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.where(part).write.mode("append").parquet(inp)
         q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
              .option("checkpointLocation", ckpt).trigger(availableNow=True).foreachBatch(fan_out).start())
+        # A second consumer group — its own checkpoint, so it reads every
+        # record again (multicast); inside one query the tasks share the
+        # input partitions (unicast)
+        q2 = (spark.readStream.schema(orders.schema).parquet(inp).writeStream
+              .option("checkpointLocation", f"{root}/checkpoint-group2").trigger(availableNow=True)
+              .format("parquet").option("path", f"{root}/group2").start())
         q.awaitTermination()
+        q2.awaitTermination()
     t = spark.read.parquet(f"{root}/totals")
     return (t.groupBy("address", "gender")
             .agg(F.sum("order_count").alias("order_count"), F.sum("item_count").alias("item_count"),
