@@ -30,35 +30,45 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(F.unix_seconds(c) / F.lit(seconds)).cast("long")
 
 
+def _two_level(df: DataFrame, keys: Sequence[str], order_cols: Sequence, bucket: Column,
+               values: dict[str, Column], counting: bool) -> DataFrame:
+    """Shared plan: one shuffle of the rows by (keys, bucket); one window
+    operator gives the in-bucket running value and the bucket total; the
+    per-bucket totals (one row per bucket, taken from the same windowed
+    rows, so Spark reuses the shuffle) get an exclusive prefix per key and
+    are joined back on (keys, bucket), which the big side is already
+    partitioned by."""
+    d = df.withColumn(_B, bucket)
+    for n, c in values.items():
+        d = d.withColumn(f"__v_{n}", c)
+    wk = Window.partitionBy(*keys, _B).orderBy(*order_cols)
+    run = wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = [F.row_number().over(wk).alias("__rn")]
+    for n in values:
+        inner = F.row_number().over(wk) if counting else F.sum(f"__v_{n}").over(run)
+        total = F.count(F.lit(1)).over(whole) if counting else F.sum(f"__v_{n}").over(whole)
+        cols += [inner.alias(f"__in_{n}"), total.alias(f"__t_{n}")]
+    w = d.select("*", *cols)
+    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    base = (w.where(F.col("__rn") == 1)
+            .select(*keys, _B, *[F.sum(f"__t_{n}").over(wb).alias(f"__b_{n}") for n in values]))
+    out = w.join(base, [*keys, _B])
+    return out.select(*df.columns, *[
+        F.when(F.col(f"__b_{n}").isNull(), F.col(f"__in_{n}"))
+         .otherwise(F.col(f"__b_{n}") + F.col(f"__in_{n}")).alias(n) for n in values])
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
                 bucket: Column, name: str = "seq", start: int = 0) -> DataFrame:
     """Consecutive numbers ``start, start+1, ...`` per ``keys`` in
     ``order_cols`` order (a distributed ``zipWithIndex``)."""
-    d = df.withColumn(_B, bucket)
-    counts = d.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
-    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(*keys, _B, F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__base"))
-    wi = Window.partitionBy(*keys, _B).orderBy(*order_cols)
-    out = d.join(base, [*keys, _B])
-    return out.select(*df.columns,
-                      (F.col("__base") + F.row_number().over(wi) - 1 + F.lit(start))
-                      .cast("long").alias(name))
+    r = _two_level(df, keys, order_cols, bucket, {name: F.lit(1)}, counting=True)
+    return r.withColumn(name, (F.col(name) - 1 + F.lit(start)).cast("long"))
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
                  bucket: Column, values: dict[str, Column]) -> DataFrame:
     """Inclusive running sums of ``values`` per ``keys`` in ``order_cols``
     order; one output column per entry of ``values``."""
-    d = df.withColumn(_B, bucket)
-    for n, c in values.items():
-        d = d.withColumn(f"__v_{n}", c)
-    tot = d.groupBy(*keys, _B).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
-    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    base = tot.select(*keys, _B, *[F.sum(f"__t_{n}").over(wb).alias(f"__b_{n}") for n in values])
-    wi = (Window.partitionBy(*keys, _B).orderBy(*order_cols)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = d.join(base, [*keys, _B])
-    return out.select(*df.columns, *[
-        F.when(F.col(f"__b_{n}").isNull(), F.sum(f"__v_{n}").over(wi))
-         .otherwise(F.col(f"__b_{n}") + F.sum(f"__v_{n}").over(wi)).alias(n)
-        for n in values])
+    return _two_level(df, keys, order_cols, bucket, values, counting=False)

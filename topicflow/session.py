@@ -27,9 +27,12 @@ PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a dimension is broadcast only when its measured size is below this;
-    # everything larger goes sort-merge (see operators.tables.lookup_join).
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # broadcast only behind a size check: the planner's estimate keeps
+    # Spark's conservative 10 MB, AQE may broadcast up to 64 MB of *measured*
+    # shuffle output; anything larger stays a sort-merge join
+    # (see operators.tables.lookup_join).
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
