@@ -374,7 +374,7 @@ def q_partition_round_robin(spark, sf_dir):
 SELECT topic, partition, "offset", event_id FROM log_t""")
 def q_assign_offsets(spark, sf_dir):
     """M5: consecutive offsets per topic partition."""
-    return driver.log(spark, sf_dir).select("topic", "partition", "offset", "event_id")
+    return driver.placed_log(spark, sf_dir).select("topic", "partition", "offset", "event_id")
 
 
 # ------------------------------------------------------------- codec

@@ -107,14 +107,32 @@ def events_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"))
 
 
-def log(spark: SparkSession, sf_dir: str, n_partitions: int = TOPIC_PARTITIONS) -> DataFrame:
-    """The events topic log with the Spark-Kafka schema: hash-placed (M1) and
-    given consecutive offsets per partition in (timestamp, event id) order
-    (M5)."""
-    from topicflow.operators.partitioning import assign_partition, assign_offsets
+def placed_log(spark: SparkSession, sf_dir: str, n_partitions: int = TOPIC_PARTITIONS) -> DataFrame:
+    """The events as produced: hash-placed (M1) and given consecutive offsets
+    per partition in (timestamp, event id) order (M5), with ``event_id``."""
+    from topicflow.operators.partitioning import assign_offsets, assign_partition
     rows = events_log_rows(spark, sf_dir)
     placed = assign_partition(rows, n_partitions, key_col=F.decode(F.col("key"), "UTF-8"))
-    return assign_offsets(placed, order_cols=["timestamp", "event_id"])
+    return assign_offsets(placed, order_cols=["timestamp", "event_id"]).withColumn("timestampType", F.lit(0))
+
+
+_STORED_LOGS: dict[tuple, str] = {}
+
+
+def log(spark: SparkSession, sf_dir: str, n_partitions: int = TOPIC_PARTITIONS) -> DataFrame:
+    """The events topic log (Spark-Kafka schema) as consumers see it: a
+    stored table.  Written once per application into the shared checkpoint
+    folder, partitioned by topic and partition (so topic/partition filters
+    prune directories, and lineage is cut), then read back."""
+    from topicflow.session import scratch_path
+    from topicflow.sources.log import read_log, write_log
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_partitions)
+    path = _STORED_LOGS.get(key)
+    if path is None:
+        path = scratch_path(spark, "events-log")
+        write_log(placed_log(spark, sf_dir, n_partitions), path, mode="overwrite")
+        _STORED_LOGS[key] = path
+    return read_log(spark, path)
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
