@@ -66,3 +66,16 @@ def test_late_record_dropped(spark, tmp_path):
     step([("eos", t0 + dt.timedelta(days=30))])
     words = {r.word for r in spark.read.parquet(out).collect()}
     assert "late" not in words and {"a", "b", "ok"} <= words
+
+
+def test_stream_top_items_equals_batch(spark):
+    """ST7: the incremental top items equal the batch result (compared as an
+    exact per-(type, rank) digest plus a full-row checksum)."""
+    def digest(df):
+        h = F.xxhash64("window_start", "item_type", "item_name", "count", "rank",
+                       F.round(F.col("amount") * 100).cast("long"), F.round(F.col("price") * 100).cast("long"))
+        return {tuple(r) for r in df.groupBy("item_type", "rank")
+                .agg(F.count(F.lit(1)), F.sum("count"), F.sum(F.pmod(h, F.lit(1_000_000_007)))).collect()}
+    s = catalog.STREAM_QUERIES["stream_top_items"](spark, SMALL)
+    b = catalog.QUERIES["top_items_hopping"](spark, SMALL)
+    assert digest(s) == digest(b)
