@@ -12,7 +12,9 @@ from topicflow.functions.java import hash_partition_abs, hash_partition_mask
 from topicflow.operators.sequence import row_numbers, time_bucket
 from topicflow.schemas import TOPIC_PARTITIONS
 
-SEQ_BUCKET_SECONDS = 3600
+# time bucket of the distributed numbering: bounds one in-bucket window by
+# the arrival rate of a minute, while the per-bucket summary stays small
+SEQ_BUCKET_SECONDS = 60
 
 
 def _c(c) -> Column:

@@ -2,8 +2,9 @@
 
 A log partition, a user or a topic may hold a third of all rows, so a window
 ``partition by key order by time`` over the whole key would pull that share
-into one task.  Instead the rows are cut into time buckets (a monotone
-function of the leading sort column):
+into one task.  Instead the rows are cut into buckets — any column (a time
+bucket, or a struct of leading sort columns) that is monotone in the sort
+order:
 
 1. per (key, bucket) totals — a partial/final aggregate, combined map-side;
 2. an exclusive prefix over the buckets of each key — a window over the

@@ -96,7 +96,7 @@ def lookup_concat(stream: DataFrame, table: DataFrame, stream_key: str = "key",
 
 def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: str = "ts",
                 seq: str = "seq", value_cols: Sequence[str] = ("value",),
-                bucket_seconds: int = 86400) -> DataFrame:
+                bucket_seconds: int = 3600) -> DataFrame:
     """Event-time lookup.  Each stream row gets the value of the newest
     changelog row of its key with ``(ts, seq)`` not after its own time; on
     equal time the table row counts as earlier.  A tombstone (all values
@@ -104,11 +104,11 @@ def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: s
     replaced by the looked-up values, null on a miss or after a tombstone.
 
     Distributed in two levels, so that no key is ever gathered into one task:
-    (1) the newest table row per (key, day) — an aggregate, combined
-    map-side; (2) carry it forward over the days of a key — a window over
-    that per-day summary, whose size is bounded by the time span; (3) inside
-    each (key, day) a window over the stream and table rows of that day,
-    falling back to the carried row.  Stream rows travel through the plan as
+    (1) the newest table row per (key, time bucket, an hour by default) —
+    an aggregate, combined map-side; (2) carry it forward over the buckets
+    of a key — a window over that per-bucket summary, whose size is bounded
+    by the time span; (3) inside each (key, bucket) a window over the
+    stream and table rows of that bucket, falling back to the carried row.  Stream rows travel through the plan as
     one struct, so there is no self-join back to the stream."""
     B = "__day"
     tb = (changelog.where(F.col(key).isNotNull())
