@@ -83,3 +83,11 @@ def test_split_property(spark, strs):
     rows = df.select(split_words("v").alias("w"), java_split("v", ",").alias("c")).collect()
     assert [r.w for r in rows] == [py_split(s.lower()) if s.strip(" ") or s == "" else [] for s in strs]
     assert [r.c for r in rows] == [py_split(s, ",") for s in strs]
+
+
+def test_random_partition_range(spark):
+    from topicflow.operators.partitioning import random_partition
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    parts = [r.partition for r in random_partition(df, 3, seed=1).select("partition").collect()]
+    assert set(parts) == {0, 1, 2}
+    assert all(700 < parts.count(p) < 1300 for p in (0, 1, 2))

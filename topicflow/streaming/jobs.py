@@ -14,7 +14,7 @@ from topicflow.operators import purchases, tables
 from topicflow.schemas import DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS
 from topicflow.sources import driver
 from topicflow.streaming.processors import DUE_OUT, FLUSH_OUT, DelayedDelivery, FlushCounter
-from topicflow.streaming.runner import read_result, run_bounded
+from topicflow.streaming.runner import read_result, run_bounded, state_partitions
 
 EOS_WORD = "\u0000eos"
 
@@ -241,8 +241,9 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (orders.where(F.col("transaction_date") <= mid),
                  orders.where(F.col("transaction_date") > mid), eos):
         part.write.mode("append").parquet(inp)
-        q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
-             .outputMode("append").option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).foreachBatch(finalize).start())
-        q.awaitTermination()
+        with state_partitions(spark):
+            q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
+                 .outputMode("append").option("checkpointLocation", ckpt)
+                 .trigger(availableNow=True).foreachBatch(finalize).start())
+            q.awaitTermination()
     return spark.read.parquet(out_path).drop("batch").where(F.col("item_type") != "\u0000eos")

@@ -18,6 +18,7 @@ so idempotent) and the table is read back as the latest row per key.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -25,6 +26,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from topicflow.session import scratch_path
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession):
+    """Number of state-store partitions of a new stateful query.
+
+    It is fixed in the checkpoint at the first start, from
+    ``spark.sql.shuffle.partitions``.  When the application did not
+    configure that setting, Spark's default (200) is unrelated to the
+    cluster; use the cluster's parallelism instead (all cores, so it grows
+    with the executors).  An explicit setting is left alone."""
+    key = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.getConf().contains(key):
+        yield
+        return
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _bounds(df: DataFrame, order_col: str):
     r = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     return r["lo"], r["hi"]
@@ -74,10 +96,12 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
 
     for i in range(n_chunks):
         source.where(_chunk_filter(order_col, lo, hi, i, n_chunks)).write.mode("append").parquet(inp)
-        run_once()
+        with state_partitions(spark):
+            run_once()
     if sentinel is not None:
         sentinel.select(*schema.fieldNames()).write.mode("append").parquet(inp)
-        run_once()
+        with state_partitions(spark):
+            run_once()
     return out
 
 
