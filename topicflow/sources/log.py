@@ -65,3 +65,25 @@ def console_sink(df: DataFrame, checkpoint: str, truncate: bool = False):
     """K4: print every record of a stream (console sink)."""
     return (df.writeStream.format("console").option("truncate", str(truncate).lower())
             .option("checkpointLocation", checkpoint))
+
+
+def read_kafka(spark: SparkSession, bootstrap: str, topics, stream: bool = False,
+               starting: str = "earliest") -> DataFrame:
+    """S1/S4 on a broker: Spark's Kafka source gives exactly the log schema
+    used here, so every operator runs on it unchanged.  Needs the
+    spark-sql-kafka connector on the classpath (absent in this environment,
+    hence untested here)."""
+    opts = kafka_options(bootstrap, topics, starting)
+    r = spark.readStream if stream else spark.read
+    return r.format("kafka").options(**opts).load()
+
+
+def write_kafka(df: DataFrame, bootstrap: str, topic: str | None = None):
+    """K1 on a broker: ``key``/``value`` (and optional ``partition``,
+    ``headers``, ``topic``) columns go to Spark's Kafka sink.  Returns the
+    batch writer or, for a streaming frame, the stream writer."""
+    w = df.writeStream if df.isStreaming else df.write
+    w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+    if topic:
+        w = w.option("topic", topic)
+    return w
