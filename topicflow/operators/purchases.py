@@ -112,12 +112,13 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
 
     1. pre-aggregate the stream to panes of ``advance_ms`` per (type, item)
        (partial aggregation: a hot item costs one row per pane and task);
-    2. hand each pane to the time blocks (``block_ms`` of window starts) it
-       reaches: at most ``size/block + 1`` small rows per pane;
+    2. hand each pane to the time blocks (``block_ms`` of window starts,
+       one window length by default) it reaches: at most
+       ``size/block + 1`` (2) small rows per pane;
     3. shuffle once by (type, block).  Inside a block, the window starts
        where some pane enters or leaves cut the block into segments of equal
        content (at most one per window start, so the boundary list of a
-       block is bounded by ``block_ms/advance_ms + 1``);
+       block is bounded by ``block_ms/advance_ms + 1`` = 721);
     4. aggregate and rank once per segment, then expand each ranked row to
        the window starts of its segment.
 
@@ -149,7 +150,10 @@ def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
     if block_ms is None:
-        block_ms = max(advance_ms, size_ms // 12)
+        # one window length: a pane reaches at most 2 blocks.  Smaller blocks
+        # add copies and segments without shrinking a block's input much —
+        # every block needs the panes of one window length after it.
+        block_ms = size_ms
     BL = max(1, block_ms // advance_ms)             # window starts per block
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
