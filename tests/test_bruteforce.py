@@ -49,6 +49,12 @@ def test_top_items_vs_brute_force(spark):
     got = {(r.window_start, r.window_end, r.item_type, r.item_name, r["count"], r.price, round(r.amount, 4), r["rank"])
            for r in purchases.top_items_hopping(df).collect()}
     assert got == _top_brute(rows)
+    # a small k makes the per-salt cut and the merge matter
+    for salts in (1, 3):
+        top = purchases.top_items_from_panes(purchases.pane_totals(df), k=2, salts=salts)
+        got = {(r.window_start, r.window_end, r.item_type, r.item_name, r["count"], r.price, round(r.amount, 4),
+                r["rank"]) for r in top.collect()}
+        assert got == _top_brute(rows, k=2)
 
 
 def _ts(s):

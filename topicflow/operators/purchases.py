@@ -115,15 +115,17 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     2. hand each pane to the time blocks (``block_ms`` of window starts,
        one window length by default) it reaches: at most
        ``size/block + 1`` (2) small rows per pane;
-    3. shuffle once by (type, block).  Inside a block, the window starts
-       where some pane enters or leaves cut the block into segments of equal
-       content (at most one per window start, so the boundary list of a
-       block is bounded by ``block_ms/advance_ms + 1`` = 721);
-    4. aggregate and rank once per segment, then expand each ranked row to
-       the window starts of its segment.
-
-    Aggregate, boundary list, join and ranking window all follow the
-    (type, block) hash partitioning, so Spark adds no further exchange."""
+    3. shuffle once by (type, block, item salt).  Inside a group, the
+       window starts where some pane enters or leaves cut the block into
+       segments of equal content (at most one per window start, so the
+       boundary list is bounded by ``block_ms/advance_ms + 1`` = 721);
+    4. aggregate and rank once per segment, keep each salt's top k, merge
+       the salts per (type, block) (a second, small shuffle: at most
+       salts x k rows per segment), then expand each ranked row to the
+       window starts of its segment.
+
+    Aggregate, boundary list and ranking windows follow the shuffle's
+    partitioning, so Spark adds no further exchange."""
     return top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k, block_ms)
 
 
@@ -140,12 +142,41 @@ def pane_totals(purchases: DataFrame, advance_ms: int = TOP_ITEMS_ADVANCE_MS) ->
                  F.min_by("item_price", first_key).alias("first_price")))
 
 
+def _segments(rows: DataFrame, group: list[str], lo: str, hi: str) -> DataFrame:
+    """Cut each group's window starts into segments of constant content.
+
+    ``rows`` cover start ranges ``[lo, hi)``; the segment boundaries of a
+    group are all their ``lo`` and ``hi`` values (a window over the group,
+    so no second pass; the list is bounded by the block's starts + 1).  Each
+    row is repeated once per segment it covers, as ``seg``/``seg_end``."""
+    w = Window.partitionBy(*group)
+    bnd = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array(F.col(lo), F.col(hi))).over(w))))
+    return (rows.withColumn("__bnd", bnd)
+            .withColumn("seg", F.explode(F.filter("__bnd", lambda x: (x >= F.col(lo)) & (x < F.col(hi)))))
+            .withColumn("seg_end", F.element_at("__bnd", F.array_position("__bnd", F.col("seg")).cast("int") + 1))
+            .drop("__bnd"))
+
+
+def _top_k(rows: DataFrame, group: list[str], k: int) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(F.col("amount").desc(), F.col("item_name"))
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                          advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
-                         block_ms: int | None = None, starts: tuple | None = None) -> DataFrame:
+                         block_ms: int | None = None, starts: tuple | None = None,
+                         salts: int = 8) -> DataFrame:
     """W3 steps 2-4 over pane totals (``item_type, item_name, pane, cnt, amt,
     first_price``); ``starts=(lo, hi)`` keeps window starts in ``[lo, hi)``
-    pane units (used by the streaming form to finalise closed windows)."""
+    pane units (used by the streaming form to finalise closed windows).
+
+    Ranking is two-stage so that no task holds all items of a hot type:
+    stage A works per (type, block, item salt) and keeps each salt's top
+    ``k`` per segment; an item's window totals live in exactly one salt, so
+    the union of the salts' top ``k`` contains the true top ``k``.  Stage B
+    merges per (type, block) on the union of the salts' segment boundaries;
+    its input is at most ``salts * k`` rows per segment, whatever the number
+    of items."""
     if size_ms % advance_ms:
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
@@ -157,25 +188,23 @@ def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     BL = max(1, block_ms // advance_ms)             # window starts per block
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
+    stage_a = ["item_type", "blk", "salt"]
     spread = (panes.withColumn("blk", F.explode(blocks))
               .withColumn("a", F.greatest(lo, F.col("blk") * BL))
-              .withColumn("b", F.least(F.col("pane"), F.col("blk") * BL + (BL - 1)))
-              .repartition("item_type", "blk"))
-    # segment boundaries of each block: every a and b+1 (<= BL+1 values);
-    # a window over the block (same partitioning, no second pass over input)
-    blk_w = Window.partitionBy("item_type", "blk")
-    bnd = F.array_sort(F.array_distinct(F.flatten(
-        F.collect_set(F.array(F.col("a"), F.col("b") + 1)).over(blk_w))))
-    segs = (spread.withColumn("bnd", bnd)
-            .withColumn("seg", F.explode(F.filter("bnd", lambda x: (x >= F.col("a")) & (x <= F.col("b")))))
-            .withColumn("seg_end", F.element_at("bnd", F.array_position("bnd", F.col("seg")).cast("int") + 1)))
-    per_seg = (segs.groupBy("item_type", "blk", "seg", "seg_end", "item_name")
+              .withColumn("b1", F.least(F.col("pane"), F.col("blk") * BL + (BL - 1)) + 1)
+              .withColumn("salt", F.pmod(F.hash("item_name"), F.lit(salts)))
+              .repartition(*stage_a))
+    per_seg = (_segments(spread, stage_a, "a", "b1")
+               .groupBy(*stage_a, "seg", "seg_end", "item_name")
                .agg(F.sum("cnt").alias("count"), F.sum("amt").alias("amount"),
                     # panes are disjoint in time: the window's first order is
                     # in its earliest pane (a long key keeps a hash aggregate)
                     F.min_by("first_price", "pane").alias("price")))
-    w = Window.partitionBy("item_type", "blk", "seg").orderBy(F.col("amount").desc(), F.col("item_name"))
-    ranked = per_seg.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = _top_k(per_seg, [*stage_a, "seg"], k)
+    if salts > 1:
+        cand = (ranked.drop("rank").withColumnRenamed("seg", "s0").withColumnRenamed("seg_end", "s1")
+                .repartition("item_type", "blk"))
+        ranked = _top_k(_segments(cand, ["item_type", "blk"], "s0", "s1"), ["item_type", "blk", "seg"], k)
     out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
     if starts is not None:
         out = out.where((F.col("start") >= F.lit(starts[0])) & (F.col("start") < F.lit(starts[1])))
