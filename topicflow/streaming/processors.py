@@ -74,11 +74,13 @@ class FlushCounter(_PendingList):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues):
         iv = self.interval_ms
-        parts = [((_epoch_us(p["timestamp"]) // 1000) // iv + 1) * iv for p in rows]
-        if parts:
-            vc = pd.concat(parts).value_counts()
-            self._add(pd.DataFrame({"flush_time": vc.index.astype("int64"),
-                                    "count": vc.values.astype("int64")}))
+        acc = None      # counts per flush time: bounded by distinct flushes,
+        for p in rows:  # not by the key's rows in this micro-batch
+            vc = (((_epoch_us(p["timestamp"]) // 1000) // iv + 1) * iv).value_counts()
+            acc = vc if acc is None else acc.add(vc, fill_value=0)
+        if acc is not None:
+            self._add(pd.DataFrame({"flush_time": acc.index.astype("int64"),
+                                    "count": acc.values.astype("int64")}))
         return iter([])
 
     def _emit(self, key, pdf):
