@@ -100,7 +100,7 @@ def filter_adults(orders: DataFrame, users: DataFrame,
 
 def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                       advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
-                      block_ms: int | None = None) -> DataFrame:
+                      block_ms: int | None = None, money_digits: int | None = None) -> DataFrame:
     """Per hopping window (``size_ms`` every ``advance_ms``, epoch
     aligned, ``[start, end)``, starts >= 0) and item type, the top ``k``
     items by amount: ``count`` = quantity sum, ``price`` = price of the
@@ -126,7 +126,8 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
 
     Aggregate, boundary list and ranking windows follow the shuffle's
     partitioning, so Spark adds no further exchange."""
-    return top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k, block_ms)
+    return top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k, block_ms,
+                                money_digits=money_digits)
 
 
 def pane_totals(purchases: DataFrame, advance_ms: int = TOP_ITEMS_ADVANCE_MS) -> DataFrame:
@@ -165,7 +166,7 @@ def _top_k(rows: DataFrame, group: list[str], k: int) -> DataFrame:
 def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                          advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
                          block_ms: int | None = None, starts: tuple | None = None,
-                         salts: int = 8) -> DataFrame:
+                         salts: int = 8, money_digits: int | None = None) -> DataFrame:
     """W3 steps 2-4 over pane totals (``item_type, item_name, pane, cnt, amt,
     first_price``); ``starts=(lo, hi)`` keeps window starts in ``[lo, hi)``
     pane units (used by the streaming form to finalise closed windows).
@@ -176,7 +177,8 @@ def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     the union of the salts' top ``k`` contains the true top ``k``.  Stage B
     merges per (type, block) on the union of the salts' segment boundaries;
     its input is at most ``salts * k`` rows per segment, whatever the number
-    of items."""
+    of items.  ``money_digits`` rounds the printed amount (after ranking,
+    once per segment rather than once per window row)."""
     if size_ms % advance_ms:
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
@@ -205,6 +207,8 @@ def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
         cand = (ranked.drop("rank").withColumnRenamed("seg", "s0").withColumnRenamed("seg_end", "s1")
                 .repartition("item_type", "blk"))
         ranked = _top_k(_segments(cand, ["item_type", "blk"], "s0", "s1"), ["item_type", "blk", "seg"], k)
+    if money_digits is not None:
+        ranked = ranked.withColumn("amount", F.round("amount", money_digits))
     out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
     if starts is not None:
         out = out.where((F.col("start") >= F.lit(starts[0])) & (F.col("start") < F.lit(starts[1])))

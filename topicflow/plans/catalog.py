@@ -241,7 +241,7 @@ def q_top_items_digest(spark, sf_dir):
 def q_top_items_hopping(spark, sf_dir):
     """Users 18..35, 1 h windows every 5 s, top 10 items per type."""
     p = purchases.adult_purchases(*_inputs(spark, sf_dir))
-    return purchases.top_items_hopping(p).withColumn("amount", _cents("amount"))
+    return purchases.top_items_hopping(p, money_digits=2)
 
 
 TOP_ITEMS_REPORT_SQL = _TOP_SQL + """,
@@ -258,7 +258,7 @@ FROM top GROUP BY start, item_type"""
 def q_top_items_report(spark, sf_dir):
     """The printed top-10 block per (window, type)."""
     p = purchases.adult_purchases(*_inputs(spark, sf_dir))
-    return purchases.top_items_report(purchases.top_items_hopping(p), money_digits=2)
+    return purchases.top_items_report(purchases.top_items_hopping(p, money_digits=2))
 
 
 # --------------------------------------------------------------------- words

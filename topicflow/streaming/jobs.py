@@ -232,7 +232,7 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             return
         panes = spark.read.parquet(panes_path).where(
             (F.col("pane") >= lo_start) & (F.col("pane") < frontier)).drop("batch")
-        top = purchases.top_items_from_panes(panes, SIZE, ADV, starts=(lo_start, hi_start))
+        top = purchases.top_items_from_panes(panes, SIZE, ADV, starts=(lo_start, hi_start), money_digits=2)
         top.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     inp, ckpt = f"{root}/input", f"{root}/checkpoint"
