@@ -126,3 +126,30 @@ def test_null_gender_key_text(spark):
     rep = purchases.purchase_report(purchases.purchase_by_region_gender(p)).first()
     assert rep.line_underscore == "A,null_1_3_6.0"
     assert rep.group_key == "A,null"
+
+
+def test_top_items_report_fixture(fx_orders, fx_users, fx_items):
+    p = purchases.adult_purchases(fx_orders, fx_users, fx_items)
+    rep = purchases.top_items_report(p, money_digits=2)
+    assert rep.count() == 2892
+    r = rep.where((F.col("window_start") == 1478822400000) & (F.col("item_type") == "phone")).first()
+    assert r.report == "1478822400000,1478826000000,phone,iphone,14,5388.88,75444.32,1"
+    assert r.n_items == 1
+
+
+def test_top_items_report_vs_duckdb(spark):
+    """T3 on the small driver tables: per type, number of reports, items and
+    total text length equal the DuckDB oracle's."""
+    import duckdb
+    from conftest import SMALL
+    from topicflow.plans import catalog
+    from topicflow.sources.driver import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    exp = {tuple(r) for r in con.execute(
+        "SELECT item_type, COUNT(*), SUM(n_items), SUM(length(report)) FROM (" + catalog.TOP_ITEMS_REPORT_SQL +
+        ") GROUP BY item_type").fetchall()}
+    got = {tuple(r) for r in catalog.QUERIES["top_items_report"](spark, SMALL).groupBy("item_type").agg(
+        F.count(F.lit(1)), F.sum("n_items"), F.sum(F.length("report"))).collect()}
+    assert got == exp

@@ -166,7 +166,8 @@ def _top_k(rows: DataFrame, group: list[str], k: int) -> DataFrame:
 def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                          advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
                          block_ms: int | None = None, starts: tuple | None = None,
-                         salts: int = 8, money_digits: int | None = None) -> DataFrame:
+                         salts: int = 8, money_digits: int | None = None,
+                         segments_only: bool = False) -> DataFrame:
     """W3 steps 2-4 over pane totals (``item_type, item_name, pane, cnt, amt,
     first_price``); ``starts=(lo, hi)`` keeps window starts in ``[lo, hi)``
     pane units (used by the streaming form to finalise closed windows).
@@ -209,26 +210,43 @@ def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
         ranked = _top_k(_segments(cand, ["item_type", "blk"], "s0", "s1"), ["item_type", "blk", "seg"], k)
     if money_digits is not None:
         ranked = ranked.withColumn("amount", F.round("amount", money_digits))
-    out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
-    if starts is not None:
-        out = out.where((F.col("start") >= F.lit(starts[0])) & (F.col("start") < F.lit(starts[1])))
+    if segments_only:
+        return ranked
+    out = _expand_starts(ranked, starts)
     return out.select((F.col("start") * advance_ms).alias("window_start"),
                       (F.col("start") * advance_ms + size_ms).alias("window_end"),
                       "item_type", "item_name", F.col("count").cast("long").alias("count"),
                       "price", "amount", F.col("rank").cast("int").alias("rank"))
 
 
-def top_items_report(top: DataFrame, money_digits: int | None = None) -> DataFrame:
+def _expand_starts(ranked: DataFrame, starts: tuple | None = None) -> DataFrame:
+    out = ranked.withColumn("start", F.explode(F.sequence(F.col("seg"), F.col("seg_end") - 1)))
+    if starts is not None:
+        out = out.where((F.col("start") >= F.lit(starts[0])) & (F.col("start") < F.lit(starts[1])))
+    return out
+
+
+def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
+                     advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
+                     money_digits: int | None = None) -> DataFrame:
     """One text per (window, type): lines
     ``start,end,type,item,count,price,sum,rank`` in rank order, joined by
-    newlines.  Each group has at most k rows, so collecting it is bounded."""
-    amt = F.col("amount") if money_digits is None else F.round("amount", money_digits)
-    line = F.concat_ws(",", F.col("window_start").cast("string"), F.col("window_end").cast("string"),
-                       java_str(F.col("item_type")), java_str(F.col("item_name")),
-                       F.col("count").cast("string"), F.col("price").cast("string"),
-                       amt.cast("string"), F.col("rank").cast("string"))
-    g = (top.groupBy("window_start", "window_end", "item_type")
-         .agg(F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("line")))).alias("ls")))
-    return g.select("window_start", "window_end", "item_type",
-                    F.size("ls").alias("n_items"),
-                    F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("report"))
+    newlines.
+
+    Built per ranked segment (at most k rows, already co-partitioned, so
+    collecting them is bounded and needs no shuffle): the part of each line
+    after ``start,end`` is fixed within a segment, and the window bounds are
+    put in front while expanding the segment to its window starts."""
+    ranked = top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k,
+                                  money_digits=money_digits, segments_only=True)
+    tail = F.concat_ws(",", java_str(F.col("item_type")), java_str(F.col("item_name")),
+                       F.col("count").cast("long").cast("string"), F.col("price").cast("string"),
+                       F.col("amount").cast("string"), F.col("rank").cast("string"))
+    per_seg = (ranked.groupBy("item_type", "blk", "seg", "seg_end")
+               .agg(F.array_sort(F.collect_list(F.struct(F.col("rank"), tail.alias("t")))).alias("ls")))
+    out = _expand_starts(per_seg)
+    ws = (F.col("start") * advance_ms)
+    prefix = F.concat(ws.cast("string"), F.lit(","), (ws + size_ms).cast("string"), F.lit(","))
+    return out.select(ws.alias("window_start"), (ws + size_ms).alias("window_end"), "item_type",
+                      F.size("ls").alias("n_items"),
+                      F.array_join(F.transform("ls", lambda x: F.concat(prefix, x["t"])), "\n").alias("report"))

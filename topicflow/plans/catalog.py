@@ -258,7 +258,7 @@ FROM top GROUP BY start, item_type"""
 def q_top_items_report(spark, sf_dir):
     """The printed top-10 block per (window, type)."""
     p = purchases.adult_purchases(*_inputs(spark, sf_dir))
-    return purchases.top_items_report(purchases.top_items_hopping(p, money_digits=2))
+    return purchases.top_items_report(p, money_digits=2)
 
 
 # --------------------------------------------------------------------- words
