@@ -220,10 +220,16 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .agg(F.max("frontier")).first()[0]) or 0
         except Exception:  # noqa: BLE001 - no batch has closed a pane yet
             prev = 0
-        batch.write.mode("overwrite").parquet(f"{panes_path}/batch={batch_id}")
-        new = spark.read.parquet(f"{panes_path}/batch={batch_id}").agg(F.max("pane")).first()[0]
-        if new is None:
+        batch.persist()
+        new = batch.agg(F.max("pane")).first()[0]
+        if new is None:                          # no pane closed in this batch
+            batch.unpersist()
             return
+        # sorted by pane, so the pane-range filter of later batches skips row
+        # groups by their min/max statistics
+        (batch.sortWithinPartitions("pane").write.mode("overwrite")
+         .parquet(f"{panes_path}/batch={batch_id}"))
+        batch.unpersist()
         frontier = max(prev, new + 1)            # all panes below it are closed
         spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
             .parquet(f"{front_path}/batch={batch_id}")
