@@ -37,3 +37,27 @@ def test_item_price_trailing_blank_ok(spark):
 def test_users_fixture(fx_users):
     assert sorted((r.name, r.address, r.gender, r.age) for r in fx_users.collect())[0] == \
         ("Jack", "BJ", "male", 23)
+
+
+def _java_fields(line):
+    import re
+    if not line or not line.strip(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"):
+        return None
+    parts = re.split(r"\s*,\s*", line)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts if len(parts) == 4 else None
+
+
+def test_field_split_property(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    ls = ["".join(rnd.choice("ab ,\t") for _ in range(rnd.randint(0, 14))) for _ in range(400)]
+    ls += [" a , b ,c,d ", "a,b,c,d,\t", "a, ,b,c", "a,b,c,d, , "]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ls)], "i int, value string")
+    v = lines.valid_fields(df)
+    got = {r.i: [r.f0, r.f1, r.f2, r.f3] for r in
+           v.select("i", *[lines._f(j).alias(f"f{j}") for j in range(4)]).collect()}
+    exp = {i: f for i, x in enumerate(ls) if (f := _java_fields(x)) is not None}
+    assert got == exp

@@ -20,13 +20,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+# Java's \\s: the characters the separator regex absorbs around a comma
+_WS = " \t\n\u000b\f\r"
+
+
 def valid_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Non-blank lines split into exactly four fields (``f`` array).
 
-    The split is ``java_split`` in steps: cut the trailing separators, split
-    keeping everything.  For a non-blank line the special cases of
-    ``java_split`` cannot give four fields, so they need no branch here.
-    Each step is its own column, so Catalyst computes every regex once.
+    Splitting on ``\\s*,\\s*`` cuts at every comma (the blanks cannot span
+    one) and drops the blanks next to it.  So: cut trailing separators
+    (regex, only on lines that end in a comma or blank), split on the single
+    character (no regex per line), and trim the blanks that touched a comma
+    when a field is read (:func:`_f`): the first field keeps its leading
+    blanks, the last its trailing ones, as the regex split does.
 
     ``f`` is null for any other line and fields are read with ``get``:
     Catalyst may evaluate the typed parse of a field together with (or, by
@@ -34,16 +40,22 @@ def valid_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
     nothing here may fail on a line that is about to be dropped."""
     v = F.col(value_col)
     # only a line ending in a comma or blank can have trailing separators
-    ends_sep = F.substring(v, -1, 1).isin(",", " ", "\t", "\n", "\u000b", "\f", "\r")
+    ends_sep = F.substring(v, -1, 1).isin(",", *_WS)
     body = F.when(ends_sep, F.regexp_replace(v, f"(?:{FIELD_SEP})+\\z", "")).otherwise(v)
     d = (lines.withColumn("__body", body)
-         .withColumn("__parts", F.split(F.col("__body"), FIELD_SEP, -1)))
+         .withColumn("__parts", F.split(F.col("__body"), ",", -1)))
     f = F.when(is_not_blank(v) & (F.size("__parts") == 4), F.col("__parts"))
     return d.select(*lines.columns, f.alias("f")).where(F.col("f").isNotNull())
 
 
-def _f(i: int):
-    return F.get(F.col("f"), i)
+def _f(i: int, n: int = 4):
+    x = F.get(F.col("f"), i)
+    ws = F.lit(_WS)
+    if i == 0:
+        return F.rtrim(x, ws)
+    if i == n - 1:
+        return F.ltrim(x, ws)
+    return F.trim(x, ws)
 
 
 def parse_orders(lines: DataFrame, value_col: str = "value") -> DataFrame:
