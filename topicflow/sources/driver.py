@@ -155,4 +155,10 @@ def timed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    """Document texts (whole).  Tokenising is the heavy per-row work here, so
+    when the files give fewer input splits than the cluster has cores (a
+    single large row group, say) the texts are spread round-robin first; on
+    a large, well-split table this adds nothing."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    n = spark.sparkContext.defaultParallelism
+    return d.repartition(n) if d.rdd.getNumPartitions() < n else d
