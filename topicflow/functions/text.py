@@ -13,10 +13,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# fixed values (JDK): the characters Character.isWhitespace accepts — the
+# blanks of isNoneBlank: tab, line feed, vertical tab, form feed, carriage
+# return, the four information separators, space, and the Unicode space /
+# line / paragraph separators other than the no-break ones
+JAVA_WHITESPACE = ("\t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0020\u1680"
+                   "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a"
+                   "\u2028\u2029\u205f\u3000")
+
+
 def is_not_blank(c) -> Column:
-    """not null, not empty, not only whitespace."""
+    """not null, not empty, not only whitespace (``isNoneBlank``).  A
+    trim over the whitespace set, cheaper than a regex scan per line."""
     c = _c(c)
-    return c.isNotNull() & c.rlike(r"\S")
+    return c.isNotNull() & (F.trim(c, F.lit(JAVA_WHITESPACE)) != F.lit(""))
 
 
 def parse_int_strict(c, what: str = "integer") -> Column:
