@@ -4,9 +4,10 @@ the operators to whole tables, with DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import packing, tokencount
-from .common import table
+from . import langid, mixing, packing, quality, sharding, tokencount
+from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -19,13 +20,87 @@ def query(fn):
     return fn
 
 
+@query
+def op2_quality_classifier(spark, sf_dir):
+    """Quality score of every document; labels are learned where
+    crc32(doc_id) mod 3 is not 1."""
+    docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 3) == 1
+    model = quality.fit(spark, docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_differencing_shards(spark, sf_dir):
+    """All documents in 8 shards of near-equal bytes, equal texts together."""
+    return sharding.shards(spark, table(spark, sf_dir, "documents"), 8)
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     """Greedy longest-match token counts of every document."""
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+# The mixture of op6: three fifths of all tokens, at most two epochs.
+MIX_FRACTION, MIX_EPOCHS, MIX_SEED = (3, 5), 2, "mix-1"
+MIX_WEIGHTS = {"domain": {"domain0": 5, "domain1": 2, "domain2": 1, "domain3": 1},
+               "lang": {"en": 2, "de": 3, "es": 4}, "source": {"src0": 3, "src1": 2}}
+
+
+@query
+def op6_hierarchical_mixing(spark, sf_dir):
+    """Documents chosen for the target mixture, with their epoch."""
+    return (mixing.mix(spark, table(spark, sf_dir, "documents"), MIX_FRACTION, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED)
+            .select("doc_id", "domain", "lang", "source", "n_tokens", "epoch"))
+
+
+def _mix_sql() -> str:
+    def weight(level):
+        cases = " ".join(f"WHEN '{name}' THEN {w}" for name, w in MIX_WEIGHTS[level].items())
+        return f"CASE {level} {cases} ELSE 1 END"
+
+    def shared(level, parent, budgets):
+        over = f"PARTITION BY {parent} ORDER BY cap / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        return f"""
+{level}_n AS (SELECT {parent}, {level}, sum(cap) AS cap, {weight(level)} AS w FROM leaf GROUP BY {parent}, {level}),
+{level}_b AS (SELECT n.*, b.budget FROM {level}_n n JOIN {budgets} b USING ({parent})),
+{level}_f AS (SELECT *, cap * (sum(w) OVER (PARTITION BY {parent}) - coalesce(sum(w) OVER ({over}), 0))
+  <= (budget - coalesce(sum(cap) OVER ({over}), 0)) * w AS is_full FROM {level}_b),
+{level}_s AS (SELECT {parent}, {level}, CASE WHEN is_full THEN cap ELSE
+  ((budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY {parent})) * w)
+  // greatest(1, sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY {parent})) END AS budget FROM {level}_f)"""
+
+    num, den = MIX_FRACTION
+    return f"""
+WITH d AS (SELECT doc_id, 0 AS root, 'domain' || CAST(CAST('0x' || substr(md5(coalesce(source, '(none)')), 1, 4) AS INT) % 4 AS VARCHAR) AS domain,
+  coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS n_tokens FROM documents),
+leaf AS (SELECT root, domain, lang, source, sum(n_tokens) AS tokens, {MIX_EPOCHS} * sum(n_tokens) AS cap FROM d GROUP BY ALL),
+top AS (SELECT 0 AS root, least(sum(cap), sum(tokens) * {num} // {den}) AS budget FROM leaf),
+{shared('domain', 'root', 'top')}, {shared('lang', 'root, domain', 'domain_s')}, {shared('source', 'root, domain, lang', 'lang_s')},
+plan AS (SELECT l.*, least(s.budget // l.tokens, {MIX_EPOCHS}) AS whole, s.budget - l.tokens * least(s.budget // l.tokens, {MIX_EPOCHS}) AS rest
+  FROM leaf l JOIN source_s s USING (root, domain, lang, source)),
+c AS (SELECT d.*, whole, rest, md5(concat_ws(':', '{MIX_SEED}', CAST(CAST(whole AS INT) AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))) AS h
+  FROM d JOIN plan USING (root, domain, lang, source)),
+r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM c)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(e AS INTEGER) AS epoch FROM r, generate_series(0, {MIX_EPOCHS}) AS g(e)
+WHERE e < whole OR (e = whole AND upto <= rest)"""
+
+
+ORACLE_SQL["op6_hierarchical_mixing"] = _mix_sql()
+
+
 @query
 def op7_best_fit_packing(spark, sf_dir):
     """Every document packed into sequences of at most 2048 tokens."""
     return packing.packed_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    """Language of every document, learned where crc32(doc_id) mod 4 is
+    not 2."""
+    docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
+    return (langid.predict(docs, langid.fit(spark, docs, ~held_out))
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
