@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, sharding, tokencount
+from . import langid, linefreq, mixing, nearvectors, packing, quality, sharding, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -36,6 +36,36 @@ def op3_differencing_shards(spark, sf_dir):
     return sharding.shards(spark, table(spark, sf_dir, "documents"), 8)
 
 
+@query
+def op4_line_frequency_rules(spark, sf_dir):
+    """Base counts of every document and the verdict on its lines."""
+    return linefreq.line_rules(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op4_line_frequency_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '(null)') AS host, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS filled FROM d),
+w AS (SELECT doc_id, i, [words[i], words[i + 1], words[i + 2]] AS win FROM d, LATERAL (SELECT unnest(generate_series(1, len(words) - 2)) AS i)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM w) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id),
+l AS (SELECT doc_id, host, text, trim(line) AS line FROM (SELECT doc_id, host, text,
+  unnest(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\n]+', ' ', 'g'), chr(10))) AS line FROM d) WHERE trim(line) <> ''),
+freq AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM l GROUP BY host, line)
+  JOIN (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host) USING (host)
+  WHERE n >= {linefreq.LINE_MIN_DOCS} AND n * 100 >= texts * {linefreq.LINE_SHARE}),
+lw AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS line_words,
+  sum(CASE WHEN (host, line) IN (SELECT (host, line) FROM freq) THEN len(string_split(line, ' ')) ELSE 0 END) AS removed_words FROM l GROUP BY doc_id),
+b AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(filled) - len(list_distinct(filled)) AS n_dup_lines,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(line_words, 0) AS line_words, coalesce(removed_words, 0) AS removed_words
+  FROM d JOIN f USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN lw USING (doc_id)),
+e AS (SELECT *, n_words < {linefreq.MIN_WORDS} OR 100 * n_repeat_words > {linefreq.MAX_REPEATED} * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  CAST(line_words AS BIGINT) AS line_words, CAST(removed_words AS BIGINT) AS removed_words,
+  NOT base_failed AND NOT (line_words - removed_words) * 100 < line_words * {linefreq.LEAST_LEFT} AS kept FROM e"""
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     """Greedy longest-match token counts of every document."""
@@ -104,3 +134,9 @@ def op9_language_id(spark, sf_dir):
     docs, held_out = table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
     return (langid.predict(docs, langid.fit(spark, docs, ~held_out))
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
+@query
+def op10_pivot_permutation(spark, sf_dir):
+    """Near-duplicate classes and link counts of all vectors."""
+    return nearvectors.near_vectors(spark, table(spark, sf_dir, "embeddings"), 0.95)
