@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import langid, linefreq, mixing, nearvectors, packing, quality, sharding, tokencount
+from . import langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -140,3 +140,10 @@ def op9_language_id(spark, sf_dir):
 def op10_pivot_permutation(spark, sf_dir):
     """Near-duplicate classes and link counts of all vectors."""
     return nearvectors.near_vectors(spark, table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query
+def op1_suffix_tree(spark, sf_dir):
+    """Log probability of every document; learned where crc32(doc_id) mod 7
+    is not 2."""
+    return suffixtree.score(spark, table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
