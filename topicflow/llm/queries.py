@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
+from . import jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -147,3 +147,9 @@ def op1_suffix_tree(spark, sf_dir):
     """Log probability of every document; learned where crc32(doc_id) mod 7
     is not 2."""
     return suffixtree.score(spark, table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
+@query
+def op8_ngram_jaccard(spark, sf_dir):
+    """Near-duplicate components of all documents: word 5-grams, 0.75."""
+    return jaccard.near_texts(spark, table(spark, sf_dir, "documents"))
