@@ -3,18 +3,47 @@ mixing and packing stages.
 
 Each stage takes (spark, docs, sf_dir), where docs is what the stage before
 kept, and returns a DataFrame that is written as Parquet and read back as
-the next stage's docs.
+the next stage's docs.  All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from topicflow.llm.common import staged, table
-from topicflow.llm import packing
-from topicflow.llm.queries import WORD_BPE
+from topicflow.llm import jaccard, langid, mixing, packing, quality
+from topicflow.llm.common import crc_mod, staged, table
+from topicflow.llm.queries import MIX_EPOCHS, MIX_FRACTION, MIX_SEED, MIX_WEIGHTS, WORD_BPE
 
-import public_tokenizers
+# A document goes only where the models are sure: below these scores.
+LEAST_QUALITY = 0.1
+LEAST_LANGUAGE = 0.2
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose probability of good quality is below
+    LEAST_QUALITY; learned from the labels of two thirds of the ids."""
+    model = quality.fit(spark, docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    return quality.good(docs, model, LEAST_QUALITY)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of undetermined language or a score below
+    LEAST_LANGUAGE; learned from the languages of three quarters of the ids."""
+    model = langid.fit(spark, docs, crc_mod("doc_id", 4) != 2)
+    return langid.determined(docs, model, LEAST_LANGUAGE)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate component."""
+    return jaccard.one_of_each(spark, docs)
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The target mixture; a document of the second epoch comes twice."""
+    return mixing.mix(spark, docs, MIX_FRACTION, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +52,10 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
+    ("language ID", language_id),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("mixing sources to target weights", mixing_to_weights),
     ("best-fit packing", best_fit_packing),
 ]
 
