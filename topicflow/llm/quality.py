@@ -183,7 +183,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column,
     ids = known.where(share < F.lit(max(1, max_sample * parts // max(n, 1)))).select("doc_id", F.col("y").cast("int").alias("y"))
     # the sample is bounded, so it may be broadcast
     sample = staged(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-                    .join(F.broadcast(ids), "doc_id"), "quality-sample").repartition(4, "doc_id")
+                    .join(F.broadcast(ids), "doc_id"), "quality-sample").coalesce(4)
     index = index_vectors()
 
     def sums(batches):
