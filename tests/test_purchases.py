@@ -133,7 +133,7 @@ def test_top_items_report_fixture(fx_orders, fx_users, fx_items):
     rep = purchases.top_items_report(p, money_digits=2)
     assert rep.count() == 2892
     r = rep.where((F.col("window_start") == 1478822400000) & (F.col("item_type") == "phone")).first()
-    assert r.report == "1478822400000,1478826000000,phone,iphone,14,5388.88,75444.32,1"
+    assert r.report == "1478822400000,1478826000000,phone,iphone,14,5388.88,75444.32,1\n"
     assert r.n_items == 1
 
 

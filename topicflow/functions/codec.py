@@ -45,4 +45,4 @@ def header_long(value_col) -> Column:
     """header bytes -> ``Long.parseLong`` of the UTF-8 text; a value that
     does not parse gives null (the caller drops and counts it, Q6)."""
     s = F.decode(_c(value_col), "UTF-8")
-    return F.when(s.rlike(r"^[+-]?[0-9]{1,19}$"), s.try_cast("long"))
+    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("long"))

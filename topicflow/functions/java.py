@@ -11,12 +11,23 @@ def _c(c) -> Column:
 
 def java_hash(c) -> Column:
     """32-bit ``String.hashCode`` (F8): ``s[0]*31^(n-1) + ... + s[n-1]`` over
-    UTF-16 units, wrapping.  ``java.util.Objects.hashCode`` is called through
-    Spark's ``reflect``, i.e. the JVM computes it on the task; null stays null.
-    """
+    UTF-16 units, wrapping; null stays null.  A deterministic expression over
+    the code points (one above U+FFFF is two units), in 32 bits of a long, so
+    Catalyst can move filters past it."""
     c = _c(c)
-    h = F.call_function("reflect", F.lit("java.util.Objects"), F.lit("hashCode"), c)
-    return F.when(c.isNull(), F.lit(None).cast("int")).otherwise(h.cast("int"))
+    low = F.lit(0xFFFFFFFF)
+
+    def add(h, unit):
+        return (h * 31 + unit).bitwiseAND(low)
+
+    def step(h, ch):
+        p = F.ascii(ch).cast("long")
+        above = p - 0x10000
+        pair = add(add(h, F.lit(0xD800) + F.shiftright(above, 10)), F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF)))
+        return F.when(p < 0x10000, add(h, p)).otherwise(pair)
+
+    h = F.aggregate(F.filter(F.split(c, ""), lambda ch: ch != ""), F.lit(0).cast("long"), step)
+    return F.when(h >= 0x80000000, h - 0x100000000).otherwise(h).cast("int")
 
 
 def hash_partition_mask(key, n: int, key_type: str = "string") -> Column:

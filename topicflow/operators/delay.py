@@ -41,6 +41,6 @@ def due_messages(log: DataFrame, now_ms, lookback_s: int = DELAY_LOOKBACK_S,
     if observe_as:
         hx = hx.observe(observe_as, F.count(F.when(F.col("delay_seconds").isNull(), 1))
                         .alias("bad_headers"))
-    age_ms = now - F.unix_millis(F.col("timestamp"))
-    return (hx.where((F.col("delay_seconds") > 0) & (age_ms >= F.col("delay_seconds") * 1000))
-            .drop("h"))
+    # whole seconds of age: no product that a large delay could overflow
+    age_s = F.floor((now - F.unix_millis(F.col("timestamp"))) / F.lit(1000))
+    return hx.where((F.col("delay_seconds") > 0) & (age_s >= F.col("delay_seconds"))).drop("h")

@@ -43,8 +43,9 @@ def purchase_by_region_gender(purchases: DataFrame) -> DataFrame:
 
 
 def purchase_by_gender(purchases: DataFrame) -> DataFrame:
-    """W2 (A3): total amount per gender."""
-    return (purchases.groupBy("gender")
+    """W2 (A3): total amount per gender; a record with a null grouping key is
+    dropped."""
+    return (purchases.where(F.col("gender").isNotNull()).groupBy("gender")
             .agg(F.sum(F.col("quantity") * F.col("item_price")).alias("amount")))
 
 
@@ -230,8 +231,8 @@ def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                      advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
                      money_digits: int | None = None) -> DataFrame:
     """One text per (window, type): lines
-    ``start,end,type,item,count,price,sum,rank`` in rank order, joined by
-    newlines.
+    ``start,end,type,item,count,price,sum,rank`` in rank order, each followed
+    by a newline but the ``k``-th.
 
     Built per ranked segment (at most k rows, already co-partitioned, so
     collecting them is bounded and needs no shuffle): the part of each line
@@ -247,6 +248,7 @@ def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     out = _expand_starts(per_seg)
     ws = (F.col("start") * advance_ms)
     prefix = F.concat(ws.cast("string"), F.lit(","), (ws + size_ms).cast("string"), F.lit(","))
+    lines = F.array_join(F.transform("ls", lambda x: F.concat(prefix, x["t"])), "\n")
     return out.select(ws.alias("window_start"), (ws + size_ms).alias("window_end"), "item_type",
                       F.size("ls").alias("n_items"),
-                      F.array_join(F.transform("ls", lambda x: F.concat(prefix, x["t"])), "\n").alias("report"))
+                      F.concat(lines, F.when(F.size("ls") < k, F.lit("\n")).otherwise(F.lit(""))).alias("report"))

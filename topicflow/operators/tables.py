@@ -40,8 +40,8 @@ def table_latest(changelog: DataFrame, key: str = "key", order_cols: Sequence[st
 
 def lookup_join(stream: DataFrame, table: DataFrame, stream_key: str, table_key: str,
                 broadcast: bool | None = None) -> DataFrame:
-    """Left join of each stream row to the table row of its key.  Null
-    stream keys never match (they are skipped by the reference's join).
+    """Left join of each stream row to the table row of its key.  Rows with
+    a null stream key are skipped.
 
     Join strategy: by default none is forced.  The planner broadcasts the
     table only when its estimated size is under
@@ -50,7 +50,7 @@ def lookup_join(stream: DataFrame, table: DataFrame, stream_key: str, table_key:
     falls back to a sort-merge join instead of being shipped to every task.
     ``broadcast=True`` is for tables whose size is bounded by construction."""
     t = F.broadcast(table) if broadcast else table
-    return stream.join(t, stream[stream_key] == t[table_key], "left")
+    return stream.where(stream[stream_key].isNotNull()).join(t, stream[stream_key] == t[table_key], "left")
 
 
 def order_user(orders: DataFrame, users: DataFrame) -> DataFrame:
@@ -101,7 +101,8 @@ def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: s
     changelog row of its key with ``(ts, seq)`` not after its own time; on
     equal time the table row counts as earlier.  A tombstone (all values
     null) hides older values.  The stream's own ``value_cols`` (if any) are
-    replaced by the looked-up values, null on a miss or after a tombstone.
+    replaced by the looked-up values, null on a miss or after a tombstone.  Stream rows with a null
+    key are skipped.
 
     Distributed in two levels, so that no key is ever gathered into one task:
     (1) the newest table row per (key, time bucket, an hour by default) —
@@ -153,10 +154,7 @@ def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: s
            .select("__srow", F.coalesce("__hit", "__prev").alias("__r")))
     found = res.select(*[F.col(f"__srow.{c}").alias(c) for c in keep],
                        *[F.col(f"__r.__tv_{c}").alias(c) for c in value_cols])
-    vtypes = {c: changelog.schema[c].dataType for c in value_cols}
-    missing = stream.where(F.col(key).isNull()).select(
-        *keep, *[F.lit(None).cast(vtypes[c]).alias(c) for c in value_cols])
-    return found.unionByName(missing)
+    return found
 
 
 def extract_event_time(entity: Column, transaction_date: Column) -> Column:

@@ -61,7 +61,7 @@ def q_purchase_by_region_gender(spark, sf_dir):
 
 
 @register("purchase_by_gender", V.with_(V.ORDERS, V.USERS, V.ITEMS, V.ORDER_USER, V.OUI_W1) + """
-SELECT gender, ROUND(SUM(quantity * item_price), 2) AS amount FROM purchases GROUP BY gender""")
+SELECT gender, ROUND(SUM(quantity * item_price), 2) AS amount FROM purchases WHERE gender IS NOT NULL GROUP BY gender""")
 def q_purchase_by_gender(spark, sf_dir):
     """Amount per gender over the same-region purchases."""
     p = purchases.same_region_purchases(*_inputs(spark, sf_dir))
@@ -250,10 +250,24 @@ SELECT start * 5000 AS window_start, start * 5000 + 3600000 AS window_end, item_
        CAST(COUNT(*) AS INTEGER) AS n_items,
        string_agg(CAST(start * 5000 AS VARCHAR) || ',' || CAST(start * 5000 + 3600000 AS VARCHAR) || ',' ||
                   item_type || ',' || item_name || ',' || CAST(cnt AS VARCHAR) || ',' || CAST(price AS VARCHAR) || ',' ||
-                  CAST(ROUND(amount, 2) AS VARCHAR) || ',' || CAST(rank AS VARCHAR), chr(10) ORDER BY rank) AS report
+                  CAST(ROUND(amount, 2) AS VARCHAR) || ',' || CAST(rank AS VARCHAR), chr(10) ORDER BY rank)
+       || CASE WHEN COUNT(*) < 10 THEN chr(10) ELSE '' END AS report
 FROM top GROUP BY start, item_type"""
 
 
+@register("top_items_report_digest", """
+SELECT item_type, COUNT(*) AS reports, CAST(SUM(n_items) AS BIGINT) AS items, CAST(SUM(length(report)) AS BIGINT) AS chars,
+       CAST(SUM(CAST('0x' || substr(md5(report), 1, 8) AS BIGINT)) AS BIGINT) AS text_checksum
+FROM (""" + TOP_ITEMS_REPORT_SQL + """) GROUP BY item_type""")
+def q_top_items_report_digest(spark, sf_dir):
+    """T3 checked whole: per type the number of reports and items, their
+    characters and a checksum of every report's exact text."""
+    text = F.conv(F.substring(F.md5(F.col("report").cast("binary")), 1, 8), 16, 10).cast("long")
+    return (q_top_items_report(spark, sf_dir).groupBy("item_type")
+            .agg(F.count(F.lit(1)).alias("reports"), F.sum("n_items").cast("long").alias("items"),
+                 F.sum(F.length("report")).cast("long").alias("chars"), F.sum(text).cast("long").alias("text_checksum")))
+
+
 @register("top_items_report")
 def q_top_items_report(spark, sf_dir):
     """The printed top-10 block per (window, type)."""
@@ -586,18 +600,12 @@ def q_ingest_items(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- streaming
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def _register_streams():
     from topicflow.streaming import jobs
 
     def reg(name, fn, sql):
         def run(spark, sf_dir):
             ensure_conf(spark)
-            # keyed state (transformWithState) runs on the RocksDB provider;
-            # it is recorded in each new checkpoint, so existing ones keep theirs
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         STREAM_QUERIES[name] = run

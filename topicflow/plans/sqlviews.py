@@ -2,8 +2,9 @@
 :mod:`topicflow.sources.driver`; composed into the oracle queries."""
 
 ORDERS = """orders_s AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS user_name, CAST(l.l_partkey AS VARCHAR) AS item_name,
-         epoch_ms(o.o_orderdate) AS transaction_date, CAST(l.l_quantity AS INTEGER) AS quantity,
+  SELECT CASE WHEN (l.l_orderkey + l.l_linenumber) % 11 = 0 THEN 'X' ELSE '' END || CAST(o.o_custkey AS VARCHAR) AS user_name,
+         CASE WHEN (l.l_orderkey + l.l_linenumber) % 13 = 0 THEN 'X' ELSE '' END || CAST(l.l_partkey AS VARCHAR) AS item_name,
+         epoch_ms(o.o_orderdate) + (l.l_orderkey * 31 + l.l_linenumber * 7) % 360 * 5000 AS transaction_date, CAST(l.l_quantity AS INTEGER) AS quantity,
          l.l_orderkey AS order_key, l.l_linenumber AS line_number
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
@@ -11,12 +12,12 @@ USERS = """users_t AS (
   SELECT CAST(c_custkey AS VARCHAR) AS name, 'N' || CAST(c_nationkey AS VARCHAR) AS address,
          CASE WHEN c_nationkey = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS gender,
          CAST(15 + c_custkey % 30 AS INTEGER) AS age
-  FROM customer WHERE c_acctbal >= 0)"""
+  FROM customer)"""
 
 ITEMS = """items_t AS (
   SELECT CAST(p_partkey AS VARCHAR) AS item_name, 'N' || CAST(p_partkey % 25 AS VARCHAR) AS address,
          p_type AS type, p_retailprice AS price
-  FROM part WHERE p_size <= 47)"""
+  FROM part)"""
 
 ORDER_USER = """order_user AS (
   SELECT o.*, u.address AS user_address, u.gender AS gender, COALESCE(u.age, 0) AS age

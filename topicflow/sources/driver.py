@@ -17,7 +17,7 @@ so that the edge paths of the operators run on real rows:
   tombstones.
 * ``words``   := document texts (whole) and timed event words.
 
-The SQL twins of these views live in :mod:`topicflow.plans.oracle`.
+The SQL twins of these views live in :mod:`topicflow.plans.sqlviews`.
 """
 
 from __future__ import annotations
@@ -40,16 +40,25 @@ def ts_ms(c) -> "F.Column":
     return F.unix_millis(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp"))
 
 
+def _miss(share: int) -> "F.Column":
+    """Prefix that makes a key of one order line in ``share`` unknown."""
+    return F.when((F.col("l_orderkey") + F.col("l_linenumber")) % share == 0, F.lit("X")).otherwise(F.lit(""))
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order stream: ``user_name, item_name, transaction_date, quantity`` plus
-    ``order_key, line_number`` which fix the arrival order (the offset)."""
+    ``order_key, line_number`` which fix the arrival order (the offset).  One
+    line in 11 names a user and one in 13 an item that is in no table; times
+    lie within half an hour of the order's day, so windows hold several
+    panes."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                  "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .select(F.col("o_custkey").cast("string").alias("user_name"),
-                    F.col("l_partkey").cast("string").alias("item_name"),
-                    ts_ms("o_orderdate").alias("transaction_date"),
+            .select(F.concat(_miss(11), F.col("o_custkey").cast("string")).alias("user_name"),
+                    F.concat(_miss(13), F.col("l_partkey").cast("string")).alias("item_name"),
+                    (ts_ms("o_orderdate") + F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 7, F.lit(360)) * 5000)
+                    .alias("transaction_date"),
                     F.col("l_quantity").cast("int").alias("quantity"),
                     F.col("l_orderkey").alias("order_key"),
                     F.col("l_linenumber").alias("line_number")))
@@ -57,22 +66,20 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return (c.where(F.col("c_acctbal") >= 0)
-            .select(F.col("c_custkey").cast("string").alias("name"),
+    return c.select(F.col("c_custkey").cast("string").alias("name"),
                     F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("address"),
                     F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string"))
                      .when(F.col("c_custkey") % 2 == 0, F.lit("male"))
                      .otherwise(F.lit("female")).alias("gender"),
-                    (F.lit(15) + F.col("c_custkey") % 30).cast("int").alias("age")))
+                    (F.lit(15) + F.col("c_custkey") % 30).cast("int").alias("age"))
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return (p.where(F.col("p_size") <= 47)
-            .select(F.col("p_partkey").cast("string").alias("item_name"),
+    return p.select(F.col("p_partkey").cast("string").alias("item_name"),
                     F.concat(F.lit("N"), (F.col("p_partkey") % 25).cast("string")).alias("address"),
                     F.col("p_type").alias("type"),
-                    F.col("p_retailprice").alias("price")))
+                    F.col("p_retailprice").alias("price"))
 
 
 def events_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,10 +162,5 @@ def timed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document texts (whole).  Tokenising is the heavy per-row work here, so
-    when the files give fewer input splits than the cluster has cores (a
-    single large row group, say) the texts are spread round-robin first; on
-    a large, well-split table this adds nothing."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
-    n = spark.sparkContext.defaultParallelism
-    return d.repartition(n) if d.rdd.getNumPartitions() < n else d
+    """Document texts (whole)."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))

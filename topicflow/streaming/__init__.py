@@ -1 +1 @@
-"""Structured Streaming drivers and stateful processors."""
+"""Structured Streaming drivers."""

@@ -12,15 +12,12 @@ from topicflow.functions.codec import header_long
 from topicflow.functions.java import split_words
 from topicflow.operators import purchases, tables
 from topicflow.schemas import DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS
+from topicflow.session import scratch_path
 from topicflow.sources import driver
-from topicflow.streaming.processors import DUE_OUT, FLUSH_OUT, DelayedDelivery, FlushCounter
-from topicflow.streaming.runner import read_result, run_bounded, state_partitions
+from topicflow.streaming.runner import END, exists, read_result, run_bounded, without_end
 
-EOS_WORD = "\u0000eos"
-
-
-def _far_future(ts):
-    return ts + dt.timedelta(days=30)
+# the closing record of a finished topic lies this much after its last one
+CLOSE_AFTER = dt.timedelta(days=30)
 
 
 def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,20 +58,15 @@ def stream_wordcount_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, out, "update", ["word"])
 
 
-def _timed_words_with_eos(spark, sf_dir):
-    tw = driver.timed_words(spark, sf_dir)
-    hi = tw.agg(F.max("timestamp")).first()[0]
-    eos = spark.createDataFrame([(EOS_WORD, _far_future(hi), -1)], tw.schema)
-    return tw, eos
-
-
 def windowed_word_counts(s: DataFrame, size: str = "5 seconds",
                          retention: str = DEFAULT_RETENTION) -> DataFrame:
     """TW1 + ST3 on a stream of ``value, timestamp`` records: tumbling counts
     per word; records older than the watermark (newest time − retention)
     are dropped as late, windows are emitted once the watermark passes."""
-    w = (s.withWatermark("timestamp", retention)
-         .select(F.col("timestamp"), F.explode(split_words(F.col("value"))).alias("word"))
+    s = s.withWatermark("timestamp", retention)
+    if END in s.columns:
+        s = without_end(s, "timestamp")
+    w = (s.select(F.col("timestamp"), F.explode(split_words(F.col("value"))).alias("word"))
          .groupBy(F.window("timestamp", size).alias("w"), "word")
          .agg(F.count(F.lit(1)).alias("count")))
     return w.select(F.unix_millis(F.col("w.start")).alias("window_start"),
@@ -84,23 +76,27 @@ def windowed_word_counts(s: DataFrame, size: str = "5 seconds",
 def stream_wordcount_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TW1 + ST3 + K1: 5 s tumbling word counts on record time with the
     default one-day retention as watermark, append mode to a file sink."""
-    tw, eos = _timed_words_with_eos(spark, sf_dir)
-    out = run_bounded(spark, "wordcount-tumbling", tw, "timestamp", windowed_word_counts, sentinel=eos)
-    return read_result(spark, out).where(F.col("word") != EOS_WORD)
+    out = run_bounded(spark, "wordcount-tumbling", driver.timed_words(spark, sf_dir), "timestamp",
+                      windowed_word_counts, close_after=CLOSE_AFTER)
+    return read_result(spark, out)
 
 
-def stream_flush_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST4 + A8 + S3/K2: per-word counts in keyed state, emitted and reset
-    every second of event time by a timer (transformWithStateInPandas)."""
-    tw, eos = _timed_words_with_eos(spark, sf_dir)
+def flush_counts(s: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS, retention: str = DEFAULT_RETENTION) -> DataFrame:
+    """ST4: words counted since the last flush, emitted and reset every
+    interval of event time.  The counts between two flushes are those of one
+    tumbling window, so this is a windowed aggregate: combined map-side, JVM
+    state, and records that arrive out of order within the retention count."""
+    w = windowed_word_counts(s, f"{interval_ms} milliseconds", retention)
+    return w.select(F.col("window_end").alias("flush_time"), "word", "count")
 
-    def build(s):
-        words = (s.withWatermark("timestamp", "0 seconds")
-                 .select("timestamp", F.explode(split_words(F.col("value"))).alias("word")))
-        return words.groupBy("word").transformWithStateInPandas(
-            FlushCounter(FLUSH_INTERVAL_MS), FLUSH_OUT, "Append", "EventTime")
-    out = run_bounded(spark, "flush-count", tw, "timestamp", build, sentinel=eos)
-    return read_result(spark, out).where(F.col("word") != EOS_WORD)
+
+def stream_flush_count(spark: SparkSession, sf_dir: str, order_col: str = "timestamp", retention: str = DEFAULT_RETENTION) -> DataFrame:
+    """ST4 + A8 + S3/K2: per-word counts emitted and reset every second of
+    event time.  ``order_col`` is the order of arrival."""
+    out = run_bounded(spark, "flush-count", driver.timed_words(spark, sf_dir), order_col,
+                      lambda s: flush_counts(s, retention=retention),
+                      close_after=CLOSE_AFTER if order_col == "timestamp" else None)
+    return read_result(spark, out)
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +105,6 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     the totals (region x gender) summed over all batches."""
     orders = driver.orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
-    from topicflow.session import scratch_path
     root = scratch_path(spark, "stream-fanout")
 
     def build(s):
@@ -125,7 +120,8 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, ckpt = f"{root}/input", f"{root}/checkpoint"
     lo_hi = orders.agg(F.min("transaction_date"), F.max("transaction_date")).first()
     mid = (lo_hi[0] + lo_hi[1]) // 2
-    for part in (F.col("transaction_date") <= mid, F.col("transaction_date") > mid):
+    first = F.col("transaction_date").isNull() | (F.col("transaction_date") <= mid)
+    for part in (first, F.col("transaction_date") > mid):
         orders.where(part).write.mode("append").parquet(inp)
         q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
              .option("checkpointLocation", ckpt).trigger(availableNow=True).foreachBatch(fan_out).start())
@@ -143,32 +139,91 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.round(F.sum("amount"), 2).alias("amount")))
 
 
-def stream_due_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+class DelayedDelivery:
+    """ST5 (streaming): every (record, due header) is delivered once, as soon
+    as the newest record time seen reaches its time + delay.
+
+    A micro-batch delivers what of its own rows is due already (however late
+    they came) and what of the pending table has become due since the batch
+    before; the rest of its rows is added to the pending table, in folders
+    by hour of the due time, so that only the hours that pass are read.  No
+    look-back limit, no state per key; outputs are written under
+    ``batch=<id>`` and overwritten on retry."""
+
+    HOUR_MS = 3_600_000
+    OUT = ("topic", "partition", "offset", "key", "value", "timestamp", "header_pos", "delay_seconds")
+    SCHEMAS = {  # with the columns kept in folder names
+        "frontier": "frontier long, batch int",
+        "pending": "topic string, partition int, offset long, timestamp timestamp, key string, value string, "
+                   "header_pos int, delay_seconds long, due_ms long, batch int, hour long"}
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def _read(self, what: str, batch_id: int) -> DataFrame | None:
+        """The table as left by the batches before, None before the first."""
+        path = f"{self.root}/{what}"
+        if not exists(self.spark, path):
+            return None
+        return self.spark.read.schema(self.SCHEMAS[what]).parquet(path).where(F.col("batch") < batch_id)
+
+    def _frontier(self, batch_id: int) -> int | None:
+        seen = self._read("frontier", batch_id)
+        return seen and seen.agg(F.max("frontier")).first()[0]
+
+    def _pending(self, batch_id: int, above: int, upto: int | None) -> DataFrame | None:
+        rows = self._read("pending", batch_id)
+        if rows is None:
+            return None
+        rows = rows.where((F.col("hour") >= above // self.HOUR_MS) & (F.col("due_ms") > above))
+        if upto is not None:
+            rows = rows.where((F.col("hour") <= upto // self.HOUR_MS) & (F.col("due_ms") <= upto))
+        return rows
+
+    def deliver(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch of log records."""
+        batch.persist()
+        before = self._frontier(batch_id)
+        newest = batch.agg(F.max(F.unix_millis("timestamp"))).first()[0]
+        if newest is None:
+            batch.unpersist()
+            return
+        now = max(newest, newest if before is None else before)
+        heads = (batch.where(F.col("topic") == DELAY_TOPIC)
+                 .select("topic", "partition", "offset", "timestamp", F.decode("key", "UTF-8").alias("key"),
+                         F.decode("value", "UTF-8").alias("value"), F.posexplode("headers").alias("header_pos", "h"))
+                 .where(F.col("h.key") == DELAY_HEADER).withColumn("delay_seconds", header_long(F.col("h.value")))
+                 .where("delay_seconds > 0").drop("h"))
+        # a delay beyond the range of times stays pending for ever
+        due = F.coalesce(F.try_add(F.unix_millis("timestamp"), F.try_multiply("delay_seconds", F.lit(1000))), F.lit((1 << 63) - 1))
+        heads = heads.withColumn("due_ms", due).withColumn("hour", F.floor(F.col("due_ms") / self.HOUR_MS))
+        late = heads.where(F.col("due_ms") > now)
+        out = heads.where(F.col("due_ms") <= now)
+        waiting = None if before is None else self._pending(batch_id, before, now)
+        if waiting is not None:
+            out = out.select(*self.OUT).unionByName(waiting.select(*self.OUT))
+        out.select(*self.OUT).write.mode("overwrite").parquet(f"{self.root}/delivered/batch={batch_id}")
+        late.write.mode("overwrite").partitionBy("hour").parquet(f"{self.root}/pending/batch={batch_id}")
+        self.spark.createDataFrame([(now,)], "frontier long").write.mode("overwrite").parquet(f"{self.root}/frontier/batch={batch_id}")
+        batch.unpersist()
+
+    def result(self) -> DataFrame:
+        """All deliveries, with those the end of the topic leaves pending."""
+        last = (1 << 31) - 1
+        done = self.spark.read.parquet(f"{self.root}/delivered").select(*self.OUT)
+        return done.unionByName(self._pending(last, self._frontier(last), None).select(*self.OUT))
+
+
+def stream_due_messages(spark: SparkSession, sf_dir: str, order_col: str = "timestamp") -> DataFrame:
     """ST5 (streaming): every due header of topic test delivered once, when
-    event time reaches record time + delay (keyed state + event-time
-    timers).  A far-future end record flushes what is still pending."""
+    event time reaches record time + delay.  ``order_col`` is the order of
+    arrival."""
     log = driver.log(spark, sf_dir)
-    hi = log.agg(F.max("timestamp")).first()[0]
     src = log.select("key", "value", "topic", "partition", "offset", "timestamp", "headers")
-    eos = spark.createDataFrame([(None, None, "\u0000eos", 0, -1, _far_future(hi), [])], src.schema)
-
-    def build(s):
-        hx = (s.withWatermark("timestamp", "0 seconds")
-              .where(F.col("topic").isin(DELAY_TOPIC, "\u0000eos"))
-              .select("topic", "partition", "offset", "timestamp",
-                      F.coalesce(F.decode("key", "UTF-8"), F.lit("")).alias("key"),
-                      F.decode("value", "UTF-8").alias("value"),
-                      F.posexplode_outer("headers").alias("header_pos", "h"))
-              .withColumn("delay_seconds", header_long(F.col("h.value")))
-              .where(((F.col("h.key") == DELAY_HEADER) & (F.col("delay_seconds") > 0)) |
-                     (F.col("topic") == "\u0000eos"))
-              .withColumn("delay_seconds", F.coalesce("delay_seconds", F.lit(0)))
-              .withColumn("header_pos", F.coalesce("header_pos", F.lit(0)))
-              .drop("h"))
-        return hx.groupBy("key").transformWithStateInPandas(
-            DelayedDelivery(), DUE_OUT, "Append", "EventTime")
-    out = run_bounded(spark, "due-messages", src, "timestamp", build, sentinel=eos)
-    return read_result(spark, out).where(F.col("topic") == DELAY_TOPIC)
+    root = scratch_path(spark, "stream-due-messages")
+    delivery = DelayedDelivery(spark, root)
+    run_bounded(spark, "due-messages", src, order_col, lambda s: s, root=root, foreach=delivery.deliver)
+    return delivery.result()
 
 
 def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,30 +237,21 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     (previous frontier, new frontier], where the frontier is the newest
     emitted pane end — are ranked from the pane table by the batch
     algorithm.  Batch outputs are written under ``batch=<id>`` (idempotent
-    on retry).  Two end-of-stream records push the watermark past the last
-    real window."""
-    from topicflow.session import scratch_path
+    on retry).  A closing record pushes the watermark past the last pane;
+    the windows that end after the last pane are ranked when the topic ends."""
     from topicflow.schemas import TOP_ITEMS_ADVANCE_MS as ADV, TOP_ITEMS_WINDOW_MS as SIZE
 
     orders = driver.orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
     root = scratch_path(spark, "stream-top-items")
     panes_path, out_path, front_path = f"{root}/panes", f"{root}/windows", f"{root}/frontier"
-    hi = orders.agg(F.max("transaction_date")).first()[0]
-    eos_user = "\u0000eos"
-    eos = spark.createDataFrame(
-        [(eos_user, "", hi + 30 * 86400000, 0, -1, 0), (eos_user, "", hi + 60 * 86400000, 0, -2, 0)],
-        orders.schema)
-    eos_users = spark.createDataFrame([(eos_user, "eos", None, 20)], users.schema)
-    eos_items = spark.createDataFrame([("", "eos", "\u0000eos", 0.0)], items.schema)
     L = SIZE // ADV
 
     def build(s):
-        p = purchases.adult_purchases(s, users.unionByName(eos_users), items.unionByName(eos_items))
+        s = s.withColumn("ts", F.timestamp_millis("transaction_date")).withWatermark("ts", DEFAULT_RETENTION)
+        p = purchases.adult_purchases(without_end(s, "ts"), users, items)
         first_key = F.struct(*[F.col(c) for c in purchases.ARRIVAL])
-        return (p.withColumn("ts", F.timestamp_millis("transaction_date"))
-                .withWatermark("ts", DEFAULT_RETENTION)
-                .groupBy(F.window("ts", f"{ADV} milliseconds").alias("w"), "item_type", "item_name")
+        return (p.groupBy(F.window("ts", f"{ADV} milliseconds").alias("w"), "item_type", "item_name")
                 .agg(F.sum("quantity").cast("long").alias("cnt"),
                      F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
                      F.min_by("item_price", first_key).alias("first_price"))
@@ -214,12 +260,12 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "cnt", "amt", "first_price"))
 
     def finalize(batch: DataFrame, batch_id: int):
-        # frontier of the batches before this one (a one-row table per batch)
-        try:
+        # frontier of the batches before this one (a one-row table per batch);
+        # none before the first batch that closed a pane
+        prev = 0
+        if exists(spark, front_path):
             prev = (spark.read.parquet(front_path).where(F.col("batch") < batch_id)
                     .agg(F.max("frontier")).first()[0]) or 0
-        except Exception:  # noqa: BLE001 - no batch has closed a pane yet
-            prev = 0
         batch.persist()
         new = batch.agg(F.max("pane")).first()[0]
         if new is None:                          # no pane closed in this batch
@@ -233,23 +279,19 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         frontier = max(prev, new + 1)            # all panes below it are closed
         spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
             .parquet(f"{front_path}/batch={batch_id}")
-        lo_start, hi_start = max(prev - L + 1, 0), frontier - L + 1   # window ends in (prev, frontier]
+        rank(max(prev - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (prev, frontier]
+
+    def rank(lo_start: int, hi_start: int, end: int, batch_id: int):
         if hi_start <= lo_start:
             return
         panes = spark.read.parquet(panes_path).where(
-            (F.col("pane") >= lo_start) & (F.col("pane") < frontier)).drop("batch")
+            (F.col("pane") >= lo_start) & (F.col("pane") < end)).drop("batch")
         top = purchases.top_items_from_panes(panes, SIZE, ADV, starts=(lo_start, hi_start), money_digits=2)
         top.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
-    inp, ckpt = f"{root}/input", f"{root}/checkpoint"
-    lo = orders.agg(F.min("transaction_date")).first()[0]
-    mid = (lo + hi) // 2
-    for part in (orders.where(F.col("transaction_date") <= mid),
-                 orders.where(F.col("transaction_date") > mid), eos):
-        part.write.mode("append").parquet(inp)
-        with state_partitions(spark):
-            q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
-                 .outputMode("append").option("checkpointLocation", ckpt)
-                 .trigger(availableNow=True).foreachBatch(finalize).start())
-            q.awaitTermination()
-    return spark.read.parquet(out_path).drop("batch").where(F.col("item_type") != "\u0000eos")
+    run_bounded(spark, "top-items", orders.withColumn("ts", F.timestamp_millis("transaction_date")), "ts",
+                lambda x: build(x.drop("ts")), root=root, foreach=finalize, close_after=CLOSE_AFTER)
+    # the topic has ended: the windows that start before its last pane's end
+    end = spark.read.parquet(front_path).agg(F.max("frontier")).first()[0]
+    rank(max(end - L + 1, 0), end, end, (1 << 31) - 1)
+    return spark.read.parquet(out_path).drop("batch")

@@ -8,8 +8,10 @@ on the new files only — the way a job restarted against a growing topic
 behaves, and a check that state and offsets survive a restart.
 
 Event-time queries in ``append`` mode emit a window only once the watermark
-has passed it; ``sentinel`` appends one far-future record at the end so the
-final windows close.  It is filtered out of the result.
+has passed it; ``close_after`` appends one record at the end, later than all
+others by that much, so that the final windows close.  It is told apart by
+the boolean column ``END`` of the staged topic, never by its values, and
+:func:`without_end` takes it out after the watermark has seen it.
 
 Sinks: ``append`` uses the exactly-once parquet file sink; ``update`` writes
 each micro-batch's changed rows under ``batch=<id>`` (overwritten on retry,
@@ -19,9 +21,10 @@ so idempotent) and the table is read back as the latest row per key.
 from __future__ import annotations
 
 import contextlib
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from topicflow.session import scratch_path
 
@@ -47,6 +50,21 @@ def state_partitions(spark: SparkSession):
         spark.conf.set(key, old)
 
 
+END = "__end"
+
+
+def without_end(stream: DataFrame, ts: str) -> DataFrame:
+    """Drop the closing record.  The condition names the event time, so that
+    the optimizer leaves it above the watermark."""
+    return stream.where(~F.col(END) | F.col(ts).isNull() | (F.col(ts) < F.lit(0).cast("timestamp"))).drop(END)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def _bounds(df: DataFrame, order_col: str):
     r = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     return r["lo"], r["hi"]
@@ -56,6 +74,9 @@ def _chunk_filter(order_col: str, lo, hi, i: int, n: int) -> Column:
     c = F.col(order_col)
     if lo is None:
         return F.lit(i == 0)
+    if i == 0:  # rows without an order value come first
+        return c.isNull() | _chunk_filter(order_col, lo, hi, -1, n)
+    i = max(i, 0)
     if hasattr(lo, "timestamp"):
         a = F.unix_micros(c.cast("timestamp"))
         lo_v, hi_v = int(lo.timestamp() * 1e6), int(hi.timestamp() * 1e6)
@@ -69,20 +90,26 @@ def _chunk_filter(order_col: str, lo, hi, i: int, n: int) -> Column:
 def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: str,
                 build: Callable[[DataFrame], DataFrame], mode: str = "append",
                 keys: list[str] | None = None, n_chunks: int = 2,
-                sentinel: DataFrame | None = None, root: str | None = None) -> str:
+                close_after: datetime.timedelta | None = None, root: str | None = None,
+                foreach: Callable[[DataFrame, int], None] | None = None) -> str:
     """Stage ``source`` chunk by chunk, run ``build(stream)`` after each, and
     return the output path (see module doc).  ``keys`` are the result keys
-    for ``mode='update'``."""
+    for ``mode='update'``; ``foreach`` takes each micro-batch of an append
+    query instead of the file sink."""
     root = root or scratch_path(spark, f"stream-{name}")
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
-    schema = source.schema
     lo, hi = _bounds(source, order_col)
+    if close_after is not None:
+        source = source.withColumn(END, F.lit(False))
+    schema = source.schema
 
     def run_once():
         stream = spark.readStream.schema(schema).parquet(inp)
         res = build(stream)
         w = res.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-        if mode == "append":
+        if foreach is not None:
+            q = w.outputMode("append").foreachBatch(foreach).start()
+        elif mode == "append":
             q = w.outputMode("append").format("parquet").option("path", out).start()
         elif mode == "update":
             def sink(batch: DataFrame, batch_id: int):
@@ -98,8 +125,10 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
         source.where(_chunk_filter(order_col, lo, hi, i, n_chunks)).write.mode("append").parquet(inp)
         with state_partitions(spark):
             run_once()
-    if sentinel is not None:
-        sentinel.select(*schema.fieldNames()).write.mode("append").parquet(inp)
+    if close_after is not None and hi is not None:
+        last = {order_col: hi + close_after, END: True}
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        spark.createDataFrame([tuple(last.get(f.name) for f in schema)], nullable).write.mode("append").parquet(inp)
         with state_partitions(spark):
             run_once()
     return out
