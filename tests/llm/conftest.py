@@ -1,0 +1,13 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from topicflow.session import local_session
+    yield local_session("4", shuffle_partitions=4, app="topicflow-tests")

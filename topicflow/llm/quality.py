@@ -53,15 +53,15 @@ class Tokens:
     """Ids of a text: its words, their shapes, and marks for repetition."""
 
     def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}  # word id and, above it, shape id
 
-    def _ids(self, word: str) -> tuple[int, int]:
+    def _ids(self, word: str) -> int:
         body = word.strip(".,;:!?#$%&*|\"'()[]{}<>")
         case = "u" if body.isupper() else "l" if body.islower() else "t" if body.istitle() else "m" if body else "-"
         kind = "a" if body.isalpha() else "d" if body.isdigit() else "x"
         tail = word[len(word.rstrip(".,;:!?#$%&*|\"'()[]{}<>")):][-3:]
         shape = f"{case}{kind}{min(len(body), 24) // 4}{tail}"
-        return crc32(body.lower().encode()) % WORD_IDS, WORD_IDS + crc32(shape.encode()) % SHAPES
+        return crc32(body.lower().encode()) % WORD_IDS + crc32(shape.encode()) % SHAPES * WORD_IDS
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray, float]:
         """(word ids, shape ids, share of lines that repeat an earlier one)."""
@@ -71,9 +71,9 @@ class Tokens:
             known.clear()
         for w in set(words).difference(known):
             known[w] = self._ids(w)
-        ids = np.array([known[w] for w in words], np.int64).reshape(-1, 2)
+        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         lines = [x for x in text.split("\n") if x.strip()]
-        return ids[:, 0], ids[:, 1], 1 - len(set(lines)) / len(lines) if lines else 0.0
+        return ids % WORD_IDS, WORD_IDS + ids // WORD_IDS, 1 - len(set(lines)) / len(lines) if lines else 0.0
 
 
 def neighbour_sums(texts, index: np.ndarray) -> np.ndarray:
@@ -162,9 +162,10 @@ def fit_network(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, seed: int = 7
 
 
 def probabilities(model: Model, x: np.ndarray) -> np.ndarray:
-    h = np.tanh(((x - model.center) / model.scale) @ model.w1 + model.b1)
-    z = (h @ model.w2 + model.b2).astype(np.float64) / model.temperature
-    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    """Rounded, as sums in a batch depend on its shape in the last digits."""
+    h = np.tanh(((x - model.center) / model.scale).astype(np.float64) @ model.w1 + model.b1)
+    z = (h @ model.w2 + model.b2) / model.temperature
+    return np.round(1 / (1 + np.exp(-np.clip(z, -500, 500))), 9)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, max_sample: int = MAX_SAMPLE) -> Model | None:
