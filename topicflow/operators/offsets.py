@@ -69,9 +69,11 @@ def replay_since(log: DataFrame, t) -> DataFrame:
 
 
 def pause_partitions(log: DataFrame, paused: Sequence[int] = PAUSED_PARTITIONS,
-                     topics: Sequence[str] | None = None) -> DataFrame:
-    """Records delivered once ``paused`` partitions stop delivering."""
-    cond = ~F.col("partition").isin(list(paused))
+                     topics: Sequence[str] | None = None, first_poll: int = 0) -> DataFrame:
+    """Records delivered when ``paused`` partitions stop delivering after
+    the first poll, which still returns the first ``first_poll`` records of
+    every partition."""
+    cond = ~F.col("partition").isin(list(paused)) | (F.col("offset") < first_poll)
     if topics is not None:
         cond = cond | ~F.col("topic").isin(list(topics))
     return log.where(cond)

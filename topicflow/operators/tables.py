@@ -157,11 +157,13 @@ def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: s
     return found
 
 
-def extract_event_time(entity: Column, transaction_date: Column) -> Column:
+def extract_event_time(entity: Column, transaction_date: Column, json: Column | None = None) -> Column:
     """ST1: event time (epoch ms) of a record: an order's transaction date,
     a JSON order's ``transactionDate``; fixed times for items and users; any
     other record a fixed default."""
+    parsed = F.lit(None).cast("long") if json is None else F.get_json_object(json, "$.transactionDate").cast("long")
     return (F.when(entity == F.lit("order"), transaction_date)
+            .when(entity == F.lit("json"), parsed)
             .when(entity == F.lit("item"), F.lit(ITEM_EVENT_MS))
             .when(entity == F.lit("user"), F.lit(USER_EVENT_MS))
             .otherwise(F.lit(OTHER_EVENT_MS))).cast("long")

@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from topicflow.functions.codec import from_json_strict, to_json_all_fields
 from topicflow.functions.java import java_hash
 from topicflow.operators import delay, offsets, partitioning, purchases, tables, words
 from topicflow.plans import sqlviews as V
-from topicflow.schemas import ORDER_JSON_FIELDS, TOPIC_PARTITIONS
-from topicflow.session import ensure_conf
+from topicflow.schemas import ITEM_JSON_FIELDS, ORDER_JSON_FIELDS, TOPIC_PARTITIONS, USER_JSON_FIELDS
+from topicflow.session import ensure_conf, scratch_path
 from topicflow.sources import driver, lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,18 +173,24 @@ def q_asof_lookup(spark, sf_dir):
 
 @register("extract_event_time", V.with_(V.ORDERS, V.USERS, V.ITEMS) + """
 SELECT 'order' AS entity, user_name AS key, transaction_date AS event_ms FROM orders_s
+UNION ALL SELECT 'json', item_name, transaction_date FROM orders_s
+UNION ALL SELECT 'other', CAST(n_nationkey AS VARCHAR), 1447113610000 FROM nation
 UNION ALL SELECT 'user', name, 1449792010000 FROM users_t
 UNION ALL SELECT 'item', item_name, 1449795610000 FROM items_t""")
 def q_extract_event_time(spark, sf_dir):
-    """ST1: event time of every order, user and item record."""
+    """ST1: event time of every order, user and item record, of orders as
+    JSON text, and of records of any other kind."""
     o, u, i = _inputs(spark, sf_dir)
-    recs = (o.select(F.lit("order").alias("entity"), F.col("user_name").alias("key"), "transaction_date")
-            .unionByName(u.select(F.lit("user").alias("entity"), F.col("name").alias("key"),
-                                  F.lit(None).cast("long").alias("transaction_date")))
-            .unionByName(i.select(F.lit("item").alias("entity"), F.col("item_name").alias("key"),
-                                  F.lit(None).cast("long").alias("transaction_date"))))
-    return recs.select("entity", "key",
-                       tables.extract_event_time(F.col("entity"), F.col("transaction_date")).alias("event_ms"))
+    n = driver.table(spark, sf_dir, "nation")
+    none, no_json = F.lit(None).cast("long").alias("transaction_date"), F.lit(None).cast("string").alias("json")
+    as_json = to_json_all_fields({j: F.col(c) for c, j in ORDER_JSON_FIELDS.items()}).alias("json")
+    recs = (o.select(F.lit("order").alias("entity"), F.col("user_name").alias("key"), "transaction_date", no_json)
+            .unionByName(o.select(F.lit("json").alias("entity"), F.col("item_name").alias("key"), none, as_json))
+            .unionByName(n.select(F.lit("other").alias("entity"), F.col("n_nationkey").cast("string").alias("key"), none, no_json))
+            .unionByName(u.select(F.lit("user").alias("entity"), F.col("name").alias("key"), none, no_json))
+            .unionByName(i.select(F.lit("item").alias("entity"), F.col("item_name").alias("key"), none, no_json)))
+    return recs.select("entity", "key", tables.extract_event_time(
+        F.col("entity"), F.col("transaction_date"), F.col("json")).alias("event_ms"))
 
 
 # ------------------------------------------------------------- top items
@@ -373,6 +379,17 @@ def q_partition_random(spark, sf_dir):
         .select("user_name", "order_key", "line_number", "partition")
 
 
+@register("partition_random_invariant", V.with_(V.ORDERS) + """
+SELECT COUNT(*) AS records, 0 AS out_of_range, 3 AS partitions_used FROM orders_s""")
+def q_partition_random_invariant(spark, sf_dir):
+    """M3: every order is placed, in range, and all partitions are used."""
+    p = F.col("partition")
+    return q_partition_random(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum(F.when((p >= 0) & (p < TOPIC_PARTITIONS), 0).otherwise(1)).cast("int").alias("out_of_range"),
+        F.count_distinct(p).cast("int").alias("partitions_used"))
+
+
 @register("partition_round_robin", V.with_(V.LOG) + """
 SELECT topic, event_id, CAST((row_number() OVER (ORDER BY timestamp, event_id)) % 3 AS INTEGER) AS rr_partition
 FROM log_t""")
@@ -428,6 +445,30 @@ def q_decode_orders(spark, sf_dir):
                     "order_key", "line_number")
 
 
+def _record_round_trip(df, fields: dict, key: str, topic: str):
+    """K6: rows as keyed JSON records, decoded again."""
+    from topicflow.sources.log import keyed_json_records
+    names = {j: c for c, j in fields.items()}
+    schema = T.StructType([T.StructField(j, df.schema[c].dataType) for j, c in names.items()])
+    r = keyed_json_records(df, key, names, topic)
+    d = r.select("topic", F.decode("key", "UTF-8").alias("key"), from_json_strict(F.decode("value", "UTF-8"), schema).alias("o"))
+    return d.select("topic", "key", *[F.col(f"o.{j}").alias(c) for j, c in names.items()])
+
+
+@register("user_records", V.with_(V.USERS) + """
+SELECT 'users' AS topic, name AS key, name, address, gender, age FROM users_t""")
+def q_user_records(spark, sf_dir):
+    """K6 + F7: users as keyed JSON records and back."""
+    return _record_round_trip(driver.users(spark, sf_dir), USER_JSON_FIELDS, "name", "users")
+
+
+@register("item_records", V.with_(V.ITEMS) + """
+SELECT 'items' AS topic, item_name AS key, item_name, address, type, price FROM items_t""")
+def q_item_records(spark, sf_dir):
+    """K6 + F7: items as keyed JSON records and back."""
+    return _record_round_trip(driver.items(spark, sf_dir), ITEM_JSON_FIELDS, "item_name", "items")
+
+
 # ---------------------------------------------------------------- log reads
 def _log(spark, sf_dir):
     return driver.log(spark, sf_dir)
@@ -498,10 +539,11 @@ def q_replay_since(spark, sf_dir):
 
 @register("pause_partitions", V.with_(V.LOG) + """
 SELECT topic, partition, "offset", key_s AS key, value_s AS value, timestamp FROM log_t
-WHERE partition NOT IN (0, 1)""")
+WHERE partition NOT IN (0, 1) OR "offset" < 500""")
 def q_pause_partitions(spark, sf_dir):
-    """What is delivered once partitions 0 and 1 are paused."""
-    return _log_cols(offsets.pause_partitions(_log(spark, sf_dir)))
+    """A first poll of at most 500 records a partition, then partitions
+    0 and 1 are paused."""
+    return _log_cols(offsets.pause_partitions(_log(spark, sf_dir), first_poll=500))
 
 
 @register("bounded_fetch", V.with_(V.LOG) + """,
@@ -571,11 +613,18 @@ def _order_lines(spark, sf_dir):
     return body.unionByName(noise)
 
 
+def _text_lines(spark, df):
+    """The lines written as text files and read back."""
+    path = scratch_path(spark, "lines")
+    df.write.text(path)
+    return lines.read_lines(spark, path)
+
+
 @register("ingest_orders", V.with_(V.ORDERS) + """
 SELECT user_name, item_name, transaction_date, quantity FROM orders_s""")
 def q_ingest_orders(spark, sf_dir):
     """Parse and validate the rendered order lines."""
-    return lines.parse_orders(_order_lines(spark, sf_dir))
+    return lines.parse_orders(_text_lines(spark, _order_lines(spark, sf_dir)))
 
 
 @register("ingest_users", V.with_(V.USERS) + """
@@ -586,7 +635,7 @@ def q_ingest_users(spark, sf_dir):
     u = driver.users(spark, sf_dir)
     ls = u.select(F.concat_ws(" , ", "name", "address", F.coalesce("gender", F.lit("")),
                               F.col("age").cast("string")).alias("value"))
-    return lines.parse_users(ls)
+    return lines.parse_users(_text_lines(spark, ls))
 
 
 @register("ingest_items", V.with_(V.ITEMS) + """
@@ -596,7 +645,7 @@ def q_ingest_items(spark, sf_dir):
     i = driver.items(spark, sf_dir)
     ls = i.select(F.concat(F.concat_ws(",", "item_name", "address", "type"), F.lit(", "),
                            F.col("price").cast("string"), F.lit(" ")).alias("value"))
-    return lines.parse_items(ls)
+    return lines.parse_items(_text_lines(spark, ls))
 
 
 # ----------------------------------------------------------------- streaming
@@ -618,6 +667,10 @@ def _register_streams():
     reg("stream_wordcount_tumbling", jobs.stream_wordcount_tumbling, ORACLE_SQL["wordcount_tumbling"])
     reg("stream_flush_count", jobs.stream_flush_count, ORACLE_SQL["wordcount_flush"])
     reg("stream_fanout", jobs.stream_fanout, ORACLE_SQL["purchase_by_region_gender"])
+    reg("stream_group2", jobs.stream_group2, ORACLE_SQL["decode_orders"])
+    reg("stream_fanout_rows", jobs.stream_fanout_rows, V.with_(V.ORDERS, V.USERS, V.ITEMS, V.ORDER_USER, V.OUI_W1) + """
+SELECT order_key, line_number, user_name, item_name, quantity, item_price FROM purchases""")
+    reg("stream_log_totals", jobs.stream_log_totals, ORACLE_SQL["purchase_by_region_gender"])
     reg("stream_top_items", jobs.stream_top_items, None)
     reg("stream_due_messages", jobs.stream_due_messages, V.with_(V.LOG) + """,
 h AS (SELECT *, 0 AS header_pos, CAST(floor(ev_value / 4) AS BIGINT) AS delay_seconds FROM log_t

@@ -58,13 +58,11 @@ TOP_ITEMS_K = 10
 TOP_ITEMS_WINDOW_MS = 3_600_000      # 1 hour
 TOP_ITEMS_ADVANCE_MS = 5_000         # hop 5 seconds
 WORDCOUNT_WINDOW_MS = 5_000          # tumbling 5 s
-WORDCOUNT_HOP_MS = 1_000             # commented hopping variant 5 s / 1 s
 FLUSH_INTERVAL_MS = 1_000            # punctuate every second
 DEFAULT_RETENTION = "1 day"          # window retention when none is set
 DELAY_HEADER = "delaySeconds"
 DELAY_TOPIC = "test"
 DELAY_LOOKBACK_S = 180
-DELAY_RESCAN_S = 5
 BOUNDED_FETCH_BYTES = 10_000
 PAUSED_PARTITIONS = (0, 1)
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"

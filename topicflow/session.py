@@ -7,7 +7,7 @@ the configuration; we only fill in what is missing.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -69,15 +69,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session: ``spark.checkpoint.dir`` (set by the cluster), or
-    a checkpoint directory already set on the context.  Only when neither is
-    set, as in local tests, a fresh folder under the system temp dir is
-    chosen and set on the context, so every later call agrees."""
+    a checkpoint directory already set on the context.  When neither is set,
+    a local session gets a fresh folder under the system temp dir, set on the
+    context so that every later call agrees; a cluster, whose executors could
+    not see that folder, gets an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="topicflow-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
@@ -87,13 +90,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location below the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
-def ensure_dir(p: str) -> str:
-    if is_local_path(p):
-        os.makedirs(p.replace("file:", ""), exist_ok=True)
-    return p

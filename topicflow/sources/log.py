@@ -39,6 +39,8 @@ def write_log(df: DataFrame, path: str, mode: str = "append") -> None:
     cols = [f.name for f in LOG.fields]
     (df.select(*[F.col(c).cast(LOG[c].dataType) if c in df.columns else
                  F.lit(None).cast(LOG[c].dataType).alias(c) for c in cols])
+       # one sorted run a task and partition: offset and time filters skip row groups
+       .sortWithinPartitions("topic", "partition", "offset")
        .write.mode(mode).partitionBy("topic", "partition").parquet(path))
 
 

@@ -6,14 +6,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from topicflow.functions.codec import header_long
+from topicflow.functions.codec import from_json_strict, header_long
 from topicflow.functions.java import split_words
 from topicflow.operators import purchases, tables
-from topicflow.schemas import DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS
+from topicflow.operators.partitioning import assign_partition
+from topicflow.schemas import (DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS, ORDER_JSON_FIELDS,
+                               TOPIC_PARTITIONS)
 from topicflow.session import scratch_path
 from topicflow.sources import driver
+from topicflow.sources.log import keyed_json_records, read_log_stream, write_log
 from topicflow.streaming.runner import END, exists, read_result, run_bounded, without_end
 
 # the closing record of a finished topic lies this much after its last one
@@ -99,10 +102,10 @@ def stream_flush_count(spark: SparkSession, sf_dir: str, order_col: str = "times
     return read_result(spark, out)
 
 
-def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fan_out(spark: SparkSession, sf_dir: str) -> str:
     """K11 + S5: one purchase stream feeds two sinks — the per-purchase rows
-    and the running W1 totals — from one cached micro-batch; the result is
-    the totals (region x gender) summed over all batches."""
+    and the running W1 totals — from one cached micro-batch, and a second
+    group reads the topic on its own.  Returns the folder of all three."""
     orders = driver.orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
     root = scratch_path(spark, "stream-fanout")
@@ -133,7 +136,56 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
               .format("parquet").option("path", f"{root}/group2").start())
         q.awaitTermination()
         q2.awaitTermination()
-    t = spark.read.parquet(f"{root}/totals")
+    return root
+
+
+def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals (region x gender) of the fan-out, over all batches."""
+    return _totals(spark.read.parquet(f"{_fan_out(spark, sf_dir)}/totals"))
+
+
+def stream_fanout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchase rows of the fan-out."""
+    return spark.read.parquet(f"{_fan_out(spark, sf_dir)}/rows").select(
+        "order_key", "line_number", "user_name", "item_name", "quantity", "item_price")
+
+
+def stream_group2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second group read: every order once."""
+    return spark.read.parquet(f"{_fan_out(spark, sf_dir)}/group2").select(
+        "user_name", "item_name", "transaction_date", "quantity", "order_key", "line_number")
+
+
+def stream_log_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + W1 on the log form: orders as JSON records of a stored log,
+    read as a stream and decoded strictly, looked up in tables folded from
+    keyed changelogs, totalled per micro-batch."""
+    def changelog(df, key):  # an older version of every row, then the row
+        old = df.select(*[F.lit("old").alias(c) if t == "string" and c != key else F.col(c) for c, t in df.dtypes], F.lit(0).alias("seq"))
+        return old.unionByName(df.withColumn("seq", F.lit(1))).withColumn("ts", F.lit(0).cast("timestamp"))
+
+    users, items = (tables.table_latest(changelog(df, key), key=key, value_cols=[c for c in df.columns if c != key]).select(*df.columns)
+                    for df, key in ((driver.users(spark, sf_dir), "name"), (driver.items(spark, sf_dir), "item_name")))
+    orders = driver.orders(spark, sf_dir)
+    names = {j: c for c, j in ORDER_JSON_FIELDS.items()}
+    schema = T.StructType([T.StructField(j, orders.schema[c].dataType) for j, c in names.items()])
+    log = keyed_json_records(orders, "user_name", names, "orders")
+    log = assign_partition(log, TOPIC_PARTITIONS, key_col=F.decode(F.col("key"), "UTF-8"))
+    root = scratch_path(spark, "stream-log-totals")
+
+    def totals(batch: DataFrame, batch_id: int):
+        purchases.purchase_by_region_gender(batch).write.mode("overwrite").parquet(f"{root}/totals/batch={batch_id}")
+
+    for part in (0, 1):
+        write_log(log.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part), f"{root}/log")
+        stream = read_log_stream(spark, f"{root}/log").select(from_json_strict(F.decode("value", "UTF-8"), schema).alias("o"))
+        decoded = stream.select(*[F.col(f"o.{j}").alias(c) for j, c in names.items()])
+        (purchases.same_region_purchases(decoded, users, items).writeStream.option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).foreachBatch(totals).start().awaitTermination())
+    return _totals(spark.read.parquet(f"{root}/totals"))
+
+
+def _totals(t: DataFrame) -> DataFrame:
     return (t.groupBy("address", "gender")
             .agg(F.sum("order_count").alias("order_count"), F.sum("item_count").alias("item_count"),
                  F.round(F.sum("amount"), 2).alias("amount")))
