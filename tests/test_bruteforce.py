@@ -81,10 +81,9 @@ def test_running_sums_vs_brute_force(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice("pq"), rnd.randrange(0, 50_000), n, rnd.randint(-5, 9)) for n in range(300)]
     df = spark.createDataFrame(rows, "k string, t long, n long, v long")
-    bucket = F.floor(F.col("t") / 7000).cast("long")
     got = {(r.k, r.n): (r.s, r.rn) for r in sequence.row_numbers(
-        sequence.running_sums(df, ["k"], ["t", "n"], bucket, {"s": F.col("v")}),
-        ["k"], ["t", "n"], bucket, name="rn").collect()}
+        sequence.running_sums(df, ["k"], ["t", "n"], {"s": F.col("v")}),
+        ["k"], ["t", "n"], name="rn").collect()}
     exp = {}
     for key in "pq":
         acc = 0

@@ -78,7 +78,7 @@ def test_assign_offsets_and_round_robin(spark):
         by_part.setdefault(r.partition, []).append(r.offset)
     for lst in by_part.values():
         assert lst == list(range(len(lst)))
-    rr = partitioning.round_robin_partition(df, ["timestamp", "id"], "timestamp").collect()
+    rr = partitioning.round_robin_partition(df, ["timestamp", "id"]).collect()
     assert {r.id: r.partition for r in rr} == {i: (i + 1) % 3 for i in range(200)}
 
 

@@ -6,9 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from topicflow.operators.sequence import running_sums
 from topicflow.schemas import BOUNDED_FETCH_BYTES, PAUSED_PARTITIONS
 
 TP = ["topic", "partition"]
@@ -89,15 +88,20 @@ def bounded_fetch(log: DataFrame, topic: str, partition: int = 0, start_offset:
                   max_bytes: int = BOUNDED_FETCH_BYTES) -> DataFrame:
     """One fetch of one partition from ``start_offset``: the records that
     fit completely in ``max_bytes`` (key + value bytes), in offset order.
-    The running byte count is computed per offset bucket (no single-task
-    window over the partition)."""
+    Byte sums per offset bucket (combined map-side) give each bucket's start;
+    the running count is computed only in the buckets that start below the
+    limit, so little more than the fetched records is sorted."""
     part = log.where((F.col("topic") == topic) & (F.col("partition") == partition) &
                      (F.col("offset") >= start_offset))
-    run = running_sums(part, TP, [F.col("offset")],
-                       F.floor(F.col("offset") / F.lit(OFFSET_BUCKET)).cast("long"),
-                       {"__bytes_through": record_bytes()})
-    return run.where(F.col("__bytes_through") <= max_bytes) \
-              .withColumnRenamed("__bytes_through", "fetched_bytes")
+    bucket = F.floor(F.col("offset") / F.lit(OFFSET_BUCKET)).cast("long")
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (part.groupBy(bucket.alias("__bucket")).agg(F.sum(record_bytes()).alias("__b"))
+              .withColumn("__start", F.coalesce(F.sum("__b").over(before), F.lit(0)))
+              .where(F.col("__start") <= max_bytes).select("__bucket", "__start"))
+    inside = Window.partitionBy("__bucket").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = (part.withColumn("__bucket", bucket).join(starts, "__bucket")
+           .withColumn("fetched_bytes", F.col("__start") + F.sum(record_bytes()).over(inside)))
+    return run.where(F.col("fetched_bytes") <= max_bytes).drop("__bucket", "__start")
 
 
 def delivery_report(sent: DataFrame) -> DataFrame:

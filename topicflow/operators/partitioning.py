@@ -9,13 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from topicflow.functions.java import hash_partition_abs, hash_partition_mask
-from topicflow.operators.sequence import row_numbers, time_bucket
+from topicflow.operators.sequence import row_numbers
 from topicflow.schemas import TOPIC_PARTITIONS
 
-# time bucket of the distributed numbering: bounds one in-bucket window by
-# the arrival rate of a minute, while the per-bucket summary stays small
-SEQ_BUCKET_SECONDS = 60
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -45,28 +41,22 @@ def random_partition(df: DataFrame, n: int = TOPIC_PARTITIONS, seed: int | None
     return df.withColumn(out, F.floor(F.rand(seed) * n).cast("int"))
 
 
-def round_robin_partition(df: DataFrame, order_cols, ts_col: str, n: int = TOPIC_PARTITIONS,
-                          out: str = "partition",
-                          bucket_seconds: int = SEQ_BUCKET_SECONDS) -> DataFrame:
+def round_robin_partition(df: DataFrame, order_cols, n: int = TOPIC_PARTITIONS, out: str = "partition") -> DataFrame:
     """M4: a producer-wide counter, incremented before use, so the k-th sent
     record (0-based, in ``order_cols`` order) goes to ``(k+1) mod n``.
 
-    The send sequence is numbered distributedly (:func:`row_numbers` over
-    time buckets), never in one task.  Beyond 2^31 records the reference's
+    The send sequence is numbered distributedly (:func:`row_numbers`), never
+    in one task.  Beyond 2^31 records the reference's
     int cast turns negative; we keep ``pmod`` so every partition is valid."""
-    numbered = row_numbers(df, [], order_cols, time_bucket(ts_col, bucket_seconds),
-                           name="__send_seq", start=1)
+    numbered = row_numbers(df, [], order_cols, name="__send_seq", start=1)
     return numbered.withColumn(out, F.pmod(F.col("__send_seq"), F.lit(n)).cast("int")) \
                    .drop("__send_seq")
 
 
-def assign_offsets(df: DataFrame, order_cols, ts_col: str = "timestamp",
-                   partition_cols=("topic", "partition"),
-                   bucket_seconds: int = SEQ_BUCKET_SECONDS) -> DataFrame:
+def assign_offsets(df: DataFrame, order_cols, partition_cols=("topic", "partition")) -> DataFrame:
     """M5: the broker gives consecutive offsets from 0 per topic partition, in
-    arrival order (``order_cols``; its first column must be ``ts_col``)."""
-    return row_numbers(df, list(partition_cols), order_cols,
-                       time_bucket(ts_col, bucket_seconds), name="offset")
+    arrival order (``order_cols``)."""
+    return row_numbers(df, list(partition_cols), order_cols, name="offset")
 
 
 def place(df: DataFrame, n: int, partition_col: str = "partition") -> DataFrame:

@@ -63,19 +63,14 @@ def purchase_report(totals: DataFrame, money_digits: int | None = None) -> DataF
                          F.concat_ws(",", key, *parts).alias("line_comma"))
 
 
-def purchase_changelog(purchases: DataFrame, order_block: int = 1 << 16) -> DataFrame:
+def purchase_changelog(purchases: DataFrame) -> DataFrame:
     """The table-to-stream view of W1: after every purchase, the updated
-    totals of its key (every intermediate value, in arrival order).
-
-    Buckets of the two-level running sum are (transaction time, block of
-    ``order_block`` order keys) — monotone in the arrival order, and small
-    even when one key's purchases share one day."""
+    totals of its key (every intermediate value, in arrival order), by the
+    range-wise running sums of :mod:`topicflow.operators.sequence`."""
     p = purchases.withColumn("group_key", region_gender_key())
-    bucket = F.struct(F.col("transaction_date").alias("t"),
-                      F.floor(F.col("order_key") / F.lit(order_block)).cast("long").alias("b"))
     return running_sums(
         p.select("group_key", *ARRIVAL, "item_price"),
-        ["group_key"], [F.col(c) for c in ARRIVAL], bucket,
+        ["group_key"], [F.col(c) for c in ARRIVAL],
         {"order_count": F.lit(1).cast("long"),
          "item_count": F.col("quantity").cast("long"),
          "amount": F.col("quantity") * F.col("item_price")},

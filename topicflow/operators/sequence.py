@@ -2,15 +2,16 @@
 
 A log partition, a user or a topic may hold a third of all rows, so a window
 ``partition by key order by time`` over the whole key would pull that share
-into one task.  Instead the rows are cut into buckets — any column (a time
-bucket, or a struct of leading sort columns) that is monotone in the sort
-order:
+into one task.  Instead the rows are cut into ranges of equal size in the
+order (keys, sort columns):
 
-1. per (key, bucket) totals — a partial/final aggregate, combined map-side;
-2. an exclusive prefix over the buckets of each key — a window over the
-   small per-bucket summary, whose size grows with the time span, not with
-   the data;
-3. a window per (key, bucket) for the in-bucket part, plus the base.
+1. the rows are range-partitioned, numbered by range and staged in the shared
+   folder: the source is read once, and range bounds stay what they were if
+   a task runs again;
+2. (key, range) totals — one row per range and key that meets it, so at most
+   ranges + keys rows;
+3. an exclusive prefix of those totals per key;
+4. a window per (key, range) for the part inside, plus the prefix.
 
 The result equals the one-window form exactly (for counts) and up to the
 order of floating additions (for double sums).
@@ -19,10 +20,13 @@ order of floating additions (for double sums).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-_B = "__bucket"
+from topicflow.session import scratch_path
+
+_B = "__range"
 
 
 def time_bucket(ts, seconds: int) -> Column:
@@ -31,45 +35,38 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(F.unix_seconds(c) / F.lit(seconds)).cast("long")
 
 
-def _two_level(df: DataFrame, keys: Sequence[str], order_cols: Sequence, bucket: Column,
+def _two_level(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
                values: dict[str, Column], counting: bool) -> DataFrame:
-    """Shared plan: one shuffle of the rows by (keys, bucket); one window
-    operator gives the in-bucket running value and the bucket total; the
-    per-bucket totals (one row per bucket, taken from the same windowed
-    rows, so Spark reuses the shuffle) get an exclusive prefix per key and
-    are joined back on (keys, bucket), which the big side is already
-    partitioned by."""
-    d = df.withColumn(_B, bucket)
-    for n, c in values.items():
-        d = d.withColumn(f"__v_{n}", c)
-    wk = Window.partitionBy(*keys, _B).orderBy(*order_cols)
-    run = wk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cols = [F.row_number().over(wk).alias("__rn")]
-    for n in values:
-        inner = F.row_number().over(wk) if counting else F.sum(f"__v_{n}").over(run)
-        total = F.count(F.lit(1)).over(whole) if counting else F.sum(f"__v_{n}").over(whole)
-        cols += [inner.alias(f"__in_{n}"), total.alias(f"__t_{n}")]
-    w = d.select("*", *cols)
-    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    base = (w.where(F.col("__rn") == 1)
-            .select(*keys, _B, *[F.sum(f"__t_{n}").over(wb).alias(f"__b_{n}") for n in values]))
-    out = w.join(base, [*keys, _B])
-    return out.select(*df.columns, *[
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    valued = df.select("*", *[c.alias(f"__v_{n}") for n, c in values.items()])
+    path = scratch_path(spark, "ranges")
+    (valued.repartitionByRange(ranges, *keys, *order_cols).withColumn(_B, F.spark_partition_id())
+     .write.parquet(path))
+    d = spark.read.schema(T.StructType([*valued.schema.fields, T.StructField(_B, T.IntegerType())])).parquet(path)
+    inside = Window.partitionBy(*keys, _B).orderBy(*order_cols)
+    run = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    whole = {n: F.count(F.lit(1)) if counting else F.sum(f"__v_{n}") for n in values}
+    base = (d.groupBy(*keys, _B).agg(*[c.alias(f"__t_{n}") for n, c in whole.items()])
+            .select(*keys, _B, *[F.sum(f"__t_{n}").over(before).alias(f"__b_{n}") for n in values]))
+    w = d.select("*", *[(F.row_number().over(inside) if counting else F.sum(f"__v_{n}").over(run)).alias(f"__in_{n}") for n in values])
+    # null keys are a key like any other
+    at = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*keys, _B)]
+    out = w.alias("l").join(base.alias("r"), reduce(Column.__and__, at))
+    return out.select(*[F.col(f"l.{c}") for c in df.columns], *[
         F.when(F.col(f"__b_{n}").isNull(), F.col(f"__in_{n}"))
          .otherwise(F.col(f"__b_{n}") + F.col(f"__in_{n}")).alias(n) for n in values])
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
-                bucket: Column, name: str = "seq", start: int = 0) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order_cols: Sequence, name: str = "seq", start: int = 0) -> DataFrame:
     """Consecutive numbers ``start, start+1, ...`` per ``keys`` in
     ``order_cols`` order (a distributed ``zipWithIndex``)."""
-    r = _two_level(df, keys, order_cols, bucket, {name: F.lit(1)}, counting=True)
+    r = _two_level(df, keys, order_cols, {name: F.lit(1)}, counting=True)
     return r.withColumn(name, (F.col(name) - 1 + F.lit(start)).cast("long"))
 
 
-def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
-                 bucket: Column, values: dict[str, Column]) -> DataFrame:
+def running_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence, values: dict[str, Column]) -> DataFrame:
     """Inclusive running sums of ``values`` per ``keys`` in ``order_cols``
     order; one output column per entry of ``values``."""
-    return _two_level(df, keys, order_cols, bucket, values, counting=False)
+    return _two_level(df, keys, order_cols, values, counting=False)

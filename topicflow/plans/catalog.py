@@ -396,8 +396,7 @@ FROM log_t""")
 def q_partition_round_robin(spark, sf_dir):
     """M4: round-robin placement of the events in send (time) order."""
     rows = driver.events_log_rows(spark, sf_dir)
-    r = partitioning.round_robin_partition(rows, [F.col("timestamp"), F.col("event_id")], "timestamp",
-                                           out="rr_partition")
+    r = partitioning.round_robin_partition(rows, [F.col("timestamp"), F.col("event_id")], out="rr_partition")
     return r.select("topic", "event_id", "rr_partition")
 
 
