@@ -212,7 +212,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY item_type, start ORDER BY a
 # The full W3 result has ~720 rows per purchase (21.8 M rows at sf0.01), too
 # many to hash through a driver-side comparison: the full queries carry no
 # oracle SQL, and ``top_items_digest`` checks every row of the same result
-# through an exact per-(type, rank) digest.  tests/test_top_items.py compares
+# through an exact per-(type, rank) digest.  tests/test_purchases.py compares
 # the full rows with DuckDB on the small tables and brute force on the fixture.
 TOP_ITEMS_FULL_SQL = _TOP_SQL + """
 SELECT start * 5000 AS window_start, start * 5000 + 3600000 AS window_end, item_type, item_name,
