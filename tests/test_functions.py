@@ -91,3 +91,27 @@ def test_random_partition_range(spark):
     parts = [r.partition for r in random_partition(df, 3, seed=1).select("partition").collect()]
     assert set(parts) == {0, 1, 2}
     assert all(700 < parts.count(p) < 1300 for p in (0, 1, 2))
+
+
+def test_java_hash_beyond_the_basic_plane(spark):
+    """Surrogate pairs count as two units; filters move below the hash."""
+    import io
+    from contextlib import redirect_stdout
+    from topicflow.functions.java import java_hash
+
+    def by_units(s):
+        h = 0
+        data = s.encode("utf-16-be")
+        for i in range(0, len(data), 2):
+            h = (h * 31 + int.from_bytes(data[i:i + 2], "big")) & 0xFFFFFFFF
+        return h - (1 << 32) if h >> 31 else h
+
+    texts = ["", "a", "héllo", "😀x", "x" * 300, "中文\U0010FFFF", "\x00\x01"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", java_hash("t").alias("h")).collect()
+    assert {r.i: r.h for r in got} == {i: by_units(t) for i, t in enumerate(texts)}
+    df = spark.range(10).selectExpr("id", "cast(id as string) as s").select("id", java_hash("s").alias("h")).where("id < 3")
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain()
+    plan = out.getvalue()
+    assert "Filter" not in plan.split("Project")[0]

@@ -86,3 +86,13 @@ def test_delivery_report(spark):
     rows = [_rec("t", 0, 0, 1, [], key="abc")]
     r = offsets.delivery_report(_log(spark, rows)).first()
     assert (r.key_size, r.value_size) == (3, 2)
+
+
+def test_long_and_overflowing_delays(spark):
+    """A header of 29 digits is a number; the largest delay is never due and
+    fails nothing."""
+    d = "delaySeconds"
+    rows = [_rec("test", 0, 0, 150, [(d, "0" * 27 + "60")]), _rec("test", 0, 1, 150, [(d, "9223372036854775807")]),
+            _rec("test", 0, 2, 150, [(d, "92233720368547758070")])]
+    got = delay.due_messages(_log(spark, rows), NOW).select("offset", "delay_seconds").collect()
+    assert [tuple(r) for r in got] == [(0, 60)]

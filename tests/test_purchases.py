@@ -153,3 +153,8 @@ def test_top_items_report_vs_duckdb(spark):
     got = {tuple(r) for r in catalog.QUERIES["top_items_report"](spark, SMALL).groupBy("item_type").agg(
         F.count(F.lit(1)), F.sum("n_items"), F.sum(F.length("report"))).collect()}
     assert got == exp
+
+
+def test_null_gender_is_no_group(spark):
+    rows = spark.createDataFrame([("f", 1, 2.0), (None, 1, 5.0)], "gender string, quantity int, item_price double")
+    assert [tuple(r) for r in purchases.purchase_by_gender(rows).collect()] == [("f", 2.0)]

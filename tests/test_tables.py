@@ -45,3 +45,9 @@ def test_event_time(spark):
     df = spark.createDataFrame([("order", 5), ("item", None), ("user", None), ("x", None)], "e string, td long")
     got = [r.t for r in df.select(tables.extract_event_time(F.col("e"), F.col("td")).alias("t")).collect()]
     assert got == [5, 1449795610000, 1449792010000, 1447113610000]
+
+
+def test_null_stream_keys_are_skipped(spark):
+    s = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    t = spark.createDataFrame([("a", "x")], "name string, w string")
+    assert [tuple(r) for r in tables.lookup_join(s, t, "k", "name").collect()] == [("a", 1, "a", "x")]
