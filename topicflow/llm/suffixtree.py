@@ -124,9 +124,15 @@ def gather(docs: DataFrame, train: Column) -> DataFrame:
     return docs.where(train).select("text").mapInArrow(run, "kind int, key long, n long")
 
 
+def columns_of(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a small table, brought to the driver as arrays."""
+    t = df.toArrow()
+    return [t.column(c).to_numpy() for c in t.column_names]
+
+
 def frequent_contexts(spark: SparkSession, counts: DataFrame) -> tuple[int, list]:
-    """(positions, rows (depth, context, next, n)) of the contexts that have
-    MIN_SHARE of all positions, shortest first."""
+    """(positions, per depth from 0 the arrays (key, n)) of the contexts that
+    have MIN_SHARE of all positions.  A key is a context and its next symbol."""
     at_depth = staged(spark, counts.select(F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(F.lit(255)).alias("next"), "n"), "contexts")
     positions = at_depth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     floor = positions * MIN_SHARE
@@ -135,66 +141,81 @@ def frequent_contexts(spark: SparkSession, counts: DataFrame) -> tuple[int, list
         if depth < DEPTH:
             at_depth = staged(spark, at_depth.groupBy(F.shiftright("context", 8).alias("context"), "next").agg(F.sum("n").alias("n")), "contexts")
         often = at_depth.groupBy("context").agg(F.sum("n").alias("all")).where(F.col("all") >= floor)
-        found.append([(depth, *r) for r in at_depth.where(F.col("n") >= floor * NEXT_SHARE).join(often, "context", "left_semi")
-                      .select("context", "next", "n").collect()])  # at most (depth + 1) / MIN_SHARE / NEXT_SHARE rows
-    return positions, [r for level in reversed(found) for r in level]
+        rows = at_depth.where(F.col("n") >= floor * NEXT_SHARE).join(often, "context", "left_semi")
+        # at most 1 / MIN_SHARE / NEXT_SHARE rows
+        found.append(columns_of(rows.select((F.shiftleft("context", 8) + F.col("next")).alias("key"), "n").orderBy("key")))
+    return positions, found[::-1]
 
 
-def build(positions: int, rows) -> Model:
-    """The automaton of the retained contexts."""
-    level: dict[tuple[int, int], dict[int, int]] = {}
-    for depth, context, symbol, n in rows:
-        level.setdefault((depth, context), {})[symbol] = n
-    present = sorted({s for nexts in level.values() for s in nexts} | {END})
+def build(positions: int, levels: list) -> Model:
+    """The automaton of the retained contexts, from the sorted (key, n)
+    arrays of each depth."""
+    present = sorted({int(x) for key, _ in levels for x in np.unique(key & 255)} | {END})
     classes = len(present) + 1  # the last one: bytes never seen
     class_of = np.full(256, classes - 1, np.uint8)
     class_of[present] = np.arange(len(present))
-    uniform = np.full(classes, 1 / 256)
-
-    def vector(nexts):
-        v = np.zeros(classes)
-        v[class_of[list(nexts)]] = list(nexts.values())
-        return v
 
-    def smoothed(v, parent):
-        return (v + SMOOTHING * parent) / (v.sum() + SMOOTHING)
-
-    # divergence tests against the parent; suffixes of a retained context stay too
-    keep = set()
-    for (depth, context), nexts in level.items():
+    # divergence tests against the parent
+    contexts, owner, totals, keep = [], [], [], []
+    for depth, (key, n) in enumerate(levels):
+        context, of = np.unique(key >> 8, return_inverse=True)
+        total = np.bincount(of, n, minlength=len(context))
+        ok = np.zeros(len(context), bool)
+        if depth and len(key):
+            parent_key, parent_n = levels[depth - 1]
+            wanted = (key >> 16 << 8) | (key & 255)
+            at = np.minimum(np.searchsorted(parent_key, wanted), len(parent_key) - 1)
+            in_parent = np.where(parent_key[at] == wanted, parent_n[at], 0)
+            parent = np.searchsorted(contexts[-1], context >> 8)
+            q = (in_parent + 1e-3) / (totals[-1][parent][of] + 1e-3 * classes)
+            gain = np.bincount(of, n * np.log(n / total[of] / q), minlength=len(context))
+            ok = gain >= DIVERGENCE * np.log(max(positions, 2))
+        contexts.append(context)
+        owner.append(of)
+        totals.append(total)
+        keep.append(ok)
+    for depth in range(len(levels) - 1, 0, -1):  # suffixes of a retained context stay too
+        keep[depth - 1][np.searchsorted(contexts[depth - 1], contexts[depth][keep[depth]] >> 8)] = True
+
+    # smoothed distributions, from the root down
+    texts, p = [b""], [np.full((1, classes), 1 / 256)]
+    above, at_above = p[0], np.zeros(1, np.int64)  # distributions of the level above, and its contexts
+    for depth, (key, n) in enumerate(levels):
+        kept = np.flatnonzero(keep[depth]) if depth else np.arange(len(contexts[0]))
+        v = np.zeros((len(kept), classes))
+        place = np.full(len(contexts[depth]), -1)
+        place[kept] = np.arange(len(kept))
+        mine = place[owner[depth]] >= 0
+        np.add.at(v, (place[owner[depth]][mine], class_of[key[mine] & 255]), n[mine])
+        parent = above[np.searchsorted(at_above, contexts[depth][kept] >> 8)] if depth else above[:len(kept)]
+        v = (v + SMOOTHING * parent) / (v.sum(1, keepdims=True) + SMOOTHING)
         if depth:
-            v, parent = vector(nexts), vector(level.get((depth - 1, context >> 8), {}))
-            p, q = v / v.sum(), (parent + 1e-3) / (parent.sum() + 1e-3 * classes)
-            seen = p > 0
-            if v.sum() * float((p[seen] * np.log(p[seen] / q[seen])).sum()) >= DIVERGENCE * np.log(max(positions, 2)):
-                while depth and (depth, context) not in keep:
-                    keep.add((depth, context))
-                    depth, context = depth - 1, context >> 8
-
-    def text_of(depth, context):  # oldest symbol first; the key has the most recent one in its highest byte
-        return bytes((context >> (8 * k)) & 255 for k in range(depth))
-
-    root = smoothed(vector(level.get((0, 0), {})), uniform)
-    p_of = {b"": root}
-    for depth, context in sorted(keep):
-        p_of[text_of(depth, context)] = smoothed(vector(level[(depth, context)]), p_of[text_of(depth - 1, context >> 8)])
+            # oldest symbol first; the key has the most recent one in its highest byte
+            texts += [bytes((c >> (8 * k)) & 255 for k in range(depth)) for c in contexts[depth][kept].tolist()]
+            p.append(v)
+        elif len(kept):
+            p[0] = v
+        if len(kept):
+            above, at_above = v, contexts[depth][kept]
+    log_of = np.log10(np.concatenate(p)).astype(np.float32)
+    row_of = {t: k for k, t in enumerate(texts)}
+
     # states: all beginnings of retained contexts, shortest first
-    states = sorted({c[:k] for c in p_of for k in range(len(c) + 1)}, key=lambda s: (len(s), s))
+    states = sorted({c[:k] for c in texts for k in range(len(c) + 1)}, key=lambda s: (len(s), s))
     number = {s: k for k, s in enumerate(states)}
     step = np.zeros((len(states), classes), np.int32)
     log_p = np.empty((len(states), classes), np.float32)
     link = [0] * len(states)
     for k, s in enumerate(states):
         if k:
-            parent = number[s[:-1]]
-            link[k] = 0 if len(s) == 1 else int(step[link[parent], class_of[s[-1]]])
+            link[k] = 0 if len(s) == 1 else int(step[link[number[s[:-1]]], class_of[s[-1]]])
         step[k] = step[link[k]] if k else 0
-        log_p[k] = np.log10(p_of[s]) if s in p_of else log_p[link[k]]
+        log_p[k] = log_of[row_of[s]] if s in row_of else log_p[link[k]]
         for c, symbol in enumerate(present):
             nxt = number.get(s + bytes([symbol]))
             if nxt is not None:
                 step[k, c] = nxt
-    return Model(class_of, step.reshape(-1), log_p.reshape(-1), classes, len(p_of))
+    return Model(class_of, step.reshape(-1), log_p.reshape(-1), classes, len(texts))
 
 
 def log_probabilities(model: Model, streams: list[bytes]) -> np.ndarray:
@@ -242,9 +263,9 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     ends = totals.get(2, (0, 0))[0]
     train_tokens = totals.get(1, (0, 0))[0] + ends
     z = train_tokens + totals.get(1, (0, 0))[1] + (ends > 0) + 1
-    top = words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS).collect()  # bounded
-    top.sort()
-    top_words, top_counts = (np.array([r[k] for r in top], np.int64) for k in (0, 1))
+    top_words, top_counts = columns_of(words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS))  # bounded
+    by_word = np.argsort(top_words)
+    top_words, top_counts = top_words[by_word], top_counts[by_word]
     log_z = float(np.log10(z))
     end_score, end_known = float(np.log10(ends + 1)) - log_z, int(ends > 0)
 
