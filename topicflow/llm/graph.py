@@ -38,8 +38,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
 def runs_of(batches, key: str):
     """Runs of rows with equal ``key`` in a partition sorted by it, as
-    (key, table); a run may span batches."""
+    (key, record batch); a run may span batches."""
     held, held_key = [], None
+
+    def joined():
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -47,12 +51,12 @@ def runs_of(batches, key: str):
         cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
         for start, stop in zip(cuts, cuts[1:]):
             if held and keys[start] != held_key:
-                yield held_key, pa.Table.from_batches(held)
+                yield held_key, joined()
                 held = []
             held_key = keys[start]
             held.append(batch.slice(start, stop - start))
     if held:
-        yield held_key, pa.Table.from_batches(held)
+        yield held_key, joined()
 
 
 def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import most_frequent, staged
 from .graph import components, runs_of
 
 WORDS = 5
@@ -284,16 +284,25 @@ def _candidates(spark: SparkSession, shared: DataFrame, classes: DataFrame, foun
     or with ``every`` all of them, in the tile of their first shared shingle."""
     members = shared.join(found, F.col("class") == F.col("node"), "left").select("shingle", "class", "size", F.coalesce("component", "class").alias("component"))
     members = staged(spark, members, "members")
-    mixed = (members.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"))
-             .where("x <> y and n > 2").select("shingle"))
+    # shingles of several components (two classes alone have met in round 1);
+    # of those that the same classes share, as a common passage has many, the first
+    mixed = (members.groupBy("shingle").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("class")).alias("s"), F.bit_xor(F.xxhash64("class", F.lit("again"))).alias("t"))
+        .where("x <> y and n > 2").groupBy("n", "s", "t").agg(F.min("shingle").alias("shingle")).select("shingle"))
     members = staged(spark, members.join(staged(spark, mixed, "mixed"), "shingle", "left_semi"), "members")
     tried = tried.groupBy("a").agg(F.collect_list("b").alias("tried")).withColumnRenamed("a", "class")
     more = classes.select("class", "bits").join(tried, "class", "left")
     if every:  # the shared shingles of a class: at most a prefix of its text
         more = more.join(members.groupBy("class").agg(F.sort_array(F.collect_list("shingle")).alias("shingles")), "class")
-    members = members.join(more, "class")
+    # bitmaps go only to tiles with something to compare
+    placed = staged(spark, _tiles(members), "tiles")
+    useful = (placed.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("square").alias("square"),
+                                         F.min("right").alias("l"), F.max("right").alias("r"))
+              .where("x <> y and (square or (not l and r))").select("tile"))
+    placed = placed.join(staged(spark, useful, "useful"), "tile", "left_semi")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tiles = _tiles(members).repartition(parts, "tile").sortWithinPartitions("tile")
+    tiles = placed.join(more, "class").repartition(parts, "tile").sortWithinPartitions("tile")
 
     def run(batches):
         for _, t in runs_of(batches, "tile"):
@@ -344,9 +353,10 @@ def near_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     other columns are not read.  Classes and shingles go by 64-bit hashes."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = staged(spark, _describe(docs), "described")
-    frequent = (described.where("kind = 1").groupBy("key").agg(F.sum("size").alias("n"))
-                .orderBy(F.desc("n"), "key").limit(FREQUENT).collect())  # bounded
-    frequent = np.array([r.key for r in reversed(frequent)], np.int64).view(np.uint64)
+    common = staged(spark, described.where("kind = 1").groupBy("key").agg(F.sum("size").alias("n")), "common")
+    common = most_frequent(common, "n", FREQUENT).toArrow()  # at most FREQUENT rows
+    key, n = common.column("key").to_numpy(), common.column("n").to_numpy()
+    frequent = key[np.lexsort((key, n))].view(np.uint64)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = (_prefixes(docs, frequent).repartition(parts, "shingle", "salt")
