@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import most_frequent, staged
 
 DEPTH = 5              # with the next symbol, 6 bytes of one long
 MIN_SHARE = 2e-6       # a context needs this share of all positions; so at most DEPTH / MIN_SHARE contexts
 NEXT_SHARE = 1 / 64    # next symbols rarer than this share of that floor are left to smoothing
 DIVERGENCE = 1.0       # retained if count * KL divergence >= DIVERGENCE * ln(positions)
 SMOOTHING = 60.0       # weight of the parent's distribution, in counts
-FREQUENT_WORDS = 1 << 18  # words whose counts every task holds; others are looked up by a join
+FREQUENT_WORDS = 1 << 18  # at most so many words have their counts in every task; others are looked up by a join
 END = 10               # end symbol of a text; also fills the context before its start
 _CHUNK = 2048
 _COUNTED_AT_ONCE = 1 << 23
@@ -263,7 +263,7 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     ends = totals.get(2, (0, 0))[0]
     train_tokens = totals.get(1, (0, 0))[0] + ends
     z = train_tokens + totals.get(1, (0, 0))[1] + (ends > 0) + 1
-    top_words, top_counts = columns_of(words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS))  # bounded
+    top_words, top_counts = columns_of(most_frequent(words, "c", FREQUENT_WORDS))
     by_word = np.argsort(top_words)
     top_words, top_counts = top_words[by_word], top_counts[by_word]
     log_z = float(np.log10(z))
