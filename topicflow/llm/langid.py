@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-MAX_PER_LANGUAGE = 800  # labelled documents a language is learned from, about
+MAX_PER_LANGUAGE = 300  # labelled documents a language is learned from, about
 BITS = 12               # trigrams are hashed into 2 ** BITS features
 UNDETERMINED = "und"
 _BLOCK = 1 << 20        # bytes of text scored at a time
@@ -137,9 +137,16 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, max_per_language: i
                 [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.string()),
                  pa.array([k[2].tobytes() for k in kept], pa.binary())], names=["doc_id", "lang", "x"])
 
-    rows = staged(spark, sample.mapInArrow(run, "doc_id long, lang string, x binary"), "language-sample").collect()
-    rows.sort(key=lambda r: (crc32(str(r.doc_id).encode()), r.lang, r.x))
-    return fit_rows([r.lang for r in rows], np.stack([np.frombuffer(r.x, np.float32) for r in rows])) if rows else None
+    t = staged(spark, sample.mapInArrow(run, "doc_id long, lang string, x binary"), "language-sample").toArrow()
+    doc_id, lang, x = (t.column(c) for c in ("doc_id", "lang", "x"))
+    order = sorted(range(t.num_rows), key=lambda k: (crc32(str(doc_id[k]).encode()), lang[k].as_py(), x[k].as_py()))
+    if not order:
+        return None
+    # one row at a time: the sample stands in the driver's memory once
+    shares = np.empty((len(order), 1 << BITS), np.float32)
+    for to, k in enumerate(order):
+        shares[to] = np.frombuffer(x[k].as_buffer(), np.float32)
+    return fit_rows([lang[k].as_py() for k in order], shares)
 
 
 def margins(model: Model, texts) -> np.ndarray:
