@@ -33,10 +33,10 @@ PERCENT = 75
 FREQUENT = 1 << 16      # shingles the order knows to be frequent (any number is right)
 SALTS = 64              # tasks over which a frequent shingle is spread
 BLOCK = 512
-PROMISING_ROUNDS = 2
+PROMISING_ROUNDS = 1
 BROADCAST_IDS = 500_000  # ids (8 bytes each) sent to all tasks; more are joined by a shuffle
-_COUNTED_AT_ONCE = 1 << 22
-_KNOWN_WORDS = 1_000_000
+_COUNTED_AT_ONCE = 1 << 20
+_KNOWN_WORDS = 250_000
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
@@ -315,10 +315,16 @@ def _candidates(spark: SparkSession, shared: DataFrame, classes: DataFrame, foun
             if not len(left_rows) or not len(right_rows):
                 continue
             key, size = t.column("class").to_numpy(), t.column("size").to_numpy()
+            # before any bitmap: different components, and sizes that could link
+            apart = component[left_rows][:, None] != component[right_rows][None, :]
+            smaller, larger = (f(size[left_rows][:, None], size[right_rows][None, :]) for f in (np.minimum, np.maximum))
+            apart &= 100 * smaller >= PERCENT * larger
+            if not apart.any():
+                continue
             bits = folded(t.column("bits").to_pylist())
             done = [set(x or ()) for x in t.column("tried").to_pylist()]
             bound = most_overlap(bits[left_rows], bits[right_rows], size[left_rows], size[right_rows])
-            ok = may_link(bound, size[left_rows][:, None], size[right_rows][None, :]) & (component[left_rows][:, None] != component[right_rows][None, :])
+            ok = may_link(bound, size[left_rows][:, None], size[right_rows][None, :]) & apart
             i, j = np.nonzero(np.triu(ok, 1) if square else ok)
             a, b, likely = left_rows[i], right_rows[j], bound[i, j] / (size[left_rows][i] + size[right_rows][j])
             some = np.array([key[y] not in done[x] and key[x] not in done[y] for x, y in zip(a.tolist(), b.tolist())], bool)
