@@ -41,6 +41,42 @@ def test_without_training_rows_and_empty(spark):
     assert S.score(spark, documents(spark).limit(0), F.lit(False)).count() == 0
 
 
+def test_contexts_pass_by_divergence_whatever_the_corpus_size(spark):
+    key = lambda c, x: int.from_bytes(bytes(reversed(c)) + bytes([x]), "big")
+    r = random.Random(3)
+    text = bytes(r.choices(b"abcd ", [9, 5, 2, 1, 3], k=4000))
+    counts = Counter(key(text[k - S.DEPTH:k], text[k]) for k in range(S.DEPTH, len(text)))
+    for k in counts:
+        counts[k] *= 500_000  # 2e9 positions
+    counts[key(b"xyzxy", ord("a"))] = 60  # rare, and always before the same symbol
+    counts[key(b"qqqqq", ord("a"))] = 1
+    positions, levels = S.frequent_contexts(spark, spark.createDataFrame(list(counts.items()), "key long, n long"))
+    assert positions == sum(counts.values())
+    above, want, tree, depths = set(), [], 1, [dict(counts)]
+    for _ in range(S.DEPTH):
+        up = Counter()
+        for k, n in depths[0].items():
+            up[k >> 16 << 8 | k & 255] += n
+        depths.insert(0, up)
+    totals = [Counter() for _ in depths]
+    for total, rows in zip(totals, depths):
+        for k, n in rows.items():
+            total[k >> 8] += n
+    classes = len({k & 255 for k in counts} | {S.END}) + 1
+    for d in range(S.DEPTH, 0, -1):
+        gain = Counter()
+        for k, n in depths[d].items():
+            q = (depths[d - 1][k >> 16 << 8 | k & 255] + 1e-3) / (totals[d - 1][k >> 16] + 1e-3 * classes)
+            gain[k >> 8] += n * math.log(n / totals[d][k >> 8] / q)
+        above = {c >> 8 for c in above} | {c for c, g in gain.items() if g >= S.DIVERGENCE * math.log(positions)}
+        tree += len(above)
+        want.insert(0, {k: n for k, n in depths[d].items() if k >> 8 in above or d <= S.SHARD})
+    got = [dict(zip(k.tolist(), n.tolist())) for k, n in levels]
+    assert got == [dict(depths[0]), *want]
+    assert S.build(positions, levels).contexts == tree
+    assert any(k >> 8 == ord("y") for k in got[1]) and ord("y") in above  # 60 of 2e9 positions
+
+
 def test_automaton_equals_longest_suffix_lookup():
     r = random.Random(5)
     texts = [[bytes(r.choice(b"abc") for _ in range(r.randint(1, 6))) for _ in range(r.randint(0, 60))] for _ in range(200)]

@@ -3,9 +3,10 @@
 A text is read as its lower-case words, each followed by a blank, and one
 end symbol, so the probability of a token is that of its symbols.  Contexts
 of up to ``DEPTH`` symbols (across words) are counted over all training
-texts; a context is retained if it is frequent enough and its next-symbol
-distribution diverges enough from that of its parent (the context without
-its oldest symbol).  Distributions are smoothed with the parent's, the
+texts; a context is retained if its next-symbol distribution diverges enough
+from that of its parent (the context without its oldest symbol), which is
+tested in tasks by the two symbols before the next one, so the tree grows with
+the corpus.  Distributions are smoothed with the parent's, the
 root's with the uniform one over bytes.  Scoring walks an automaton whose
 states are the longest suffixes that matter.
 """
@@ -23,13 +24,13 @@ from pyspark.sql import functions as F
 from .common import most_frequent, staged
 
 DEPTH = 5              # with the next symbol, 6 bytes of one long
-MIN_SHARE = 2e-6       # a context needs this share of all positions; so at most DEPTH / MIN_SHARE contexts
-NEXT_SHARE = 1 / 64    # next symbols rarer than this share of that floor are left to smoothing
+SHARD = 2              # so many symbols before the next one name a shard of the contexts
 DIVERGENCE = 1.0       # retained if count * KL divergence >= DIVERGENCE * ln(positions)
 SMOOTHING = 60.0       # weight of the parent's distribution, in counts
 FREQUENT_WORDS = 1 << 18  # at most so many words have their counts in every task; others are looked up by a join
 END = 10               # end symbol of a text; also fills the context before its start
 _CHUNK = 2048
+_ROWS = 1024
 _COUNTED_AT_ONCE = 1 << 23
 _KNOWN_WORDS = 1_000_000
 
@@ -67,13 +68,24 @@ def count_contexts(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(s) for s in streams])
     key = np.zeros(len(raw) - DEPTH, np.int64)
     for k in range(1, DEPTH + 1):
-        key = (key << 8) | raw[DEPTH - k:len(raw) - k]
-    key = (key << 8) | raw[DEPTH:]
+        key |= raw[DEPTH - k:len(raw) - k]
+        key <<= 8
+    key |= raw[DEPTH:]
     scored = np.ones(len(key), bool)  # not where the next symbol belongs to a start
     starts = np.cumsum(lengths)[:-1]
     for k in range(DEPTH):
         scored[starts + k - DEPTH] = False
-    return np.unique(key[scored], return_counts=True)
+    key = key[scored]
+    key.sort()  # in place: the largest array of a task stands in its memory once
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.diff(np.append(first, len(key)))
+
+
+def slices(batches):
+    """The batches in slices of so few rows that what a task makes of one is small beside the tree."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
 
 
 def gather(docs: DataFrame, train: Column) -> DataFrame:
@@ -98,7 +110,7 @@ def gather(docs: DataFrame, train: Column) -> DataFrame:
             both, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
             return both, np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
 
-        for batch in batches:
+        for batch in slices(batches):
             seen = []
             for text in batch.column(0):
                 words = (text.as_py() or "").encode().lower().split()
@@ -130,21 +142,60 @@ def columns_of(df: DataFrame) -> list[np.ndarray]:
     return [t.column(c).to_numpy() for c in t.column_names]
 
 
+def shorter(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays (key, n) without the oldest symbol of the contexts."""
+    key, of = np.unique(key >> 16 << 8 | key & 255, return_inverse=True)
+    return key, np.bincount(of, n, minlength=len(key)).astype(np.int64)
+
+
+def gains(key: np.ndarray, n: np.ndarray, parent_key: np.ndarray, parent_n: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(contexts, count * KL divergence of each from its parent) of one depth's sorted arrays."""
+    context, of = np.unique(key >> 8, return_inverse=True)
+    total = np.bincount(of, n, minlength=len(context))
+    parents, parent_of = np.unique(parent_key >> 8, return_inverse=True)
+    parent_total = np.bincount(parent_of, parent_n, minlength=len(parents))
+    wanted = (key >> 16 << 8) | (key & 255)
+    at = np.minimum(np.searchsorted(parent_key, wanted), len(parent_key) - 1)
+    in_parent = np.where(parent_key[at] == wanted, parent_n[at], 0)
+    q = (in_parent + 1e-3) / (parent_total[np.searchsorted(parents, context >> 8)][of] + 1e-3 * classes)
+    return context, np.bincount(of, n * np.log(n / total[of] / q), minlength=len(context))
+
+
 def frequent_contexts(spark: SparkSession, counts: DataFrame) -> tuple[int, list]:
-    """(positions, per depth from 0 the arrays (key, n)) of the contexts that
-    have MIN_SHARE of all positions.  A key is a context and its next symbol."""
-    at_depth = staged(spark, counts.select(F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(F.lit(255)).alias("next"), "n"), "contexts")
-    positions = at_depth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    floor = positions * MIN_SHARE
-    found = []
-    for depth in range(DEPTH, -1, -1):
-        if depth < DEPTH:
-            at_depth = staged(spark, at_depth.groupBy(F.shiftright("context", 8).alias("context"), "next").agg(F.sum("n").alias("n")), "contexts")
-        often = at_depth.groupBy("context").agg(F.sum("n").alias("all")).where(F.col("all") >= floor)
-        rows = at_depth.where(F.col("n") >= floor * NEXT_SHARE).join(often, "context", "left_semi")
-        # at most 1 / MIN_SHARE / NEXT_SHARE rows
-        found.append(columns_of(rows.select((F.shiftleft("context", 8) + F.col("next")).alias("key"), "n").orderBy("key")))
-    return positions, found[::-1]
+    """(positions, per depth from 0 the arrays (key, n)): all contexts of up to
+    SHARD symbols, and of the longer ones those that pass the divergence test
+    of :func:`build` and their suffixes, with all their next symbols.  A key
+    is a context and its next symbol.
+
+    Contexts with the same last SHARD symbols are tested together in a task,
+    as their parents are among them; what reaches the driver is the tree,
+    whose size follows the corpus."""
+    short = counts.groupBy(F.shiftright("key", 8 * (DEPTH + 1 - SHARD)).alias("context"), F.col("key").bitwiseAND(F.lit(255)).alias("next")).agg(F.sum("n").alias("n"))
+    found = [columns_of(short.select((F.shiftleft("context", 8) + F.col("next")).alias("key"), "n").orderBy("key"))]  # at most 2 ** 24 rows
+    for _ in range(SHARD):
+        found.insert(0, shorter(*found[0]))
+    positions, classes = int(found[0][1].sum()), len({*(found[0][0] & 255).tolist(), END}) + 1
+    least = DIVERGENCE * np.log(max(positions, 2))
+
+    def run(table):
+        key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
+        order = np.argsort(key)
+        levels = [(key[order], n[order])]
+        for _ in range(DEPTH - SHARD):
+            levels.append(shorter(*levels[-1]))
+        depths, keys, ns, above = [], [], [], np.zeros(0, np.int64)
+        for k, (key, n) in enumerate(levels[:-1]):
+            context, gain = gains(key, n, *levels[k + 1], classes)
+            above = np.union1d(above >> 8, context[gain >= least])
+            mine = np.isin(key >> 8, above)
+            depths.append(np.full(mine.sum(), DEPTH - k, np.int32))
+            keys.append(key[mine])
+            ns.append(n[mine])
+        return pa.table({"depth": np.concatenate(depths), "key": np.concatenate(keys), "n": np.concatenate(ns)})
+
+    tree = staged(spark, counts.select("key", "n", F.shiftright("key", 8 * (DEPTH + 1 - SHARD)).alias("shard"))
+                  .groupBy("shard").applyInArrow(run, "depth int, key long, n long"), "contexts")
+    return positions, found + [columns_of(tree.where(F.col("depth") == depth).select("key", "n").orderBy("key")) for depth in range(SHARD + 1, DEPTH + 1)]
 
 
 def build(positions: int, levels: list) -> Model:
@@ -156,30 +207,21 @@ def build(positions: int, levels: list) -> Model:
     class_of[present] = np.arange(len(present))
 
     # divergence tests against the parent
-    contexts, owner, totals, keep = [], [], [], []
+    contexts, owner, keep = [], [], []
     for depth, (key, n) in enumerate(levels):
         context, of = np.unique(key >> 8, return_inverse=True)
-        total = np.bincount(of, n, minlength=len(context))
         ok = np.zeros(len(context), bool)
         if depth and len(key):
-            parent_key, parent_n = levels[depth - 1]
-            wanted = (key >> 16 << 8) | (key & 255)
-            at = np.minimum(np.searchsorted(parent_key, wanted), len(parent_key) - 1)
-            in_parent = np.where(parent_key[at] == wanted, parent_n[at], 0)
-            parent = np.searchsorted(contexts[-1], context >> 8)
-            q = (in_parent + 1e-3) / (totals[-1][parent][of] + 1e-3 * classes)
-            gain = np.bincount(of, n * np.log(n / total[of] / q), minlength=len(context))
-            ok = gain >= DIVERGENCE * np.log(max(positions, 2))
+            ok = gains(key, n, *levels[depth - 1], classes)[1] >= DIVERGENCE * np.log(max(positions, 2))
         contexts.append(context)
         owner.append(of)
-        totals.append(total)
         keep.append(ok)
     for depth in range(len(levels) - 1, 0, -1):  # suffixes of a retained context stay too
         keep[depth - 1][np.searchsorted(contexts[depth - 1], contexts[depth][keep[depth]] >> 8)] = True
 
     # smoothed distributions, from the root down
-    texts, p = [b""], [np.full((1, classes), 1 / 256)]
-    above, at_above = p[0], np.zeros(1, np.int64)  # distributions of the level above, and its contexts
+    texts, log_of = [b""], [np.full((1, classes), np.log10(1 / 256), np.float32)]
+    above, at_above = np.full((1, classes), 1 / 256), np.zeros(1, np.int64)  # distributions of the level above, and its contexts
     for depth, (key, n) in enumerate(levels):
         kept = np.flatnonzero(keep[depth]) if depth else np.arange(len(contexts[0]))
         v = np.zeros((len(kept), classes))
@@ -192,12 +234,12 @@ def build(positions: int, levels: list) -> Model:
         if depth:
             # oldest symbol first; the key has the most recent one in its highest byte
             texts += [bytes((c >> (8 * k)) & 255 for k in range(depth)) for c in contexts[depth][kept].tolist()]
-            p.append(v)
+            log_of.append(np.log10(v).astype(np.float32))
         elif len(kept):
-            p[0] = v
+            log_of[0] = np.log10(v).astype(np.float32)
         if len(kept):
             above, at_above = v, contexts[depth][kept]
-    log_of = np.log10(np.concatenate(p)).astype(np.float32)
+    log_of = np.concatenate(log_of)
     row_of = {t: k for k, t in enumerate(texts)}
 
     # states: all beginnings of retained contexts, shortest first
@@ -258,6 +300,8 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     counts = staged(spark, gather(rows, ~F.col("held_out")).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     positions, contexts = frequent_contexts(spark, counts.where("kind = 0").select("key", "n"))
     model = build(positions, contexts)
+    n_contexts, sent = model.contexts, spark.sparkContext.broadcast(model)
+    del contexts, model
     words = counts.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     totals = {r.kind: (r.n, r.distinct) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
     ends = totals.get(2, (0, 0))[0]
@@ -271,7 +315,7 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
 
     def run(batches):
         numbers, count_of = WordNumbers(), np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             if len(numbers) > _KNOWN_WORDS:
                 numbers, count_of = WordNumbers(), np.zeros(0, np.int64)
             streams, lengths, seen = [], [], []
@@ -297,7 +341,7 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(lengths + 1), pa.array(known), pa.array(base),
-                 pa.array(log_probabilities(model, streams)), none, none], names=[x.split()[0] for x in SCORED.split(", ")])
+                 pa.array(log_probabilities(sent.value, streams)), none, none], names=[x.split()[0] for x in SCORED.split(", ")])
             if len(seen) > often.sum():
                 pairs, times = np.unique(of[~often] * len(hashes) + seen[~often], return_counts=True)
                 row = batch.column(0).to_numpy()[pairs // len(hashes)]
@@ -308,6 +352,7 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
                     names=[x.split()[0] for x in SCORED.split(", ")])
 
     scored = staged(spark, rows.select("row", "doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
+    sent.unpersist()
     rare = (scored.where("word is not null").select("row", "word", "times").join(words, "word", "left")
             .groupBy("row").agg(F.sum(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - log_z)).alias("rare_score"),
                                 F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known")))
@@ -315,4 +360,4 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
                     F.lit(train_tokens).cast("long").alias("train_tokens"),
                     (F.col("base_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"), "score",
-                    F.lit(model.contexts).cast("long").alias("contexts")))
+                    F.lit(n_contexts).cast("long").alias("contexts")))
