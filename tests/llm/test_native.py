@@ -100,6 +100,23 @@ def test_line_rules_equal_their_sql(spark):
     assert linefreq.line_rules(spark, documents(spark).limit(0)).count() == 0
 
 
+def test_cleaned_documents_lack_the_frequent_lines(spark):
+    r = random.Random(11)
+    hot = "Read MORE about 7 Ölçü: here!"
+    rows = [(i, "\n".join(r.sample([hot.replace("7", str(i)), "", "12 -- 34", "  Own line\t" + "x" * (1 + i) + " ", "read more,  ABOUT ölçü here", "end"], 6)), f"h{i % 2}")
+            for i in range(60)] + [(100, None, "h0"), (101, "", "h0"), (102, hot, "h0"), (102, hot, "h0"), (103, hot + "\n", "alone"), (104, hot, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    banner = {"read more about ölçü here", "end"}
+    key = lambda x: " ".join("".join(c if c.isalpha() else " " for c in x.lower()).split())
+    want = [(i, t if t is None or h not in ("h0", "h1") else "\n".join(x for x in t.split("\n") if key(x) not in banner)) for i, t, h in rows]
+    out = linefreq.cleaned(spark, docs)
+    got = out.collect()
+    assert sorted(((x.doc_id, x.text) for x in got), key=str) == sorted(want, key=str)
+    assert all(sum(len(key(line).split()) for line in (x.text or "").split("\n")) == x.line_words - x.removed_words for x in got)
+    _same([x.asDict() for x in linefreq.line_rules(spark, docs).collect()], out.drop("text"))
+    assert linefreq.cleaned(spark, docs.limit(0)).count() == 0
+
+
 def _mix(spark, docs):
     return mixing.mix(spark, docs, queries.MIX_FRACTION, queries.MIX_EPOCHS, queries.MIX_WEIGHTS, queries.MIX_SEED).drop("row")
 

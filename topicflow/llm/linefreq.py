@@ -78,17 +78,31 @@ def with_repeated_window_words(df: DataFrame, words: str, out: str) -> DataFrame
 def line_rules(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_MIN_DOCS, line_share: int = LINE_SHARE,
                least_left: int = LEAST_LEFT) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, line_words, removed_words, kept) of every row of ``docs``.
+    base_failed, line_words, removed_words, kept) of every row of ``docs``:
+    the counts and the verdict of :func:`cleaned`, without moving the texts.
 
     A null text is an empty one, a null source a host of its own; documents
     of one host with equal texts count once in line frequencies; lines
     without a letter are never taken out; repeated rows stay; an empty table
     gives no rows; other columns are not read."""
+    return _ruled(spark, docs, line_min_docs, line_share, least_left)
+
+
+def cleaned(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_MIN_DOCS, line_share: int = LINE_SHARE,
+            least_left: int = LEAST_LEFT) -> DataFrame:
+    """The columns of :func:`line_rules` and ``text``, the whole text without
+    the lines taken out, of every row of ``docs``; those to go on with are
+    ``kept``.  Lines that stay are unchanged and in their order, also those
+    without a letter; a null text stays null."""
+    return _ruled(spark, docs, line_min_docs, line_share, least_left, "text")
+
+
+def _ruled(spark: SparkSession, docs: DataFrame, line_min_docs: int, line_share: int, least_left: int, *whole: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("no_host"),
-        text.alias("text"), words_of(text).alias("words"))
-    lines = F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", " "), "\n")
+        text.alias("text"), F.col("text").isNull().alias("no_text"), words_of(text).alias("words"))
+    normalised = F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", " "), "\n")
     filled = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     rows = with_repeated_window_words(rows, "words", "n_repeat_words").select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "host", "no_host", F.xxhash64("text").alias("text_key"),
@@ -97,8 +111,9 @@ def line_rules(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_M
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size(filled) - F.size(F.array_distinct(filled))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.transform(F.filter(F.transform(lines, lambda x: F.btrim(x)), lambda x: x != ""),
-                    lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("words"))).alias("lines"))
+        F.transform(F.filter(F.transform(normalised, lambda x: F.btrim(x)), lambda x: x != ""),
+                    lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, " ")).alias("words"))).alias("lines"),
+        *(["text", "no_text"] if whole else []))
     rows = staged(spark, rows, "line-rules")
 
     host = ["host", "no_host"]
@@ -109,12 +124,17 @@ def line_rules(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_M
     frequent = staged(spark, holders.where(F.col("holders") >= line_min_docs).join(texts, host)
                       .where(F.col("holders") * 100 >= F.col("texts") * line_share).select(*host, "line"), "frequent-lines")
     removed = (rows.select("row", *host, F.explode("lines").alias("l")).select("row", *host, "l.line", "l.words")
-               .join(frequent, [*host, "line"]).groupBy("row").agg(F.sum("words").alias("removed_words")))
+               .join(frequent, [*host, "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"), *([F.collect_set("line").alias("taken")] if whole else [])))
     out = rows.join(removed, "row", "left").select(
         "*", F.coalesce("removed_words", F.lit(0)).alias("gone"),
         F.aggregate("lines.words", F.lit(0).cast("long"), lambda a, x: a + x).alias("line_words"))
+    # the lines of the text and the normalised ones stand at the same places
+    left = F.transform(F.filter(F.arrays_zip(F.split("text", "\n").alias("line"), normalised.alias("key")),
+                                lambda x: (F.btrim(x["key"]) == "") | ~F.array_contains("taken", F.xxhash64(F.btrim(x["key"])))), lambda x: x["line"])
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     depleted = (F.col("line_words") - F.col("gone")) * 100 < F.col("line_words") * least_left
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       failed.alias("base_failed"), "line_words", F.col("gone").cast("long").alias("removed_words"),
-                      (~failed & ~depleted).alias("kept"))
+                      (~failed & ~depleted).alias("kept"),
+                      *([F.when(F.col("no_text"), None).when(F.col("taken").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")]
+                        if whole else []))
