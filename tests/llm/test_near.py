@@ -56,6 +56,14 @@ def test_near_texts_edges(spark):
     assert ids(kept.collect()) == [None, None, 1, 3, 4, 5, 6, 7, 8, 10, 11]
 
 
+def test_one_of_each_goes_by_row_where_an_id_stands_on_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, b), (4, c), (4, c + " more"), (4, c.upper()), (4, c), (5, ""), (5, ""), (5, a), (6, "only this"), (None, a)]
+    got = jaccard.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((x.doc_id, x.text) for x in got if x.doc_id != 4), key=str) == sorted([(1, a), (2, b), (5, ""), (5, ""), (6, "only this"), (None, a)], key=str)
+    assert len([x for x in got if x.doc_id == 4]) == 1
+
+
 @pytest.mark.parametrize("block,frequent", [(512, 1 << 16), (8, 4)])
 def test_near_texts_equal_brute_force(spark, monkeypatch, block, frequent):
     """Families whose members link along chains, shared passages, common

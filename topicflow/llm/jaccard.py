@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import most_frequent, staged
 from .graph import components, runs_of
@@ -357,6 +358,12 @@ def near_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts; rows without an id count as links but never name a component, so
     theirs is null where no other has an id; an empty table gives no rows;
     other columns are not read.  Classes and shingles go by 64-bit hashes."""
+    return _near(spark, docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """:func:`near_texts` with the class of every row, and that of the row
+    that names its component: the smallest (doc_id, class)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = staged(spark, _describe(docs), "described")
     common = staged(spark, described.where("kind = 1").groupBy("key").agg(F.sum("size").alias("n")), "common")
@@ -404,27 +411,50 @@ def near_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     root = staged(spark, firsts.join(found, F.col("class") == F.col("node"), "left")
                   .select("class", "doc_id", F.coalesce("component", "class").alias("root")), "roots")
-    least = staged(spark, root.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    named = staged(spark, root.join(least, "root").select("class", "component_id"), "named")
+    least = root.groupBy("root").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "class"))).alias("l"))
+    least = staged(spark, least.select("root", F.col("l.doc_id").alias("component_id"), F.col("l.class").alias("component_class")), "least")
+    named = staged(spark, root.join(least, "root").select("class", "component_id", "component_class"), "named")
     rows = described.where("kind = 0").select("doc_id", F.col("key").alias("class"), F.col("size").alias("n_shingles"))
-    linked = rows.where("n_shingles > 0").join(named, "class").select("doc_id", "n_shingles", "component_id")
-    return linked.union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    columns = ["doc_id", "class", "n_shingles", "component_id", "component_class"]
+    alone = rows.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "component_class": F.col("class")})
+    return rows.where("n_shingles > 0").join(named, "class").select(*columns).union(alone.select(*columns))
+
+
+def _with_class(docs: DataFrame) -> DataFrame:
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            keys = [class_key(words_of(t.as_py())) for t in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "_class"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_class", LongType())]))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, less near duplicates: of each
-    component the row of the smallest doc_id stays.  Of rows equal in id and
-    text one stays; texts without words and rows without an id all stay."""
-    rows = staged(spark, near_texts(spark, docs), "near")
+    component one row of the smallest (doc_id, class) stays, so that an id on
+    several texts keeps those of other components.  Texts without words and
+    rows without an id all stay."""
+    rows = staged(spark, _near(spark, docs), "near")
     repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("most")).where("n > 1 and most > 0")
     repeated = staged(spark, repeated.select("doc_id"), "repeated")
-    dropped = staged(spark, rows.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    several = not repeated.isEmpty()
+    leaving = rows.where("n_shingles > 0 and doc_id is not null and (doc_id <> component_id or class <> component_class)")
+    one = leaving.join(repeated, "doc_id", "left_anti") if several else leaving  # an id of one row names it
+    dropped = staged(spark, one.select("doc_id").distinct(), "dropped")
     n = dropped.count()
     gone, again = dropped.select(F.col("doc_id").alias("_gone")), repeated.select(F.col("doc_id").alias("_again"))
     if n <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    if repeated.isEmpty():
+    if not several:
         return kept
-    once = kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left_anti")
-    return once.unionByName(kept.join(again, F.col("doc_id").cast("long") == F.col("_again"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    same_id = F.col("doc_id").cast("long") == F.col("_again")
+    pairs = leaving.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_gone"), F.col("class").alias("_gone_class")).distinct()
+    more = staged(spark, _with_class(docs.join(again, same_id, "left_semi"))
+                  .join(pairs, (F.col("doc_id").cast("long") == F.col("_gone")) & (F.col("_class") == F.col("_gone_class")), "left_anti"), "several")
+    wordless = F.col("_class") == class_key([])
+    first = more.where(~wordless).groupBy("doc_id", "_class").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text").alias("_row"))
+    return (kept.join(again, same_id, "left_anti").unionByName(more.where(wordless).drop("_class"))
+            .unionByName(first.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])))
