@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
+from . import decontaminate, jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -153,3 +153,30 @@ def op1_suffix_tree(spark, sf_dir):
 def op8_ngram_jaccard(spark, sf_dir):
     """Near-duplicate components of all documents: word 5-grams, 0.75."""
     return jaccard.near_texts(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_benchmark_decontamination(spark, sf_dir):
+    """What every document shares with the benchmark: windows of 10 words."""
+    found = decontaminate.matches(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.coverage()
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op13_benchmark_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), {decontaminate.WINDOW}) AS size, array_to_string(w[i:i + least(len(w), {decontaminate.WINDOW}) - 1], ' ') AS g
+  FROM b, LATERAL (SELECT unnest(generate_series(1, greatest(1, len(w) - {decontaminate.WINDOW - 1}))) AS i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM win),
+runs AS (SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes,
+  LATERAL (SELECT unnest(generate_series(1, len(w) - size + 1)) AS i)),
+occ AS (SELECT DISTINCT r, i, size, item_id FROM runs JOIN win USING (size, g)),
+hit AS (SELECT r, count(DISTINCT k) AS n_hit FROM occ, LATERAL (SELECT unnest(generate_series(i, i + size - 1)) AS k) GROUP BY r),
+its AS (SELECT r, count(item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM occ) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""
