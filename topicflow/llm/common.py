@@ -12,16 +12,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+# digits, letters and everything beyond ASCII make words; A-Z count as a-z
+_FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+
+
+def folded(text: bytes) -> bytes:
+    """UTF-8 ``text``, as long, with blanks between lower-case words."""
+    return text.translate(_FOLD)
+
+
+def folded_words(text: bytes | None) -> list[bytes]:
+    return folded(text or b"").split()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared checkpoint folder and read
-    back: lineage is cut and a lost executor costs no recomputation."""
+def staged(spark: SparkSession, df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder (in folders
+    by the columns ``folders``, its last) and read back: lineage is cut and a
+    lost executor costs no recomputation."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,20 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import folded, folded_words, staged
 
 WINDOW = 10
 MAX_BYTES = 512 << 10   # item text of one automaton (one longer item: its pieces)
 AT_ONCE = 4
 PIECE_WORDS = 5_000     # longer items enter in pieces that share window - 1 words
 
-# digits, letters and everything beyond ASCII make words; A-Z count as a-z
-_FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(_FOLD).split()
-
 
 class SuffixAutomaton:
     """Generalised suffix automaton of word sequences: ``next`` (a dict of
@@ -167,7 +160,7 @@ def joined(spans: list) -> list:
 
 def without(text: bytes, spans: list) -> bytes:
     """``text`` less the words of the spans and what lies between them."""
-    starts = np.frombuffer(b" " + text.translate(_FOLD) + b" ", np.uint8) != 32
+    starts = np.frombuffer(b" " + folded(text) + b" ", np.uint8) != 32
     edges = np.flatnonzero(starts[1:] != starts[:-1])  # begin and end of every word
     out, at = [], 0
     for first, behind in spans:
@@ -185,7 +178,7 @@ def automata(spark: SparkSession, items: DataFrame, window: int = WINDOW) -> Dat
         held, n = [], 0
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
+                words = folded_words(text)
                 long = len(words) > PIECE_WORDS
                 for piece in [words[at:at + PIECE_WORDS] for at in range(0, len(words) - window + 1, PIECE_WORDS - window + 1)] if long else [words][:len(words)]:
                     held.append((name, piece))
@@ -228,7 +221,7 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int
                 texts = batch.column(0).field("text").cast(pa.binary())
                 out = ([], [], [])
                 for k in range(batch.num_rows):
-                    words = words_of(texts[k].as_py())
+                    words = folded_words(texts[k].as_py())
                     spans, names = ([], set()) if first else ([[s["start"], s["stop"]] for s in batch.column(3)[k].as_py()], set(batch.column(2)[k].as_py()))
                     for m in matchers:
                         more, ids = m.match(words)

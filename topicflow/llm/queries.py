@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
+from . import bestposition, decontaminate, jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -155,6 +155,30 @@ def op8_ngram_jaccard(spark, sf_dir):
     return jaccard.near_texts(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_best_position_search(spark, sf_dir):
+    """The 50 best documents for every benchmark item."""
+    return bestposition.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op12_best_position_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
+docs AS (SELECT r, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_ITEM_WORD}')) AS t FROM benchmark),
+post AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM post, c GROUP BY t, n_docs),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * n * n_docs) // n_terms AS m FROM docs, c),
+s AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN post USING (t) JOIN weight USING (t) JOIN m USING (r) GROUP BY item_id, r),
+o AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= {bestposition.K}"""
+
+
 @query
 def op13_benchmark_decontamination(spark, sf_dir):
     """What every document shares with the benchmark: windows of 10 words."""
@@ -164,9 +188,6 @@ def op13_benchmark_decontamination(spark, sf_dir):
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 ORACLE_SQL["op13_benchmark_decontamination"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORD}') AS w FROM benchmark),
