@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bestposition, decontaminate, jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
+from . import bestposition, crosstoken, decontaminate, jaccard, langid, linefreq, mixing, nearvectors, packing, quality, sharding, suffixtree, tokencount
 from .common import crc_mod, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -155,6 +155,13 @@ def op8_ngram_jaccard(spark, sf_dir):
     return jaccard.near_texts(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Tokens of two tokenizers aligned over all documents."""
+    return crosstoken.alignment(spark, table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op12_best_position_search(spark, sf_dir):
     """The 50 best documents for every benchmark item."""
