@@ -8,10 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicflow.functions.java import java_str
+from topicflow.operators import sweep
 from topicflow.operators.sequence import running_sums
 from topicflow.operators.tables import order_user, order_user_item
 from topicflow.schemas import (ADULT_MAX_AGE, ADULT_MIN_AGE, TOP_ITEMS_ADVANCE_MS, TOP_ITEMS_K,
                                TOP_ITEMS_WINDOW_MS)
+from topicflow.session import staged
+
+SALT_PANES = 100_000    # panes of a type and block that one task sweeps
 
 # arrival order of the order stream; (order, line, item, quantity) is unique
 # in the driver data, and rows equal in all five are interchangeable
@@ -103,26 +107,20 @@ def top_items_hopping(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     item's first order in the window, ``amount`` = sum of quantity*price,
     ``rank`` 1..k (ties: item name).
 
-    Plan — no 720-way Expand, no 720x shuffle, no per-window aggregation
-    where the window content does not change:
+    Plan — no 720-way Expand, and rows in proportion to panes, not to window
+    starts, until the result is written out:
 
     1. pre-aggregate the stream to panes of ``advance_ms`` per (type, item)
        (partial aggregation: a hot item costs one row per pane and task);
     2. hand each pane to the time blocks (``block_ms`` of window starts,
        one window length by default) it reaches: at most
        ``size/block + 1`` (2) small rows per pane;
-    3. shuffle once by (type, block, item salt).  Inside a group, the
-       window starts where some pane enters or leaves cut the block into
-       segments of equal content (at most one per window start, so the
-       boundary list is bounded by ``block_ms/advance_ms + 1`` = 721);
-    4. aggregate and rank once per segment, keep each salt's top k, merge
-       the salts per (type, block) (a second, small shuffle: at most
-       salts x k rows per segment), then expand each ranked row to the
-       window starts of its segment.
-
-    Aggregate, boundary list and ranking windows follow the shuffle's
-    partitioning, so Spark adds no further exchange."""
-    return top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k, block_ms,
+    3. shuffle once by (type, block, item salt) and sweep each group along
+       the window starts (:mod:`topicflow.operators.sweep`): at most two rows
+       a pane, one wherever the ``k`` best change; groups of many panes have
+       several salts, whose results a second sweep merges;
+    4. expand the ranked segments to their window starts."""
+    return top_items_from_panes(staged(pane_totals(purchases, advance_ms), "panes"), size_ms, advance_ms, k, block_ms,
                                 money_digits=money_digits)
 
 
@@ -139,80 +137,70 @@ def pane_totals(purchases: DataFrame, advance_ms: int = TOP_ITEMS_ADVANCE_MS) ->
                  F.min_by("item_price", first_key).alias("first_price")))
 
 
-def _segments(rows: DataFrame, group: list[str], lo: str, hi: str) -> DataFrame:
-    """Cut each group's window starts into segments of constant content.
-
-    ``rows`` cover start ranges ``[lo, hi)``; the segment boundaries of a
-    group are all their ``lo`` and ``hi`` values (a window over the group,
-    so no second pass; the list is bounded by the block's starts + 1).  Each
-    row is repeated once per segment it covers, as ``seg``/``seg_end``."""
-    w = Window.partitionBy(*group)
-    bnd = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array(F.col(lo), F.col(hi))).over(w))))
-    return (rows.withColumn("__bnd", bnd)
-            .withColumn("seg", F.explode(F.filter("__bnd", lambda x: (x >= F.col(lo)) & (x < F.col(hi)))))
-            .withColumn("seg_end", F.element_at("__bnd", F.array_position("__bnd", F.col("seg")).cast("int") + 1))
-            .drop("__bnd"))
-
-
-def _top_k(rows: DataFrame, group: list[str], k: int) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(F.col("amount").desc(), F.col("item_name"))
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def ranked_segments(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS, advance_ms: int = TOP_ITEMS_ADVANCE_MS,
+                    k: int = TOP_ITEMS_K, block_ms: int | None = None, salts: int | None = None,
+                    salt_panes: int = SALT_PANES) -> DataFrame:
+    """W3 steps 2 and 3 over pane totals (``item_type, item_name, pane, cnt,
+    amt, first_price``; read twice): ``item_type, blk, seg, seg_end, top``,
+    where ``top`` lists the ``k`` best items of the window starts ``seg`` to
+    before ``seg_end`` (in panes).
 
-
-def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
-                         advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
-                         block_ms: int | None = None, starts: tuple | None = None,
-                         salts: int = 8, money_digits: int | None = None,
-                         segments_only: bool = False) -> DataFrame:
-    """W3 steps 2-4 over pane totals (``item_type, item_name, pane, cnt, amt,
-    first_price``); ``starts=(lo, hi)`` keeps window starts in ``[lo, hi)``
-    pane units (used by the streaming form to finalise closed windows).
-
-    Ranking is two-stage so that no task holds all items of a hot type:
-    stage A works per (type, block, item salt) and keeps each salt's top
-    ``k`` per segment; an item's window totals live in exactly one salt, so
-    the union of the salts' top ``k`` contains the true top ``k``.  Stage B
-    merges per (type, block) on the union of the salts' segment boundaries;
-    its input is at most ``salts * k`` rows per segment, whatever the number
-    of items.  ``money_digits`` rounds the printed amount (after ranking,
-    once per segment rather than once per window row)."""
+    A group of more than ``salt_panes`` panes is dealt to several salts by
+    item (``salts``: to so many, whatever its size), so that no task sorts
+    all items of a hot type; each holds only what lies inside one window.
+    Amounts add up exactly; a null or non-finite amount adds nothing, and an
+    item without any ranks last."""
     if size_ms % advance_ms:
         raise ValueError("window size must be a multiple of the advance")
     L = size_ms // advance_ms                       # panes per window
     if block_ms is None:
         # one window length: a pane reaches at most 2 blocks.  Smaller blocks
-        # add copies and segments without shrinking a block's input much —
-        # every block needs the panes of one window length after it.
+        # add copies without shrinking a block's input much — every block
+        # needs the panes of one window length after it.
         block_ms = size_ms
     BL = max(1, block_ms // advance_ms)             # window starts per block
     lo = F.greatest(F.col("pane") - F.lit(L - 1), F.lit(0))      # first start (pane units)
     blocks = F.sequence(F.floor(lo / BL).cast("long"), F.floor(F.col("pane") / BL).cast("long"))
-    stage_a = ["item_type", "blk", "salt"]
     spread = (panes.withColumn("blk", F.explode(blocks))
               .withColumn("a", F.greatest(lo, F.col("blk") * BL))
-              .withColumn("b1", F.least(F.col("pane"), F.col("blk") * BL + (BL - 1)) + 1)
-              .withColumn("salt", F.pmod(F.hash("item_name"), F.lit(salts)))
-              .repartition(*stage_a))
-    per_seg = (_segments(spread, stage_a, "a", "b1")
-               .groupBy(*stage_a, "seg", "seg_end", "item_name")
-               .agg(F.sum("cnt").alias("count"), F.sum("amt").alias("amount"),
-                    # panes are disjoint in time: the window's first order is
-                    # in its earliest pane (a long key keeps a hash aggregate)
-                    F.min_by("first_price", "pane").alias("price")))
-    ranked = _top_k(per_seg, [*stage_a, "seg"], k)
-    if salts > 1:
-        cand = (ranked.drop("rank").withColumnRenamed("seg", "s0").withColumnRenamed("seg_end", "s1")
-                .repartition("item_type", "blk"))
-        ranked = _top_k(_segments(cand, ["item_type", "blk"], "s0", "s1"), ["item_type", "blk", "seg"], k)
-    if money_digits is not None:
-        ranked = ranked.withColumn("amount", F.round("amount", money_digits))
-    if segments_only:
-        return ranked
-    out = _expand_starts(ranked, starts)
+              .withColumn("b1", F.least(F.col("pane"), F.col("blk") * BL + (BL - 1)) + 1))
+    if salts is None:
+        hot = (spread.groupBy("item_type", "blk").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > salt_panes)
+               .select("item_type", "blk", F.ceil(F.col("__n") / salt_panes).cast("int").alias("__salts")))
+        several = not hot.isEmpty()
+        if several:
+            spread = spread.join(hot, ["item_type", "blk"], "left")
+    else:
+        several, spread = salts > 1, spread.withColumn("__salts", F.lit(salts))
+    salt = F.pmod(F.hash("item_name"), F.coalesce(F.col("__salts"), F.lit(1))) if several else F.lit(0)
+    ranked = sweep.rank_panes(spread.withColumn("salt", salt), k)
+    return (sweep.merge_salts(ranked, k) if several else ranked).drop("salt")
+
+
+def _rounded(segments: DataFrame, money_digits: int | None) -> DataFrame:
+    if money_digits is None:
+        return segments
+    return segments.withColumn("top", F.transform("top", lambda x: x.withField("amount", F.round(x["amount"], money_digits))))
+
+
+def top_items_from_panes(panes: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
+                         advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
+                         block_ms: int | None = None, starts: tuple | None = None,
+                         salts: int | None = None, money_digits: int | None = None) -> DataFrame:
+    """W3 steps 2-4 over pane totals; ``starts=(lo, hi)`` keeps window starts
+    in ``[lo, hi)`` pane units.  ``money_digits`` rounds the printed amount
+    (after ranking, once per segment rather than once per window row)."""
+    ranked = ranked_segments(panes, size_ms, advance_ms, k, block_ms, salts)
+    return windows_of_segments(ranked, size_ms, advance_ms, starts, money_digits)
+
+
+def windows_of_segments(segments: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS, advance_ms: int = TOP_ITEMS_ADVANCE_MS,
+                        starts: tuple | None = None, money_digits: int | None = None) -> DataFrame:
+    """W3 step 4: one row per window and rank."""
+    out = _expand_starts(sweep.flat(_rounded(segments, money_digits)), starts)
     return out.select((F.col("start") * advance_ms).alias("window_start"),
                       (F.col("start") * advance_ms + size_ms).alias("window_end"),
-                      "item_type", "item_name", F.col("count").cast("long").alias("count"),
-                      "price", "amount", F.col("rank").cast("int").alias("rank"))
+                      "item_type", "item_name", "count", "price", "amount", "rank")
 
 
 def _expand_starts(ranked: DataFrame, starts: tuple | None = None) -> DataFrame:
@@ -222,6 +210,19 @@ def _expand_starts(ranked: DataFrame, starts: tuple | None = None) -> DataFrame:
     return out
 
 
+def top_items_digest(top: DataFrame, advance_ms: int = TOP_ITEMS_ADVANCE_MS) -> DataFrame:
+    """Every row of a top-items result (numeric item names) in one row per
+    (type, rank): windows, quantity, amount and price totals in exact cents,
+    first and last window, and a checksum of items by window."""
+    hp = (F.col("item_name").cast("long") % 1000003) * (F.floor(F.col("window_start") / advance_ms) % 1000)
+    return (top.groupBy("item_type", "rank")
+            .agg(F.count(F.lit(1)).alias("windows"), F.sum("count").cast("long").alias("items"),
+                 F.sum(F.round(F.col("amount") * 100).cast("long")).alias("amount_cents"),
+                 F.sum(F.round(F.col("price") * 100).cast("long")).alias("price_cents"),
+                 F.min("window_start").alias("first_start"), F.max("window_start").alias("last_start"),
+                 F.sum(hp).cast("long").alias("item_checksum")))
+
+
 def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
                      advance_ms: int = TOP_ITEMS_ADVANCE_MS, k: int = TOP_ITEMS_K,
                      money_digits: int | None = None) -> DataFrame:
@@ -229,17 +230,15 @@ def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
     ``start,end,type,item,count,price,sum,rank`` in rank order, each followed
     by a newline but the ``k``-th.
 
-    Built per ranked segment (at most k rows, already co-partitioned, so
-    collecting them is bounded and needs no shuffle): the part of each line
-    after ``start,end`` is fixed within a segment, and the window bounds are
-    put in front while expanding the segment to its window starts."""
-    ranked = top_items_from_panes(pane_totals(purchases, advance_ms), size_ms, advance_ms, k,
-                                  money_digits=money_digits, segments_only=True)
-    tail = F.concat_ws(",", java_str(F.col("item_type")), java_str(F.col("item_name")),
-                       F.col("count").cast("long").cast("string"), F.col("price").cast("string"),
-                       F.col("amount").cast("string"), F.col("rank").cast("string"))
-    per_seg = (ranked.groupBy("item_type", "blk", "seg", "seg_end")
-               .agg(F.array_sort(F.collect_list(F.struct(F.col("rank"), tail.alias("t")))).alias("ls")))
+    Built per ranked segment: the part of each line after ``start,end`` is
+    fixed within a segment, and the window bounds are put in front while
+    expanding the segment to its window starts."""
+    panes = staged(pane_totals(purchases, advance_ms), "panes")
+    ranked = _rounded(ranked_segments(panes, size_ms, advance_ms, k), money_digits)
+    lines_of = F.transform("top", lambda x, i: F.struct((i + 1).alias("rank"), F.concat_ws(
+        ",", java_str(F.col("item_type")), java_str(x["item_name"]), x["count"].cast("string"), x["price"].cast("string"),
+        x["amount"].cast("string"), (i + 1).cast("string")).alias("t")))
+    per_seg = ranked.select("item_type", "seg", "seg_end", lines_of.alias("ls"))
     out = _expand_starts(per_seg)
     ws = (F.col("start") * advance_ms)
     prefix = F.concat(ws.cast("string"), F.lit(","), (ws + size_ms).cast("string"), F.lit(","))

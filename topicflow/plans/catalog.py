@@ -220,7 +220,7 @@ SELECT start * 5000 AS window_start, start * 5000 + 3600000 AS window_end, item_
 FROM ranked WHERE rank <= 10"""
 
 
-@register("top_items_digest", """
+TOP_ITEMS_DIGEST_SQL = """
 SELECT item_type, rank, COUNT(*) AS windows, CAST(SUM(count) AS BIGINT) AS items,
        CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS amount_cents,
        CAST(SUM(CAST(round(price * 100) AS BIGINT)) AS BIGINT) AS price_cents,
@@ -228,19 +228,15 @@ SELECT item_type, rank, COUNT(*) AS windows, CAST(SUM(count) AS BIGINT) AS items
        CAST(SUM(hash_part) AS BIGINT) AS item_checksum
 FROM (SELECT *, CAST(item_name AS BIGINT) % 1000003 * (window_start // 5000 % 1000) AS hash_part
       FROM (""" + TOP_ITEMS_FULL_SQL + """))
-GROUP BY item_type, rank""")
+GROUP BY item_type, rank"""
+
+
+@register("top_items_digest", TOP_ITEMS_DIGEST_SQL)
 def q_top_items_digest(spark, sf_dir):
     """W3 checked whole: per (type, rank) the number of windows, quantity,
     amount and price totals (exact cents), first/last window and an
     item/window checksum over every row of ``top_items_hopping``."""
-    top = q_top_items_hopping(spark, sf_dir)
-    hp = (F.col("item_name").cast("long") % 1000003) * (F.floor(F.col("window_start") / 5000) % 1000)
-    return (top.groupBy("item_type", "rank")
-            .agg(F.count(F.lit(1)).alias("windows"), F.sum("count").cast("long").alias("items"),
-                 F.sum(F.round(F.col("amount") * 100).cast("long")).alias("amount_cents"),
-                 F.sum(F.round(F.col("price") * 100).cast("long")).alias("price_cents"),
-                 F.min("window_start").alias("first_start"), F.max("window_start").alias("last_start"),
-                 F.sum(hp).cast("long").alias("item_checksum")))
+    return purchases.top_items_digest(q_top_items_hopping(spark, sf_dir))
 
 
 @register("top_items_hopping")
@@ -671,6 +667,7 @@ def _register_streams():
 SELECT order_key, line_number, user_name, item_name, quantity, item_price FROM purchases""")
     reg("stream_log_totals", jobs.stream_log_totals, ORACLE_SQL["purchase_by_region_gender"])
     reg("stream_top_items", jobs.stream_top_items, None)
+    reg("stream_top_items_digest", jobs.stream_top_items_digest, TOP_ITEMS_DIGEST_SQL)
     reg("stream_due_messages", jobs.stream_due_messages, V.with_(V.LOG) + """,
 h AS (SELECT *, 0 AS header_pos, CAST(floor(ev_value / 4) AS BIGINT) AS delay_seconds FROM log_t
       WHERE topic = 'test' AND event_type IN ('click', 'view')

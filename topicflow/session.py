@@ -11,7 +11,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every topicflow job relies on for correct results.
 REQUIRED_CONF = {
@@ -90,3 +90,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location below the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the checkpoint root and read back:
+    computed once, and lineage is cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from topicflow.functions.codec import from_json_strict, header_long
 from topicflow.functions.java import split_words
-from topicflow.operators import purchases, tables
+from topicflow.operators import purchases, sweep, tables
 from topicflow.operators.partitioning import assign_partition
 from topicflow.schemas import (DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS, ORDER_JSON_FIELDS,
                                TOPIC_PARTITIONS)
@@ -68,7 +68,7 @@ def windowed_word_counts(s: DataFrame, size: str = "5 seconds",
     are dropped as late, windows are emitted once the watermark passes."""
     s = s.withWatermark("timestamp", retention)
     if END in s.columns:
-        s = without_end(s, "timestamp")
+        s = without_end(s)
     w = (s.select(F.col("timestamp"), F.explode(split_words(F.col("value"))).alias("word"))
          .groupBy(F.window("timestamp", size).alias("w"), "word")
          .agg(F.count(F.lit(1)).alias("count")))
@@ -262,8 +262,12 @@ class DelayedDelivery:
     def result(self) -> DataFrame:
         """All deliveries, with those the end of the topic leaves pending."""
         last = (1 << 31) - 1
+        schema = self.SCHEMAS["pending"]
+        frontier = self._frontier(last)
+        if frontier is None:  # an empty topic
+            return self.spark.createDataFrame([], schema).select(*self.OUT)
         done = self.spark.read.parquet(f"{self.root}/delivered").select(*self.OUT)
-        return done.unionByName(self._pending(last, self._frontier(last), None).select(*self.OUT))
+        return done.unionByName(self._pending(last, frontier, None).select(*self.OUT))
 
 
 def stream_due_messages(spark: SparkSession, sf_dir: str, order_col: str = "timestamp") -> DataFrame:
@@ -288,20 +292,22 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     table and exactly the windows that closed in this batch — end in
     (previous frontier, new frontier], where the frontier is the newest
     emitted pane end — are ranked from the pane table by the batch
-    algorithm.  Batch outputs are written under ``batch=<id>`` (idempotent
-    on retry).  A closing record pushes the watermark past the last pane;
-    the windows that end after the last pane are ranked when the topic ends."""
+    algorithm.  Batch outputs are ranked segments of window starts, written
+    under ``batch=<id>`` (idempotent on retry) and expanded to windows by
+    the reader.  A closing record, whose event time is that of the staged
+    column, pushes the watermark past the last pane; the windows that end
+    after the last pane are ranked when the topic ends.  An empty topic gives
+    no rows."""
     from topicflow.schemas import TOP_ITEMS_ADVANCE_MS as ADV, TOP_ITEMS_WINDOW_MS as SIZE
 
     orders = driver.orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
     root = scratch_path(spark, "stream-top-items")
-    panes_path, out_path, front_path = f"{root}/panes", f"{root}/windows", f"{root}/frontier"
     L = SIZE // ADV
 
     def build(s):
-        s = s.withColumn("ts", F.timestamp_millis("transaction_date")).withWatermark("ts", DEFAULT_RETENTION)
-        p = purchases.adult_purchases(without_end(s, "ts"), users, items)
+        s = s.withWatermark("ts", DEFAULT_RETENTION)
+        p = purchases.adult_purchases(without_end(s), users, items)
         first_key = F.struct(*[F.col(c) for c in purchases.ARRIVAL])
         return (p.groupBy(F.window("ts", f"{ADV} milliseconds").alias("w"), "item_type", "item_name")
                 .agg(F.sum("quantity").cast("long").alias("cnt"),
@@ -311,39 +317,71 @@ def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.unix_millis(F.col("w.start")) / ADV).cast("long").alias("pane"),
                         "cnt", "amt", "first_price"))
 
-    def finalize(batch: DataFrame, batch_id: int):
-        # frontier of the batches before this one (a one-row table per batch);
-        # none before the first batch that closed a pane
-        prev = 0
-        if exists(spark, front_path):
-            prev = (spark.read.parquet(front_path).where(F.col("batch") < batch_id)
-                    .agg(F.max("frontier")).first()[0]) or 0
+    closed = ClosedPanes(spark, root, L)
+    run_bounded(spark, "top-items", orders.withColumn("ts", F.timestamp_millis("transaction_date")), "ts",
+                build, root=root, foreach=closed.add, close_after=CLOSE_AFTER)
+    closed.finish()
+    return purchases.windows_of_segments(closed.segments(), SIZE, ADV, money_digits=2)
+
+
+class ClosedPanes:
+    """ST7: the table of closed panes of a stream and the ranked segments of
+    the windows (``length`` panes long) that they close.
+
+    ``add`` takes the panes that a micro-batch closed; ``finish`` ranks the
+    windows that still reach behind the last pane."""
+
+    def __init__(self, spark: SparkSession, root: str, length: int):
+        self.spark, self.root, self.length = spark, root, length
+
+    def _frontier(self, batch_id: int) -> int | None:
+        """Behind the newest pane of the batches before (a one-row table per
+        batch); None before the first batch that closed a pane."""
+        path = f"{self.root}/frontier"
+        if not exists(self.spark, path):
+            return None
+        return (self.spark.read.schema("frontier long, batch int").parquet(path).where(F.col("batch") < batch_id)
+                .agg(F.max("frontier")).first()[0])
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         new = batch.agg(F.max("pane")).first()[0]
-        if new is None:                          # no pane closed in this batch
-            batch.unpersist()
-            return
-        # sorted by pane, so the pane-range filter of later batches skips row
-        # groups by their min/max statistics
-        (batch.sortWithinPartitions("pane").write.mode("overwrite")
-         .parquet(f"{panes_path}/batch={batch_id}"))
+        if new is not None:
+            # sorted by pane, so the pane-range filter of later batches skips
+            # row groups by their min/max statistics
+            batch.sortWithinPartitions("pane").write.mode("overwrite").parquet(f"{self.root}/panes/batch={batch_id}")
+            before = self._frontier(batch_id) or 0
+            frontier = max(before, new + 1)      # all panes below it are closed
+            self.spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
+                .parquet(f"{self.root}/frontier/batch={batch_id}")
+            L = self.length
+            self._rank(max(before - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (before, frontier]
         batch.unpersist()
-        frontier = max(prev, new + 1)            # all panes below it are closed
-        spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
-            .parquet(f"{front_path}/batch={batch_id}")
-        rank(max(prev - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (prev, frontier]
 
-    def rank(lo_start: int, hi_start: int, end: int, batch_id: int):
-        if hi_start <= lo_start:
+    def finish(self) -> None:
+        """The topic has ended: the windows that start before its last pane's end."""
+        last = (1 << 31) - 1
+        end = self._frontier(last)
+        if end is not None:
+            self._rank(max(end - self.length + 1, 0), end, end, last)
+
+    def _rank(self, lo: int, hi: int, end: int, batch_id: int) -> None:
+        """Segments of the window starts in [lo, hi), from panes below ``end``."""
+        if hi <= lo:
             return
-        panes = spark.read.parquet(panes_path).where(
-            (F.col("pane") >= lo_start) & (F.col("pane") < end)).drop("batch")
-        top = purchases.top_items_from_panes(panes, SIZE, ADV, starts=(lo_start, hi_start), money_digits=2)
-        top.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        panes = self.spark.read.parquet(f"{self.root}/panes").where((F.col("pane") >= lo) & (F.col("pane") < end)).drop("batch")
+        top = purchases.ranked_segments(panes)
+        (top.withColumns({"seg": F.greatest("seg", F.lit(lo)), "seg_end": F.least("seg_end", F.lit(hi))})
+         .where("seg < seg_end").write.mode("overwrite").parquet(f"{self.root}/segments/batch={batch_id}"))
+
+    def segments(self) -> DataFrame:
+        path = f"{self.root}/segments"
+        schema = T.StructType([f for f in T._parse_datatype_string(sweep.SEGMENTS).fields if f.name != "salt"])
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
-    run_bounded(spark, "top-items", orders.withColumn("ts", F.timestamp_millis("transaction_date")), "ts",
-                lambda x: build(x.drop("ts")), root=root, foreach=finalize, close_after=CLOSE_AFTER)
-    # the topic has ended: the windows that start before its last pane's end
-    end = spark.read.parquet(front_path).agg(F.max("frontier")).first()[0]
-    rank(max(end - L + 1, 0), end, end, (1 << 31) - 1)
-    return spark.read.parquet(out_path).drop("batch")
+
+def stream_top_items_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7 checked whole: the digest of :func:`stream_top_items`."""
+    return purchases.top_items_digest(stream_top_items(spark, sf_dir))
