@@ -160,14 +160,7 @@ SELECT event_id, key, ts, event_type, value FROM m WHERE rn = 1""")
 def q_asof_lookup(spark, sf_dir):
     """Each click/view/purchase event gets the user's profile (props of
     the newest signup) as of the event time; an error event deletes it."""
-    e = driver.table(spark, sf_dir, "events")
-    s = e.where(F.col("event_type").isin("click", "view", "purchase")).select(
-        "event_id", F.col("user_id").cast("string").alias("key"),
-        F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    chg = e.where(F.col("event_type").isin("signup", "error")).select(
-        F.col("user_id").cast("string").alias("key"),
-        F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(F.col("props")).alias("value"),
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))
+    s, chg = driver.profile_lookup(spark, sf_dir)
     return tables.asof_lookup(s, chg, key="key", ts="ts", seq="seq", value_cols=("value",))
 
 
@@ -666,6 +659,8 @@ def _register_streams():
     reg("stream_fanout_rows", jobs.stream_fanout_rows, V.with_(V.ORDERS, V.USERS, V.ITEMS, V.ORDER_USER, V.OUI_W1) + """
 SELECT order_key, line_number, user_name, item_name, quantity, item_price FROM purchases""")
     reg("stream_log_totals", jobs.stream_log_totals, ORACLE_SQL["purchase_by_region_gender"])
+    reg("stream_asof_lookup", jobs.stream_asof_lookup, ORACLE_SQL["asof_lookup"])
+    reg("stream_purchase_changelog", jobs.stream_purchase_changelog, ORACLE_SQL["purchase_changelog"])
     reg("stream_top_items", jobs.stream_top_items, None)
     reg("stream_top_items_digest", jobs.stream_top_items_digest, TOP_ITEMS_DIGEST_SQL)
     reg("stream_due_messages", jobs.stream_due_messages, V.with_(V.LOG) + """,

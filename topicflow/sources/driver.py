@@ -6,11 +6,11 @@ so that the edge paths of the operators run on real rows:
 
 * ``orders``  := lineitem JOIN orders (one order record per line item),
   user = customer key, item = part key, time = order date, quantity.
-* ``users``   := customers with a non-negative balance (the others have no
-  profile, so their orders miss the user table); address = nation, gender by
-  key parity and null for nation 0, age 15..44 from the key.
-* ``items``   := parts up to size 47 (larger parts miss the item table);
-  address = one of 25 regions by key, type = p_type, price = p_retailprice.
+* ``users``   := all customers; address = nation, gender by key parity and
+  null for nation 0, age 15..44 from the key.  One order line in 11 names a
+  user who is none of them.
+* ``items``   := all parts; address = one of 25 regions by key, type = p_type,
+  price = p_retailprice.  One order line in 13 names another item.
 * ``log``     := events as a keyed topic log (key user id, JSON value, three
   hash partitions, consecutive offsets, ``delaySeconds`` headers).
 * ``changelog`` := events as a user-keyed changelog; ``error`` events are
@@ -153,6 +153,18 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_id").alias("seq"))
 
 
+def profile_lookup(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events to look up (``event_id, key, ts, event_type``) and the
+    changelog of user profiles (``key, value, ts, seq``): signups set, errors
+    delete."""
+    e = table(spark, sf_dir, "events")
+    key, ts = F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts")
+    rows = e.where(F.col("event_type").isin("click", "view", "purchase")).select("event_id", key, ts, "event_type")
+    profile = F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(F.col("props"))
+    versions = e.where(F.col("event_type").isin("signup", "error")).select(key, profile.alias("value"), ts, F.col("event_id").alias("seq"))
+    return rows, versions
+
+
 def timed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-count input records: ``value`` text and record ``timestamp``."""
     e = table(spark, sf_dir, "events")

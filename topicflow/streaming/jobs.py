@@ -14,10 +14,11 @@ from topicflow.operators import purchases, sweep, tables
 from topicflow.operators.partitioning import assign_partition
 from topicflow.schemas import (DEFAULT_RETENTION, DELAY_HEADER, DELAY_TOPIC, FLUSH_INTERVAL_MS, ORDER_JSON_FIELDS,
                                TOPIC_PARTITIONS)
-from topicflow.session import scratch_path
+from topicflow.session import exists, scratch_path
 from topicflow.sources import driver
 from topicflow.sources.log import keyed_json_records, read_log_stream, write_log
-from topicflow.streaming.runner import END, exists, read_result, run_bounded, without_end
+from topicflow.streaming.runner import END, read_result, run_bounded, updated_table, without_end
+from topicflow.streaming.slots import LAST, AtomicSinks, CompactedTable, Frontier, TimerWheel
 
 # the closing record of a finished topic lies this much after its last one
 CLOSE_AFTER = dt.timedelta(days=30)
@@ -34,19 +35,16 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 + ST6 + K3: the changelog folded into a table by a streaming
-    aggregate (state = one row per key); every update is written, the table
-    is the newest version per key, tombstoned keys are deleted."""
-    chg = driver.changelog(spark, sf_dir)
-
-    def build(s):
-        order = F.struct("ts", "seq")
-        return (s.where(F.col("key").isNotNull()).groupBy("key")
-                .agg(F.max_by(F.struct("ts", "seq", "value"), order).alias("l"))
-                .select("key", "l.ts", "l.seq", "l.value"))
-    out = run_bounded(spark, "table-latest", chg, "ts", build, mode="update", keys=["key"])
-    return read_result(spark, out, "update", ["key"]).where(F.col("value").isNotNull()) \
-        .select("key", "ts", "seq", "value")
+    """S2 + ST6 + K3: the changelog read as a stream and folded, micro-batch
+    by micro-batch, into a compacted table: a batch rewrites the buckets of
+    its keys only, and no state is kept but the table.  Tombstones go once
+    they are a retention older than the newest record."""
+    chg = driver.changelog(spark, sf_dir).select("key", "ts", "seq", "value")
+    root = scratch_path(spark, "stream-table-latest")
+    table = CompactedTable(spark, f"{root}/table", chg.schema, "key", ["ts", "seq"], ["value"],
+                           keep_tombstones=lambda ts, newest: ts >= newest - F.expr(f"INTERVAL {DEFAULT_RETENTION}"))
+    run_bounded(spark, "table-latest", chg, "ts", lambda s: s, root=root, foreach=table.merge)
+    return table.rows()
 
 
 def stream_wordcount_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +55,9 @@ def stream_wordcount_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(s):
         return (s.select(F.explode(split_words(F.col("value"))).alias("word"))
                 .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
-    out = run_bounded(spark, "wordcount-total", docs, "doc_id", build, mode="update", keys=["word"])
-    return read_result(spark, out, "update", ["word"])
+    out = run_bounded(spark, "wordcount-total", docs, "doc_id", build, mode="update", key="word")
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("count", T.LongType())])
+    return updated_table(spark, out, schema, "word").rows().select("word", "count")
 
 
 def windowed_word_counts(s: DataFrame, size: str = "5 seconds",
@@ -102,32 +101,167 @@ def stream_flush_count(spark: SparkSession, sf_dir: str, order_col: str = "times
     return read_result(spark, out)
 
 
-def _fan_out(spark: SparkSession, sf_dir: str) -> str:
+class TemporalLookup:
+    """J1 on two streams: every row gets the value that its key had at the
+    row's own time, however the updates of the table fall between the
+    micro-batches.
+
+    Rows wait until the changelog has come past their time.  Versions wait
+    for ``retention`` (so that rows may come that much late) and then go into
+    a compacted table of the newest version per key; a batch reads the
+    versions that wait and the buckets of its due keys.  Where a row is later
+    still, only versions newer than it may be left, and it finds none.
+    Versions of one time count in the order of ``seq``; on equal time the
+    version counts as earlier than the row.  Rows and versions with a null
+    key are skipped, as are versions without a time; rows without a time
+    find nothing, at once."""
+
+    VERSIONS = "key string, ts timestamp, seq long, value string, due long"
+
+    def __init__(self, spark: SparkSession, root: str, row: T.StructType, retention_s: int = 86_400):
+        self.spark, self.root, self.retention = spark, root, retention_s * 1_000_000
+        rows = T.StructType([T.StructField("key", T.StringType()), T.StructField("ts", T.TimestampType()),
+                             T.StructField("row", row), T.StructField("due", T.LongType())])
+        minute = 60_000_000
+        self.rows = TimerWheel(spark, f"{root}/rows", rows, "due", minute)
+        self.versions = TimerWheel(spark, f"{root}/versions", _schema(self.VERSIONS), "due", minute)
+        self.base = CompactedTable(spark, f"{root}/base", _schema(self.VERSIONS), "key", ["due", "seq"], ["value"],
+                                   keep_tombstones=lambda due, newest: due >= newest - self.retention)
+        self.frontier = Frontier(spark, f"{root}/frontier")     # newest time of the changelog
+
+    @staticmethod
+    def side(df: DataFrame, of: T.StructType, row: bool) -> DataFrame:
+        """One of the two streams in the form that :meth:`add` takes."""
+        cells = F.struct(*[F.col(f.name) for f in of]) if row else F.lit(None).cast(of)
+        seq, value = (F.lit(None).cast("long"), F.lit(None).cast("string")) if row else (F.col("seq"), F.col("value"))
+        return df.select(F.lit(row).alias("is_row"), "key", "ts", seq.alias("seq"), value.alias("value"), cells.alias("row"))
+
+    def _joined(self, rows: DataFrame, base: DataFrame, versions: DataFrame) -> DataFrame:
+        table = base.select("key", "ts", "seq", "value").unionByName(versions.select("key", "ts", "seq", "value"))
+        return tables.asof_lookup(rows.select("key", "ts", "row"), table).select("row.*", "value")
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch of both streams."""
+        batch = batch.where(F.col("key").isNotNull()).withColumn("due", F.unix_micros("ts")).persist()
+        new_rows = batch.where("is_row").withColumn("due", F.coalesce("due", F.lit(-(1 << 62)))).select(*self.rows.table.schema.names)
+        new_versions = batch.where("not is_row and due is not null").select(*self.versions.table.schema.names)
+        newest, before = new_versions.agg(F.max("due")).first()[0], self.frontier.get(batch_id)
+        now = max((x for x in (newest, before) if x is not None), default=-(1 << 62))
+        due = self.rows.turn(batch_id, now - 1, new_rows).persist()
+        recent = self.versions.rest(batch_id).unionByName(new_versions)
+        self._joined(due, self.base.rows(batch_id, of=due), recent).write.mode("overwrite").parquet(f"{self.root}/joined/batch={batch_id}")
+        passed = self.versions.turn(batch_id, now - self.retention, new_versions)
+        self.base.merge(passed, batch_id)
+        if now > -(1 << 62):
+            self.frontier.put(batch_id, now)
+        self.rows.commit()
+        self.versions.commit()
+        due.unpersist()
+        batch.unpersist()
+
+    def finish(self) -> None:
+        """Both topics have ended: the rows that still wait are joined."""
+        rest = self.rows.rest()
+        self._joined(rest, self.base.rows(of=rest), self.versions.rest()).write.mode("overwrite").parquet(f"{self.root}/joined/batch={LAST}")
+
+    def result(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/joined").drop("batch")
+
+
+def stream_asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + J3: two streams, the events of users and the changelog of their
+    profiles; each click, view or purchase gets the profile as of its time."""
+    rows, versions = driver.profile_lookup(spark, sf_dir)
+    root = scratch_path(spark, "stream-asof")
+    lookup = TemporalLookup(spark, f"{root}/lookup", rows.schema)
+    lo, hi = rows.agg(F.min("ts"), F.max("ts")).first()
+    parts = [F.lit(True)] if lo is None else [F.col("ts") < lo + (hi - lo) / 3, F.col("ts") >= lo + (hi - lo) / 3]
+    for part in parts:
+        rows.where(part).write.mode("append").parquet(f"{root}/rows")
+        versions.where(part).write.mode("append").parquet(f"{root}/versions")
+        streams = [lookup.side(spark.readStream.schema(df.schema).parquet(f"{root}/{name}"), rows.schema, name == "rows")
+                   for name, df in (("rows", rows), ("versions", versions))]
+        (streams[0].unionByName(streams[1]).writeStream.option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).foreachBatch(lookup.add).start().awaitTermination())
+    lookup.finish()
+    return lookup.result()
+
+
+class RunningTotals:
+    """A9 as a stream: after every purchase the updated totals of its key, as
+    append-only rows.  A micro-batch is numbered range by range (no key in
+    one task), on top of the totals that a compacted table carries from the
+    batches before."""
+
+    TOTALS = "group_key string, order_count long, item_count long, amount double, batch_id int"
+    SUMS = ("order_count", "item_count", "amount")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.totals = CompactedTable(spark, f"{root}/totals", _schema(self.TOTALS), "group_key", ["batch_id"], self.SUMS)
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch of purchases, all later than those before."""
+        batch.persist()
+        changes = purchases.purchase_changelog(batch)
+        keys = batch.select(purchases.region_gender_key().alias("group_key")).distinct()
+        carried = self.totals.rows(batch_id, of=keys).select("group_key", *[F.col(c).alias(f"__{c}") for c in self.SUMS])
+
+        def on_top(rows):
+            return rows.join(carried, "group_key", "left").withColumns(
+                {c: F.col(c) + F.coalesce(f"__{c}", F.lit(0)) for c in self.SUMS}).drop(*[f"__{c}" for c in self.SUMS])
+
+        on_top(changes).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        quantity = F.col("quantity").cast("long")
+        whole = (batch.groupBy(purchases.region_gender_key().alias("group_key"))
+                 .agg(F.count(F.lit(1)).alias("order_count"), F.sum(quantity).alias("item_count"),
+                      F.sum(F.col("quantity") * F.col("item_price")).alias("amount")))
+        self.totals.merge(on_top(whole).withColumn("batch_id", F.lit(batch_id)), batch_id)
+        batch.unpersist()
+
+    def changes(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/changes").drop("batch")
+
+
+def stream_purchase_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every intermediate W1 total of the order stream, in arrival order."""
+    orders = driver.orders(spark, sf_dir)
+    users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
+    root = scratch_path(spark, "stream-changelog")
+    totals = RunningTotals(spark, root)
+    run_bounded(spark, "changelog", orders, "transaction_date",
+                lambda s: purchases.same_region_purchases(s, users, items), root=root, foreach=totals.add, n_chunks=3)
+    return totals.changes().withColumn("amount", F.round("amount", 2))
+
+
+TOTALS = "address string, gender string, order_count long, item_count long, amount double"
+PURCHASES = "order_key long, line_number int, user_name string, item_name string, quantity int, item_price double"
+
+
+def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[AtomicSinks, str]:
     """K11 + S5: one purchase stream feeds two sinks — the per-purchase rows
-    and the running W1 totals — from one cached micro-batch, and a second
-    group reads the topic on its own.  Returns the folder of all three."""
+    and the running W1 totals — from one cached micro-batch, which become
+    visible together, and a second group reads the topic on its own.  Returns
+    the sinks and the folder of the second group."""
     orders = driver.orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
     root = scratch_path(spark, "stream-fanout")
-
-    def build(s):
-        return purchases.same_region_purchases(s, users, items)
+    sinks = AtomicSinks(spark, f"{root}/sinks")
 
     def fan_out(batch: DataFrame, batch_id: int):
         batch.persist()
-        batch.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
-        purchases.purchase_by_region_gender(batch).write.mode("overwrite") \
-            .parquet(f"{root}/totals/batch={batch_id}")
+        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in _schema(PURCHASES)])
+        sinks.write(batch_id, {"rows": rows, "totals": purchases.purchase_by_region_gender(batch)})
         batch.unpersist()
 
     inp, ckpt = f"{root}/input", f"{root}/checkpoint"
     lo_hi = orders.agg(F.min("transaction_date"), F.max("transaction_date")).first()
-    mid = (lo_hi[0] + lo_hi[1]) // 2
+    mid = ((lo_hi[0] or 0) + (lo_hi[1] or 0)) // 2
     first = F.col("transaction_date").isNull() | (F.col("transaction_date") <= mid)
     for part in (first, F.col("transaction_date") > mid):
         orders.where(part).write.mode("append").parquet(inp)
-        q = (build(spark.readStream.schema(orders.schema).parquet(inp)).writeStream
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).foreachBatch(fan_out).start())
+        stream = purchases.same_region_purchases(spark.readStream.schema(orders.schema).parquet(inp), users, items)
+        q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).foreachBatch(fan_out).start())
         # A second consumer group — its own checkpoint, so it reads every
         # record again (multicast); inside one query the tasks share the
         # input partitions (unicast)
@@ -136,23 +270,26 @@ def _fan_out(spark: SparkSession, sf_dir: str) -> str:
               .format("parquet").option("path", f"{root}/group2").start())
         q.awaitTermination()
         q2.awaitTermination()
-    return root
+    return sinks, f"{root}/group2"
+
+
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals (region x gender) of the fan-out, over all batches."""
-    return _totals(spark.read.parquet(f"{_fan_out(spark, sf_dir)}/totals"))
+    return _totals(_fan_out(spark, sf_dir)[0].read("totals", _schema(TOTALS)))
 
 
 def stream_fanout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The purchase rows of the fan-out."""
-    return spark.read.parquet(f"{_fan_out(spark, sf_dir)}/rows").select(
-        "order_key", "line_number", "user_name", "item_name", "quantity", "item_price")
+    return _fan_out(spark, sf_dir)[0].read("rows", _schema(PURCHASES))
 
 
 def stream_group2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the second group read: every order once."""
-    return spark.read.parquet(f"{_fan_out(spark, sf_dir)}/group2").select(
+    return spark.read.parquet(_fan_out(spark, sf_dir)[1]).select(
         "user_name", "item_name", "transaction_date", "quantity", "order_key", "line_number")
 
 
@@ -196,46 +333,25 @@ class DelayedDelivery:
     as the newest record time seen reaches its time + delay.
 
     A micro-batch delivers what of its own rows is due already (however late
-    they came) and what of the pending table has become due since the batch
-    before; the rest of its rows is added to the pending table, in folders
-    by hour of the due time, so that only the hours that pass are read.  No
-    look-back limit, no state per key; outputs are written under
-    ``batch=<id>`` and overwritten on retry."""
+    they came) and what has become due of the rows that wait in a timer
+    wheel; the rest of its rows goes into the wheel.  No look-back limit, no
+    state per key; outputs are written under ``batch=<id>`` and overwritten
+    on retry.  A delay beyond the range of times waits for ever."""
 
-    HOUR_MS = 3_600_000
+    UNIT_MS = 60_000
     OUT = ("topic", "partition", "offset", "key", "value", "timestamp", "header_pos", "delay_seconds")
-    SCHEMAS = {  # with the columns kept in folder names
-        "frontier": "frontier long, batch int",
-        "pending": "topic string, partition int, offset long, timestamp timestamp, key string, value string, "
-                   "header_pos int, delay_seconds long, due_ms long, batch int, hour long"}
+    WAITING = ("topic string, partition int, offset long, timestamp timestamp, key string, value string, "
+               "header_pos int, delay_seconds long, due_ms long")
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-
-    def _read(self, what: str, batch_id: int) -> DataFrame | None:
-        """The table as left by the batches before, None before the first."""
-        path = f"{self.root}/{what}"
-        if not exists(self.spark, path):
-            return None
-        return self.spark.read.schema(self.SCHEMAS[what]).parquet(path).where(F.col("batch") < batch_id)
-
-    def _frontier(self, batch_id: int) -> int | None:
-        seen = self._read("frontier", batch_id)
-        return seen and seen.agg(F.max("frontier")).first()[0]
-
-    def _pending(self, batch_id: int, above: int, upto: int | None) -> DataFrame | None:
-        rows = self._read("pending", batch_id)
-        if rows is None:
-            return None
-        rows = rows.where((F.col("hour") >= above // self.HOUR_MS) & (F.col("due_ms") > above))
-        if upto is not None:
-            rows = rows.where((F.col("hour") <= upto // self.HOUR_MS) & (F.col("due_ms") <= upto))
-        return rows
+        self.wheel = TimerWheel(spark, f"{root}/waiting", _schema(self.WAITING), "due_ms", self.UNIT_MS)
+        self.frontier = Frontier(spark, f"{root}/frontier")
 
     def deliver(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch of log records."""
         batch.persist()
-        before = self._frontier(batch_id)
+        before = self.frontier.get(batch_id)
         newest = batch.agg(F.max(F.unix_millis("timestamp"))).first()[0]
         if newest is None:
             batch.unpersist()
@@ -246,28 +362,20 @@ class DelayedDelivery:
                          F.decode("value", "UTF-8").alias("value"), F.posexplode("headers").alias("header_pos", "h"))
                  .where(F.col("h.key") == DELAY_HEADER).withColumn("delay_seconds", header_long(F.col("h.value")))
                  .where("delay_seconds > 0").drop("h"))
-        # a delay beyond the range of times stays pending for ever
         due = F.coalesce(F.try_add(F.unix_millis("timestamp"), F.try_multiply("delay_seconds", F.lit(1000))), F.lit((1 << 63) - 1))
-        heads = heads.withColumn("due_ms", due).withColumn("hour", F.floor(F.col("due_ms") / self.HOUR_MS))
-        late = heads.where(F.col("due_ms") > now)
-        out = heads.where(F.col("due_ms") <= now)
-        waiting = None if before is None else self._pending(batch_id, before, now)
-        if waiting is not None:
-            out = out.select(*self.OUT).unionByName(waiting.select(*self.OUT))
+        out = self.wheel.turn(batch_id, now, heads.withColumn("due_ms", due))
         out.select(*self.OUT).write.mode("overwrite").parquet(f"{self.root}/delivered/batch={batch_id}")
-        late.write.mode("overwrite").partitionBy("hour").parquet(f"{self.root}/pending/batch={batch_id}")
-        self.spark.createDataFrame([(now,)], "frontier long").write.mode("overwrite").parquet(f"{self.root}/frontier/batch={batch_id}")
+        self.frontier.put(batch_id, now)
+        self.wheel.commit()
         batch.unpersist()
 
     def result(self) -> DataFrame:
-        """All deliveries, with those the end of the topic leaves pending."""
-        last = (1 << 31) - 1
-        schema = self.SCHEMAS["pending"]
-        frontier = self._frontier(last)
-        if frontier is None:  # an empty topic
-            return self.spark.createDataFrame([], schema).select(*self.OUT)
-        done = self.spark.read.parquet(f"{self.root}/delivered").select(*self.OUT)
-        return done.unionByName(self._pending(last, frontier, None).select(*self.OUT))
+        """All deliveries, with those the end of the topic leaves waiting; no
+        rows for an empty topic."""
+        done = self.spark.createDataFrame([], _schema(self.WAITING)).select(*self.OUT)
+        if exists(self.spark, f"{self.root}/delivered"):
+            done = self.spark.read.schema(_schema(self.WAITING)).parquet(f"{self.root}/delivered").select(*self.OUT)
+        return done.unionByName(self.wheel.rest().select(*self.OUT))
 
 
 def stream_due_messages(spark: SparkSession, sf_dir: str, order_col: str = "timestamp") -> DataFrame:
@@ -333,15 +441,7 @@ class ClosedPanes:
 
     def __init__(self, spark: SparkSession, root: str, length: int):
         self.spark, self.root, self.length = spark, root, length
-
-    def _frontier(self, batch_id: int) -> int | None:
-        """Behind the newest pane of the batches before (a one-row table per
-        batch); None before the first batch that closed a pane."""
-        path = f"{self.root}/frontier"
-        if not exists(self.spark, path):
-            return None
-        return (self.spark.read.schema("frontier long, batch int").parquet(path).where(F.col("batch") < batch_id)
-                .agg(F.max("frontier")).first()[0])
+        self.frontier = Frontier(spark, f"{root}/frontier")     # behind the newest closed pane
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -350,20 +450,18 @@ class ClosedPanes:
             # sorted by pane, so the pane-range filter of later batches skips
             # row groups by their min/max statistics
             batch.sortWithinPartitions("pane").write.mode("overwrite").parquet(f"{self.root}/panes/batch={batch_id}")
-            before = self._frontier(batch_id) or 0
+            before = self.frontier.get(batch_id) or 0
             frontier = max(before, new + 1)      # all panes below it are closed
-            self.spark.createDataFrame([(frontier,)], "frontier long").write.mode("overwrite") \
-                .parquet(f"{self.root}/frontier/batch={batch_id}")
+            self.frontier.put(batch_id, frontier)
             L = self.length
             self._rank(max(before - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (before, frontier]
         batch.unpersist()
 
     def finish(self) -> None:
         """The topic has ended: the windows that start before its last pane's end."""
-        last = (1 << 31) - 1
-        end = self._frontier(last)
+        end = self.frontier.get()
         if end is not None:
-            self._rank(max(end - self.length + 1, 0), end, end, last)
+            self._rank(max(end - self.length + 1, 0), end, end, LAST)
 
     def _rank(self, lo: int, hi: int, end: int, batch_id: int) -> None:
         """Segments of the window starts in [lo, hi), from panes below ``end``."""
@@ -376,7 +474,7 @@ class ClosedPanes:
 
     def segments(self) -> DataFrame:
         path = f"{self.root}/segments"
-        schema = T.StructType([f for f in T._parse_datatype_string(sweep.SEGMENTS).fields if f.name != "salt"])
+        schema = T.StructType([f for f in _schema(sweep.SEGMENTS) if f.name != "salt"])
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)

@@ -14,8 +14,8 @@ the boolean column ``END`` of the staged topic, never by its values, and
 :func:`without_end` takes it out after the watermark has seen it.
 
 Sinks: ``append`` uses the exactly-once parquet file sink; ``update`` writes
-each micro-batch's changed rows under ``batch=<id>`` (overwritten on retry,
-so idempotent) and the table is read back as the latest row per key.
+each micro-batch's changed rows into a compacted table (a batch rewrites the
+buckets of its keys only; idempotent on retry), which is the result.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ import contextlib
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from topicflow.session import scratch_path
+from topicflow.streaming.slots import CompactedTable
 
 
 @contextlib.contextmanager
@@ -62,12 +63,6 @@ def without_end(stream: DataFrame) -> DataFrame:
     return stream.withColumn("__stay", F.rand(0)).where(~F.col(END) & (F.col("__stay") >= 0)).drop(END, "__stay")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, in whatever file system it lies."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def _bounds(df: DataFrame, order_col: str):
     r = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     return r["lo"], r["hi"]
@@ -92,11 +87,11 @@ def _chunk_filter(order_col: str, lo, hi, i: int, n: int) -> Column:
 
 def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: str,
                 build: Callable[[DataFrame], DataFrame], mode: str = "append",
-                keys: list[str] | None = None, n_chunks: int = 2,
+                key: str | None = None, n_chunks: int = 2,
                 close_after: datetime.timedelta | None = None, root: str | None = None,
                 foreach: Callable[[DataFrame, int], None] | None = None) -> str:
     """Stage ``source`` chunk by chunk, run ``build(stream)`` after each, and
-    return the output path (see module doc).  ``keys`` are the result keys
+    return the output path (see module doc).  ``key`` is the result's key
     for ``mode='update'``; ``foreach`` takes each micro-batch of an append
     query instead of the file sink."""
     root = root or scratch_path(spark, f"stream-{name}")
@@ -115,8 +110,10 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
         elif mode == "append":
             q = w.outputMode("append").format("parquet").option("path", out).start()
         elif mode == "update":
+            table = updated_table(spark, out, res.schema, key)
+
             def sink(batch: DataFrame, batch_id: int):
-                batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+                table.merge(batch.withColumn(_BATCH, F.lit(batch_id)), batch_id)
             q = w.outputMode("update").foreachBatch(sink).start()
         else:
             raise ValueError(mode)
@@ -137,13 +134,16 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
     return out
 
 
-def read_result(spark: SparkSession, out: str, mode: str = "append",
-                keys: list[str] | None = None) -> DataFrame:
-    """The result table of :func:`run_bounded`."""
-    df = spark.read.parquet(out)
-    if mode == "append":
-        return df
-    w = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
-    # latest version of each key across micro-batches (small per key: one
-    # row per batch that touched it)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "batch")
+_BATCH = "__batch"
+
+
+def updated_table(spark: SparkSession, out: str, schema: T.StructType, key: str) -> CompactedTable:
+    """The result table of an update-mode run: a key's row is the last one
+    written."""
+    whole = T.StructType([*schema.fields, T.StructField(_BATCH, T.IntegerType())])
+    return CompactedTable(spark, out, whole, key, [_BATCH], [f.name for f in schema.fields if f.name != key])
+
+
+def read_result(spark: SparkSession, out: str) -> DataFrame:
+    """The rows that an append run of :func:`run_bounded` wrote."""
+    return spark.read.parquet(out)
