@@ -113,3 +113,16 @@ def test_full_output_and_cases(spark, tmp_path):
     assert one.n_a > 90_000 and one.n_links == one.n_a + one.n_b - one.n_groups
     documents(spark).limit(0).write.parquet(f"{tmp_path}/e/documents.parquet")
     assert queries.op11_token_alignment(spark, f"{tmp_path}/e").collect() == []
+
+
+def test_both_ways_to_encode_agree():
+    import random
+
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    side, r = crosstoken.ByteLevel(A), random.Random(1)
+    assert side._fast is not None
+    alphabet = "abc DEF  12½²'sllt've\n\t\r\x0b\x0c\x1c\x85\xa0éßŁǅʼnªº.,-_<|>endoftext"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(1, 60))) for _ in range(3000)] + ["x" * 5000, " " * 3000 + "a", "日本 x", "it's we'LL"]
+    assert side.encode(texts) == [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)]
