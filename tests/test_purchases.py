@@ -158,3 +158,28 @@ def test_top_items_report_vs_duckdb(spark):
 def test_null_gender_is_no_group(spark):
     rows = spark.createDataFrame([("f", 1, 2.0), (None, 1, 5.0)], "gender string, quantity int, item_price double")
     assert [tuple(r) for r in purchases.purchase_by_gender(rows).collect()] == [("f", 2.0)]
+
+
+def test_dense_panes_stay_in_proportion(spark):
+    """A pane every 5 s of several items: ranked segments are at most two a
+    pane and block, however many window starts a pane covers; salts change
+    nothing."""
+    from topicflow.operators import sweep
+    rows = [("t", f"i{(p * 7 + j) % 9}", p, 1 + (p * j) % 5, float((p * 31 + j * 17) % 23) + 0.1, 1.0 + p) for p in range(2000) for j in range(2)]
+    panes = spark.createDataFrame(rows, "item_type string, item_name string, pane long, cnt long, amt double, first_price double")
+    panes = panes.groupBy("item_type", "item_name", "pane").agg(F.sum("cnt").alias("cnt"), F.sum("amt").alias("amt"), F.min("first_price").alias("first_price"))
+    one = purchases.ranked_segments(panes)
+    assert one.count() <= 4 * panes.count() and one.count() <= 2 * 2000 + 10
+    salted = sweep.flat(purchases.ranked_segments(panes, salt_panes=300))
+    key = lambda d: sorted(map(tuple, purchases._expand_starts(d.where("rank <= 3 and seg < 200")).where("start < 200")
+                               .select("start", "rank", "item_name", "count", "price", "amount").collect()))
+    assert key(sweep.flat(one)) == key(salted)
+
+
+def test_unknown_amounts_rank_last(spark):
+    panes = spark.createDataFrame([("t", "a", 800, 1, None, 1.0), ("t", "b", 800, 2, 5.0, 2.0), ("t", "c", 800, 3, float("nan"), 3.0), ("t", "d", 801, 1, 0.1, 1.0),
+                                   ("t", "d", 802, 1, 0.2, 2.0), ("t", "d", 803, 1, -0.3, 2.0)],
+                                  "item_type string, item_name string, pane long, cnt long, amt double, first_price double")
+    got = purchases.top_items_from_panes(panes, 60000, 5000).where("window_start = 800 * 5000").orderBy("rank").collect()
+    assert [(r.item_name, r["count"], r.price, r.amount) for r in got[:2]] == [("b", 2, 2.0, 5.0), ("d", 3, 1.0, got[1].amount)]
+    assert [(r.item_name, r.amount) for r in got[2:]] == [("a", None), ("c", None)] and abs(got[1].amount) < 1e-16

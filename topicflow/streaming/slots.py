@@ -32,19 +32,29 @@ class SlotTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root, schema
 
+    def _listed(self, path: str, prefix: str) -> list[str]:
+        """What stands behind ``prefix`` in the names of the folders in ``path``."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+        return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def manifest(self, before: int = LAST) -> dict[str, list[int]]:
         """Slot -> generations, as committed by the newest batch below
         ``before``.  Rows: a handful per slot in use, never per data row."""
         path = f"{self.root}/manifest"
-        if not exists(self.spark, path):
-            return {}
-        rows = self.spark.read.schema("slot string, generation int, batch int").parquet(path).where(F.col("batch") < before)
-        newest = rows.agg(F.max("batch")).first()[0]
-        out: dict[str, list[int]] = {}
-        if newest is not None:
-            for r in rows.where((F.col("batch") == newest) & F.col("slot").isNotNull()).select("slot", "generation").collect():
-                out.setdefault(r.slot, []).append(r.generation)
-        return {slot: sorted(g) for slot, g in out.items()}
+        for batch in sorted((b for b in map(int, self._listed(path, "batch=")) if b < before), reverse=True):
+            if exists(self.spark, f"{path}/batch={batch}/_SUCCESS"):
+                out: dict[str, list[int]] = {}
+                rows = self.spark.read.schema("slot string, generation int").parquet(f"{path}/batch={batch}")
+                for r in rows.where("slot is not null").collect():
+                    out.setdefault(r.slot, []).append(r.generation)
+                return {slot: sorted(g) for slot, g in out.items()}
+        return {}
 
     def read(self, slots: dict[str, list[int]]) -> DataFrame:
         paths = [f"{self.root}/data/generation={g}/{SLOT}={slot}" for slot, gs in slots.items() for g in gs]
@@ -58,41 +68,27 @@ class SlotTable:
         path = f"{self.root}/data/generation={batch_id}"
         names = [f.name for f in self.schema.fields]
         rows.select(*names, SLOT).hint("rebalance", F.col(SLOT)).write.mode("overwrite").partitionBy(SLOT).parquet(path)
-        return sorted(self._folders(path))
-
-    def _folders(self, path: str) -> list[str]:
-        """Slots that the generation at ``path`` has."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        listed = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(hadoop)
-        names = [f.getPath().getName() for f in listed]
-        return [n.split("=", 1)[1] for n in names if n.startswith(f"{SLOT}=")]
+        return sorted(self._listed(path, f"{SLOT}="))
 
-    def commit(self, batch_id: int, manifest: dict[str, list[int]]) -> None:
+    def commit(self, batch_id: int, manifest: dict[str, list[int]], before: dict[str, list[int]]) -> None:
+        """Make ``manifest`` that of the batch, then delete generations and
+        manifests that neither it nor ``before`` (which a retry of the batch
+        starts from) needs."""
         rows = [(slot, g) for slot, gs in manifest.items() for g in gs] or [(None, None)]
         self.spark.createDataFrame(rows, "slot string, generation int").coalesce(1).write.mode("overwrite") \
             .parquet(f"{self.root}/manifest/batch={batch_id}")
-        self._vacuum(batch_id, manifest)
-
-    def _vacuum(self, batch_id: int, manifest: dict[str, list[int]]) -> None:
-        """Delete generations and manifests that neither this batch nor the
-        one before it (which a retry starts from) names."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        before = self.manifest(batch_id)
         held = {(slot, g) for m in (manifest, before) for slot, gs in m.items() for g in gs}
-        for f in fs.listStatus(path(f"{self.root}/data")) if exists(self.spark, f"{self.root}/data") else []:
-            g = int(f.getPath().getName().split("=")[1])
-            slots = self._folders(f.getPath().toString())
+        for g in map(int, self._listed(f"{self.root}/data", "generation=")):
+            path = f"{self.root}/data/generation={g}"
+            slots = self._listed(path, f"{SLOT}=") if g < batch_id else []
             gone = [s for s in slots if (s, g) not in held]
             if g < batch_id and len(gone) == len(slots):
-                fs.delete(f.getPath(), True)
-            elif g < batch_id:
+                self._delete(path)
+            else:
                 for s in gone:
-                    fs.delete(path(f"{f.getPath().toString()}/{SLOT}={s}"), True)
-        batches = sorted(int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path(f"{self.root}/manifest"))
-                         if f.getPath().getName().startswith("batch="))
-        for b in [b for b in batches if b < batch_id][:-1]:
-            fs.delete(path(f"{self.root}/manifest/batch={b}"), True)
+                    self._delete(f"{path}/{SLOT}={s}")
+        for b in sorted(b for b in map(int, self._listed(f"{self.root}/manifest", "batch=")) if b < batch_id)[:-1]:
+            self._delete(f"{self.root}/manifest/batch={b}")
 
 
 class CompactedTable:
@@ -129,7 +125,7 @@ class CompactedTable:
         names = [f.name for f in self.table.schema.fields]
         new = self._newest(batch.where(F.col(self.key).isNotNull()).select(*names)).withColumn(SLOT, self._bucket()).persist()
         touched = [r[0] for r in new.select(SLOT).distinct().collect()]  # at most one a bucket
-        manifest = self.table.manifest(batch_id)
+        manifest = before = self.table.manifest(batch_id)
         if touched:
             old = self.table.read({b: manifest[b] for b in touched if b in manifest})
             rows = self._newest(old.unionByName(new.drop(SLOT)))
@@ -138,7 +134,7 @@ class CompactedTable:
                 rows = rows.where(self._alive() | self.keep(F.col(self.order[0]), F.lit(newest)))
             written = self.table.write(rows.withColumn(SLOT, self._bucket()), batch_id)
             manifest = {**{b: g for b, g in manifest.items() if b not in touched}, **{b: [batch_id] for b in written}}
-        self.table.commit(batch_id, manifest)
+        self.table.commit(batch_id, manifest, before)
         new.unpersist()
         return sorted(touched)
 
@@ -188,7 +184,7 @@ class TimerWheel:
     def turn(self, batch_id: int, frontier: int, new: DataFrame | None = None) -> DataFrame:
         """The rows (waiting and ``new``) due at or before ``frontier``; the
         others wait.  Frontiers must not fall from batch to batch."""
-        manifest = self.table.manifest(batch_id)
+        manifest = before = self.table.manifest(batch_id)
         entered = {slot: gs for slot, gs in manifest.items() if self._start(slot) <= frontier}
         waiting = {slot: gs for slot, gs in manifest.items() if slot not in entered}
         rows = self.table.read(entered)
@@ -201,7 +197,7 @@ class TimerWheel:
         for slot in written:
             manifest[slot] = [*manifest.get(slot, []), batch_id]
         out = rows.where(F.col(self.due) <= frontier)
-        self._commit = (batch_id, manifest)
+        self._commit = (batch_id, manifest, before)
         return out
 
     def commit(self) -> None:
