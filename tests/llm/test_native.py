@@ -7,6 +7,8 @@ from collections import Counter
 import duckdb
 from cases import ROWS, documents, ids
 
+from pyspark.sql import functions as F
+
 from topicflow.llm import linefreq, mixing, queries, sharding
 
 
@@ -88,7 +90,7 @@ def test_line_rules_equal_their_sql(spark):
     r = random.Random(7)
     hot = "Subscribe to our 1 newsletter today!"
     rows = [(100 + i, "\n".join([hot.replace("1", str(i))] * (i % 3) + [" ".join(r.choice("abcdefgh") * 2 for _ in range(r.randint(1, 80))) for _ in range(r.randint(0, 4))]),
-             "en", f"h{i % 2}") for i in range(120)] + [(1000 + i, hot + "\n" + "pad " * 3, "en", "h0") for i in range(30)]
+             "en", f"h{i % 2}") for i in range(320)] + [(1000 + i, hot + "\n" + "pad " * 3, "en", "h0") for i in range(30)]
     sql = queries.ORACLE_SQL["op4_line_frequency_rules"]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     out = linefreq.line_rules(spark, docs)
@@ -100,6 +102,21 @@ def test_line_rules_equal_their_sql(spark):
     assert linefreq.line_rules(spark, documents(spark).limit(0)).count() == 0
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    """A line of 300 documents goes in hosts of 400 and of 4,000, and also
+    when their texts are equal; one of 99 documents stays in both."""
+    rows = [(h, i, ("banner of the host\n" if i < 300 else "rare banner\n" if i < 399 else "") + f"own line of {chr(97 + i % 26) * (1 + i // 26)}")
+            for h, n in (("small", 400), ("large", 4000)) for i in range(n)]
+    rows += [("copies", i, "the very same line\nand another") for i in range(500)]
+    docs = spark.createDataFrame([(k, t, h) for k, (h, _, t) in enumerate(rows)], "doc_id long, text string, source string")
+    got = {r.source: (r.n, r.w) for r in linefreq.line_rules(spark, docs).join(docs, "doc_id").where("removed_words > 0")
+           .groupBy("source").agg({"doc_id": "count", "removed_words": "sum"}).toDF("source", "n", "w").collect()}
+    assert got == {"small": (300, 1200), "large": (300, 1200), "copies": (500, 3000)}
+    again = docs.where("source = 'small' and doc_id < 90")
+    again = again.union(again).union(again)  # rows of one id count once
+    assert linefreq.line_rules(spark, again).where("removed_words > 0").count() == 0
+
+
 def test_cleaned_documents_lack_the_frequent_lines(spark):
     r = random.Random(11)
     hot = "Read MORE about 7 Ölçü: here!"
@@ -109,11 +126,11 @@ def test_cleaned_documents_lack_the_frequent_lines(spark):
     banner = {"read more about ölçü here", "end"}
     key = lambda x: " ".join("".join(c if c.isalpha() else " " for c in x.lower()).split())
     want = [(i, t if t is None or h not in ("h0", "h1") else "\n".join(x for x in t.split("\n") if key(x) not in banner)) for i, t, h in rows]
-    out = linefreq.cleaned(spark, docs)
+    out = linefreq.cleaned(spark, docs, line_docs=20)
     got = out.collect()
     assert sorted(((x.doc_id, x.text) for x in got), key=str) == sorted(want, key=str)
     assert all(sum(len(key(line).split()) for line in (x.text or "").split("\n")) == x.line_words - x.removed_words for x in got)
-    _same([x.asDict() for x in linefreq.line_rules(spark, docs).collect()], out.drop("text"))
+    _same([x.asDict() for x in linefreq.line_rules(spark, docs, line_docs=20).collect()], out.drop("text"))
     assert linefreq.cleaned(spark, docs.limit(0)).count() == 0
 
 
@@ -146,9 +163,22 @@ def _water(budget, children):
 def test_shortages_go_to_siblings_first(spark):
     docs = [(i, "w " * 9, lang, s) for i, (lang, s) in enumerate([("en", "src0")] * 20 + [("en", "z")] * 300 + [("de", "src0")] * 100)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
-    from pyspark.sql import functions as F
     out = mixing.mix(spark, df, (1, 2), 1, {"source": {"src0": 9}}, "s", domain=F.lit("d")).groupBy("lang", "source").agg(F.sum("n_tokens").alias("n")).collect()
     got = {(r.lang, r.source): r.n for r in out}
     langs = _water(2100, {"en": (1, 3200), "de": (1, 1000)})
     want = {("en", s): v for s, v in _water(langs["en"], {"src0": (9, 200), "z": (1, 3000)}).items()} | {("de", "src0"): langs["de"]}
     assert got == {k: v // 10 * 10 for k, v in want.items()}
+
+
+def test_nothing_from_below_a_weight_of_zero(spark):
+    docs = [(i, "w " * 9, lang, s) for i, (lang, s) in enumerate([("en", "a")] * 50 + [("en", "b")] * 50 + [("de", "a")] * 30 + [("de", "c")] * 70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+
+    def taken(weights, fraction=(1, 2)):
+        out = mixing.mix(spark, df, fraction, 1, weights, "s", domain=F.lit("d")).groupBy("lang", "source").agg(F.sum("n_tokens").alias("n")).collect()
+        return {(r.lang, r.source): r.n for r in out}
+
+    assert taken({"source": {"a": 0}}) == {("en", "b"): 500, ("de", "c"): 500}
+    assert taken({"source": {"a": 0}}, (9, 10)) == {("en", "b"): 500, ("de", "c"): 700}
+    assert taken({"lang": {"en": 0}}) == {("de", "a"): 300, ("de", "c"): 700}
+    assert taken({"lang": {"en": 0, "de": 0}}) == {}

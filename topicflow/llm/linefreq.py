@@ -2,9 +2,9 @@
 only.
 
 Lines are normalised (lower case, everything but letters blank) and hashed;
-for every host (``source``) the documents of different text that hold a line
-are counted; lines in too many of a host's documents are taken out, and a
-document is rejected when too little is left of it.
+for every host (``source``) the documents that hold a line are counted; lines
+in LINE_DOCS documents of a host or more, however many it has, are taken out,
+and a document is rejected when too little is left of it.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ from .common import WORD, staged
 
 MIN_WORDS = 50
 MAX_REPEATED = 50      # percent of words in repeated 3-word windows
-LINE_MIN_DOCS = 20     # a line is taken out of a host's documents if at least
-LINE_SHARE = 8         # so many, and so many percent of them, hold it
+LINE_DOCS = 100        # a line is taken out of a host's documents if so many hold it
 LEAST_LEFT = 30        # percent of words that must remain
 
 _BLANK = " \t\n\x0b\f\r"
@@ -75,29 +74,27 @@ def with_repeated_window_words(df: DataFrame, words: str, out: str) -> DataFrame
     return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_packed", "_pairs", "_repeats")
 
 
-def line_rules(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_MIN_DOCS, line_share: int = LINE_SHARE,
-               least_left: int = LEAST_LEFT) -> DataFrame:
+def line_rules(spark: SparkSession, docs: DataFrame, line_docs: int = LINE_DOCS, least_left: int = LEAST_LEFT) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, line_words, removed_words, kept) of every row of ``docs``:
     the counts and the verdict of :func:`cleaned`, without moving the texts.
 
     A null text is an empty one, a null source a host of its own; documents
-    of one host with equal texts count once in line frequencies; lines
+    with equal texts count each, rows of one id (null included) once; lines
     without a letter are never taken out; repeated rows stay; an empty table
     gives no rows; other columns are not read."""
-    return _ruled(spark, docs, line_min_docs, line_share, least_left)
+    return _ruled(spark, docs, line_docs, least_left)
 
 
-def cleaned(spark: SparkSession, docs: DataFrame, line_min_docs: int = LINE_MIN_DOCS, line_share: int = LINE_SHARE,
-            least_left: int = LEAST_LEFT) -> DataFrame:
+def cleaned(spark: SparkSession, docs: DataFrame, line_docs: int = LINE_DOCS, least_left: int = LEAST_LEFT) -> DataFrame:
     """The columns of :func:`line_rules` and ``text``, the whole text without
     the lines taken out, of every row of ``docs``; those to go on with are
     ``kept``.  Lines that stay are unchanged and in their order, also those
     without a letter; a null text stays null."""
-    return _ruled(spark, docs, line_min_docs, line_share, least_left, "text")
+    return _ruled(spark, docs, line_docs, least_left, "text")
 
 
-def _ruled(spark: SparkSession, docs: DataFrame, line_min_docs: int, line_share: int, least_left: int, *whole: str) -> DataFrame:
+def _ruled(spark: SparkSession, docs: DataFrame, line_docs: int, least_left: int, *whole: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("no_host"),
@@ -105,7 +102,7 @@ def _ruled(spark: SparkSession, docs: DataFrame, line_min_docs: int, line_share:
     normalised = F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", " "), "\n")
     filled = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     rows = with_repeated_window_words(rows, "words", "n_repeat_words").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "host", "no_host", F.xxhash64("text").alias("text_key"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", "host", "no_host",
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -117,12 +114,9 @@ def _ruled(spark: SparkSession, docs: DataFrame, line_min_docs: int, line_share:
     rows = staged(spark, rows, "line-rules")
 
     host = ["host", "no_host"]
-    texts = rows.groupBy(*host, "text_key").agg(F.count(F.lit(1)).alias("n")).groupBy(*host).agg(F.count(F.lit(1)).alias("texts"))
-    holders = (rows.select(*host, "text_key", F.explode(F.array_distinct("lines.line")).alias("line"))
-               .groupBy(*host, "line", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    holders = (rows.select(*host, "doc_id", F.explode(F.array_distinct("lines.line")).alias("line")).distinct()
                .groupBy(*host, "line").agg(F.count(F.lit(1)).alias("holders")))
-    frequent = staged(spark, holders.where(F.col("holders") >= line_min_docs).join(texts, host)
-                      .where(F.col("holders") * 100 >= F.col("texts") * line_share).select(*host, "line"), "frequent-lines")
+    frequent = staged(spark, holders.where(F.col("holders") >= line_docs).select(*host, "line"), "frequent-lines")
     removed = (rows.select("row", *host, F.explode("lines").alias("l")).select("row", *host, "l.line", "l.words")
                .join(frequent, [*host, "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"), *([F.collect_set("line").alias("taken")] if whole else [])))
     out = rows.join(removed, "row", "left").select(

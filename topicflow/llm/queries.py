@@ -49,11 +49,9 @@ f AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_m
 w AS (SELECT doc_id, i, [words[i], words[i + 1], words[i + 2]] AS win FROM d, LATERAL (SELECT unnest(generate_series(1, len(words) - 2)) AS i)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM w) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id),
-l AS (SELECT doc_id, host, text, trim(line) AS line FROM (SELECT doc_id, host, text,
+l AS (SELECT doc_id, host, trim(line) AS line FROM (SELECT doc_id, host,
   unnest(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\n]+', ' ', 'g'), chr(10))) AS line FROM d) WHERE trim(line) <> ''),
-freq AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM l GROUP BY host, line)
-  JOIN (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host) USING (host)
-  WHERE n >= {linefreq.LINE_MIN_DOCS} AND n * 100 >= texts * {linefreq.LINE_SHARE}),
+freq AS (SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= {linefreq.LINE_DOCS}),
 lw AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS line_words,
   sum(CASE WHEN (host, line) IN (SELECT (host, line) FROM freq) THEN len(string_split(line, ' ')) ELSE 0 END) AS removed_words FROM l GROUP BY doc_id),
 b AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
