@@ -45,7 +45,7 @@ def share_out(nodes: DataFrame, parent: list[str]) -> DataFrame:
     In the order of capacity per weight, a child is full if what is left
     would give it at least its capacity; the full ones are the first ones,
     and the others split the rest by weight (rounded down)."""
-    siblings = Window.partitionBy(*parent).orderBy(F.col("capacity") / F.col("weight"), "name")
+    siblings = Window.partitionBy(*parent).orderBy(F.try_divide("capacity", "weight"), "name")
     before = siblings.rowsBetween(Window.unboundedPreceding, -1)
     family = Window.partitionBy(*parent)
     left = F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0))
@@ -62,8 +62,10 @@ def share_out(nodes: DataFrame, parent: list[str]) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, fraction: tuple[int, int], max_epochs: int, weights: dict[str, dict[str, int]]) -> DataFrame:
     """``leaves`` (domain, lang, source, tokens) plus ``budget``: the tokens
     to take from each; together ``fraction`` (numerator, denominator) of all
-    tokens, or less if ``max_epochs`` of everything hold less."""
-    nodes = leaves.withColumn("capacity", F.col("tokens") * max_epochs)
+    tokens, or less if ``max_epochs`` of everything hold less.  Nothing is
+    taken from below a weight of 0; its share goes to the others."""
+    barred = reduce(Column.__or__, [weight(level, weights.get(level, {})) == 0 for level in LEVELS])
+    nodes = leaves.withColumn("capacity", F.when(barred, F.lit(0)).otherwise(F.col("tokens") * max_epochs))
     total = nodes.agg(F.sum("tokens").alias("all_tokens"), F.sum("capacity").alias("all_capacity"))
     budgets = total.select(F.lit(0).alias("root"), F.least("all_capacity", F.expr(f"all_tokens * {fraction[0]} div {fraction[1]}")).alias("budget"))
     parent = ["root"]
