@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokenizer, text):
@@ -111,3 +109,10 @@ def test_hot_length_is_numbered_in_buckets(spark):
                                       F.lit(700).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
     got = packing.pack(spark, pieces).groupBy("sequence_id").agg(F.collect_set("offset").alias("o"), F.count("*").alias("n"))
     assert got.count() == 2500 and got.where("n = 2 and array_contains(o, 0) and array_contains(o, 700)").count() == 2500
+
+
+def test_strings_of_special_tokens_are_those_tokens(tokenizer):
+    word_ids = packing.WordIds(PATH)
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y<|endoftext|>", "A <|ENDOFTEXT|> b", "<|endoftext|", "no <| such |>", "<|endoftext|>."):
+        assert np.frombuffer(word_ids.text(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 49407 in tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids

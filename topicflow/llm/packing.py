@@ -114,7 +114,8 @@ class WordIds(dict):
     and cuts a word of letters from punctuation that follows it, so a word is
     looked up as (letters, punctuation).  Lower-case Latin letters are in
     normal form already and go straight to the merge model; everything else
-    goes through the whole tokenizer."""
+    goes through the whole tokenizer, as do texts that hold the string of a
+    special token, which the tokenizer takes for that token."""
 
     _TAIL = b".,;:!?#$%&*|"
 
@@ -125,7 +126,7 @@ class WordIds(dict):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._special = [t.content.encode().lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._model = self._tokenizer.model
         self._shown = {b: ch for ch, b in byte_symbols().items()}
 
@@ -150,9 +151,13 @@ class WordIds(dict):
         return ids
 
     def text(self, text: str) -> bytes:
+        lower = text.encode().lower()
+        if any(s in lower for s in self._special):  # strings of special tokens, in whatever case
+            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if len(self) > _CACHED_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        return b"".join(map(self.__getitem__, lower.split()))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
