@@ -34,7 +34,12 @@ def due_messages(log: DataFrame, now_ms, lookback_s: int = DELAY_LOOKBACK_S,
     ``observe_as`` counts them as a named observation."""
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
     since = F.timestamp_millis(now - F.lit(lookback_s * 1000))
-    rows = replay_since(log.where(F.col("topic") == topic), since)
+    return due_of(replay_since(log.where(F.col("topic") == topic), since), now, header, observe_as)
+
+
+def due_of(rows: DataFrame, now_ms, header: str = DELAY_HEADER, observe_as: str | None = None) -> DataFrame:
+    """The due headers of ``rows`` at ``now_ms`` (see :func:`due_messages`)."""
+    now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms)
     hx = rows.select("*", F.posexplode("headers").alias("header_pos", "h")) \
              .where(F.col("h.key") == header)
     hx = hx.withColumn("delay_seconds", header_long(F.col("h.value")))

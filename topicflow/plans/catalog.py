@@ -9,6 +9,7 @@ the order of additions; the operators themselves never round.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -17,9 +18,10 @@ from topicflow.functions.codec import from_json_strict, to_json_all_fields
 from topicflow.functions.java import java_hash
 from topicflow.operators import delay, offsets, partitioning, purchases, tables, words
 from topicflow.plans import sqlviews as V
-from topicflow.schemas import ITEM_JSON_FIELDS, ORDER_JSON_FIELDS, TOPIC_PARTITIONS, USER_JSON_FIELDS
+from topicflow.schemas import DELAY_LOOKBACK_S, ITEM_JSON_FIELDS, ORDER_JSON_FIELDS, TOPIC_PARTITIONS, USER_JSON_FIELDS
 from topicflow.session import ensure_conf, scratch_path
 from topicflow.sources import driver, lines
+from topicflow.sources.index import LogIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -487,11 +489,11 @@ SELECT topic, partition, MIN("offset") AS first_offset, MAX("offset") + 1 AS end
 FROM log_t GROUP BY topic, partition""")
 def q_topic_summary(spark, sf_dir):
     """L3: topic/partition listing with offset range and size."""
-    return offsets.topic_summary(_log(spark, sf_dir))
+    return _index(spark, sf_dir).topic_summary()
 
 
-def _max_ts(log):
-    return log.select(F.max("timestamp")).scalar()
+def _index(spark, sf_dir):
+    return LogIndex(spark, driver.log_path(spark, sf_dir))
 
 
 @register("offsets_for_times", V.with_(V.LOG) + """
@@ -500,8 +502,8 @@ SELECT topic, partition, MIN(CASE WHEN timestamp >= (SELECT MAX(timestamp) FROM
 FROM log_t GROUP BY topic, partition""")
 def q_offsets_for_times(spark, sf_dir):
     """L2: first offset at/after (newest record time - 1 day), per partition."""
-    log = _log(spark, sf_dir)
-    return offsets.offsets_for_times(log, _max_ts(log) - F.expr("INTERVAL 1 DAY"))
+    index = _index(spark, sf_dir)
+    return index.offsets_for_times(index.newest() - dt.timedelta(days=1))
 
 
 @register("offsets_before", V.with_(V.LOG) + """
@@ -510,8 +512,8 @@ SELECT topic, partition, COALESCE(MAX(CASE WHEN timestamp < (SELECT MAX(timestam
 FROM log_t GROUP BY topic, partition""")
 def q_offsets_before(spark, sf_dir):
     """L1: offset just after the last record older than (newest - 3 days)."""
-    log = _log(spark, sf_dir)
-    return offsets.offsets_before(log, _max_ts(log) - F.expr("INTERVAL 3 DAYS"))
+    index = _index(spark, sf_dir)
+    return index.offsets_before(index.newest() - dt.timedelta(days=3))
 
 
 @register("replay_since", V.with_(V.LOG) + """,
@@ -521,8 +523,8 @@ SELECT l.topic, l.partition, l."offset", l.key_s AS key, l.value_s AS value, l.t
 FROM log_t l JOIN st ON l.topic = st.topic AND l.partition = st.partition WHERE l."offset" >= st.s""")
 def q_replay_since(spark, sf_dir):
     """Rewind every partition to (newest - 1 day) and read to the end."""
-    log = _log(spark, sf_dir)
-    return _log_cols(offsets.replay_since(log, _max_ts(log) - F.expr("INTERVAL 1 DAY")))
+    index = _index(spark, sf_dir)
+    return _log_cols(index.replay_since(index.newest() - dt.timedelta(days=1)))
 
 
 @register("pause_partitions", V.with_(V.LOG) + """
@@ -542,7 +544,7 @@ SELECT topic, partition, "offset", key_s AS key, value_s AS value, timestamp, CA
 FROM p WHERE fetched_bytes <= 10000""")
 def q_bounded_fetch(spark, sf_dir):
     """One 10,000-byte fetch of topic test, partition 0, from offset 0."""
-    f = offsets.bounded_fetch(_log(spark, sf_dir), "test", 0, 0, 10_000)
+    f = _index(spark, sf_dir).bounded_fetch("test", 0, 0, 10_000)
     return f.select("topic", "partition", "offset", F.decode("key", "UTF-8").alias("key"),
                     F.decode("value", "UTF-8").alias("value"), "timestamp", "fetched_bytes")
 
@@ -564,26 +566,42 @@ def q_delay_encode(spark, sf_dir):
                     F.decode(F.col("headers")[0]["value"], "UTF-8").alias("header_value"))
 
 
-@register("due_messages", V.with_(V.LOG) + """,
+def _due_sql(lookback_ms: int) -> str:
+    return V.with_(V.LOG) + """,
 now_t AS (SELECT MAX(epoch_us(timestamp) // 1000) + 120000 AS now FROM log_t WHERE topic = 'test'),
 st AS (SELECT topic, partition, MIN("offset") AS s FROM log_t, now_t
-       WHERE topic = 'test' AND (epoch_us(timestamp) // 1000) >= now - 180000 GROUP BY topic, partition),
+       WHERE topic = 'test' AND (epoch_us(timestamp) // 1000) >= now - """ + str(lookback_ms) + """ GROUP BY topic, partition),
 r AS (SELECT l.* FROM log_t l JOIN st ON l.topic = st.topic AND l.partition = st.partition WHERE l."offset" >= st.s),
 h AS (SELECT r.*, 0 AS header_pos, CAST(floor(ev_value / 4) AS BIGINT) AS delay_seconds FROM r WHERE event_type IN ('click', 'view')
       UNION ALL SELECT r.*, 1, CAST(floor(ev_value / 8) AS BIGINT) FROM r WHERE event_type = 'view')
 SELECT topic, partition, "offset", key_s AS key, value_s AS value, timestamp, CAST(header_pos AS INTEGER) AS header_pos,
        delay_seconds
-FROM h, now_t WHERE delay_seconds > 0 AND now - (epoch_us(timestamp) // 1000) >= delay_seconds * 1000""")
+FROM h, now_t WHERE delay_seconds > 0 AND now - (epoch_us(timestamp) // 1000) >= delay_seconds * 1000"""
+
+
+def _due(spark, sf_dir, lookback_s):
+    index = _index(spark, sf_dir)
+    newest = index.newest("test")
+    now = (0 if newest is None else round(newest.timestamp() * 1000)) + 120_000
+    d = delay.due_of(index.replay_since(now - lookback_s * 1000, "test"), now)
+    return d.select("topic", "partition", "offset", F.decode("key", "UTF-8").alias("key"),
+                    F.decode("value", "UTF-8").alias("value"), "timestamp",
+                    F.col("header_pos").cast("int").alias("header_pos"), "delay_seconds")
+
+
+@register("due_messages", _due_sql(180_000))
 def q_due_messages(spark, sf_dir):
     """ST5 (one pass): with ``now`` = 2 minutes after the newest record of
     topic test, the records due for delivery from the last 180 s (one per
     due header)."""
-    log = _log(spark, sf_dir)
-    now = log.where(F.col("topic") == "test").select(F.max(F.unix_millis("timestamp")) + 120_000).scalar()
-    d = delay.due_messages(log, now)
-    return d.select("topic", "partition", "offset", F.decode("key", "UTF-8").alias("key"),
-                    F.decode("value", "UTF-8").alias("value"), "timestamp",
-                    F.col("header_pos").cast("int").alias("header_pos"), "delay_seconds")
+    return _due(spark, sf_dir, DELAY_LOOKBACK_S)
+
+
+@register("due_messages_ten_days", _due_sql(864_000_000))
+def q_due_messages_ten_days(spark, sf_dir):
+    """ST5 after a long pause: the same pass with a look-back of ten days, so
+    records with one, two and bad headers are due."""
+    return _due(spark, sf_dir, 864_000)
 
 
 # ------------------------------------------------------------ ingest

@@ -131,15 +131,22 @@ def log(spark: SparkSession, sf_dir: str, n_partitions: int = TOPIC_PARTITIONS)
     stored table.  Written once per application into the shared checkpoint
     folder, partitioned by topic and partition (so topic/partition filters
     prune directories, and lineage is cut), then read back."""
-    from topicflow.session import scratch_path
-    from topicflow.sources.log import read_log, write_log
+    from topicflow.sources.log import read_log
+    return read_log(spark, log_path(spark, sf_dir, n_partitions))
+
+
+def log_path(spark: SparkSession, sf_dir: str, n_partitions: int = TOPIC_PARTITIONS) -> str:
+    """Where the stored log and its index lie; written if not there (any
+    more)."""
+    from topicflow.session import exists, scratch_path
+    from topicflow.sources.log import write_log
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), n_partitions)
     path = _STORED_LOGS.get(key)
-    if path is None:
+    if path is None or not exists(spark, f"{path}/_index"):
         path = scratch_path(spark, "events-log")
-        write_log(placed_log(spark, sf_dir, n_partitions), path, mode="overwrite")
+        write_log(placed_log(spark, sf_dir, n_partitions), path, mode="overwrite", index=True)
         _STORED_LOGS[key] = path
-    return read_log(spark, path)
+    return path
 
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicflow.functions.codec import to_json_all_fields
 from topicflow.schemas import LOG
+from topicflow.sources.index import LogIndex
 
 
 def read_log(spark: SparkSession, path: str, topics=None) -> DataFrame:
@@ -34,14 +35,17 @@ def kafka_options(bootstrap: str, topics, starting: str = "earliest") -> dict:
             "startingOffsets": starting, "includeHeaders": "true"}
 
 
-def write_log(df: DataFrame, path: str, mode: str = "append") -> None:
-    """K1: append records to the parquet log, laid out by topic/partition."""
+def write_log(df: DataFrame, path: str, mode: str = "append", index: bool = False) -> None:
+    """K1: append records to the parquet log, laid out by topic/partition;
+    with ``index``, its time and byte index is brought up to date."""
     cols = [f.name for f in LOG.fields]
     (df.select(*[F.col(c).cast(LOG[c].dataType) if c in df.columns else
                  F.lit(None).cast(LOG[c].dataType).alias(c) for c in cols])
        # one sorted run a task and partition: offset and time filters skip row groups
        .sortWithinPartitions("topic", "partition", "offset")
        .write.mode(mode).partitionBy("topic", "partition").parquet(path))
+    if index:
+        LogIndex(df.sparkSession, path).refresh()
 
 
 def keyed_json_records(df: DataFrame, key_col: str, fields: dict, topic: str) -> DataFrame:
