@@ -5,9 +5,10 @@ A log partition, a user or a topic may hold a third of all rows, so a window
 into one task.  Instead the rows are cut into ranges of equal size in the
 order (keys, sort columns):
 
-1. the rows are range-partitioned, numbered by range and staged in the shared
-   folder: the source is read once, and range bounds stay what they were if
-   a task runs again;
+1. the rows are staged in the shared folder (the source is computed once:
+   sampling and dealing read the staged rows), range-partitioned, numbered by
+   range and staged again, so that range bounds stay what they were if a task
+   runs again;
 2. (key, range) totals — one row per range and key that meets it, so at most
    ranges + keys rows;
 3. an exclusive prefix of those totals per key;
@@ -24,26 +25,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from topicflow.session import scratch_path
+from topicflow.session import scratch_path, staged
 
-_B = "__range"
+RANGE = _B = "__range"
 
 
-def time_bucket(ts, seconds: int) -> Column:
-    """Bucket number of a timestamp column (epoch aligned)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_seconds(c) / F.lit(seconds)).cast("long")
+def in_ranges(df: DataFrame, order_cols: Sequence) -> DataFrame:
+    """``df`` in ranges of about equal size of ``order_cols``, numbered in
+    the column RANGE, as a stored table."""
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = staged(df, "unranged")
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(ranges, *order_cols).withColumn(_B, F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_B, T.IntegerType())])).parquet(path)
 
 
 def _two_level(df: DataFrame, keys: Sequence[str], order_cols: Sequence,
                values: dict[str, Column], counting: bool) -> DataFrame:
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    valued = df.select("*", *[c.alias(f"__v_{n}") for n, c in values.items()])
-    path = scratch_path(spark, "ranges")
-    (valued.repartitionByRange(ranges, *keys, *order_cols).withColumn(_B, F.spark_partition_id())
-     .write.parquet(path))
-    d = spark.read.schema(T.StructType([*valued.schema.fields, T.StructField(_B, T.IntegerType())])).parquet(path)
+    d = in_ranges(df.select("*", *[c.alias(f"__v_{n}") for n, c in values.items()]), [*keys, *order_cols])
     inside = Window.partitionBy(*keys, _B).orderBy(*order_cols)
     run = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topicflow.functions.java import java_str
-from topicflow.operators.sequence import time_bucket
+from topicflow.operators.sequence import RANGE, in_ranges
 from topicflow.schemas import (ITEM_EVENT_MS, OTHER_EVENT_MS, USER_EVENT_MS)
 
 
@@ -95,66 +95,42 @@ def lookup_concat(stream: DataFrame, table: DataFrame, stream_key: str = "key",
 
 
 def asof_lookup(stream: DataFrame, changelog: DataFrame, key: str = "key", ts: str = "ts",
-                seq: str = "seq", value_cols: Sequence[str] = ("value",),
-                bucket_seconds: int = 3600) -> DataFrame:
+                seq: str = "seq", value_cols: Sequence[str] = ("value",)) -> DataFrame:
     """Event-time lookup.  Each stream row gets the value of the newest
     changelog row of its key with ``(ts, seq)`` not after its own time; on
     equal time the table row counts as earlier.  A tombstone (all values
     null) hides older values.  The stream's own ``value_cols`` (if any) are
-    replaced by the looked-up values, null on a miss or after a tombstone.  Stream rows with a null
-    key are skipped.
-
-    Distributed in two levels, so that no key is ever gathered into one task:
-    (1) the newest table row per (key, time bucket, an hour by default) —
-    an aggregate, combined map-side; (2) carry it forward over the buckets
-    of a key — a window over that per-bucket summary, whose size is bounded
-    by the time span; (3) inside each (key, bucket) a window over the
-    stream and table rows of that bucket, falling back to the carried row.  Stream rows travel through the plan as
-    one struct, so there is no self-join back to the stream."""
-    B = "__day"
-    tb = (changelog.where(F.col(key).isNotNull())
-          .select(F.col(key).alias("__k"), F.col(ts).alias("__ts"), F.col(seq).alias("__seq"),
-                  *[F.col(c).alias(f"__tv_{c}") for c in value_cols])
-          .withColumn(B, time_bucket("__ts", bucket_seconds)))
-    payload = F.struct(F.col("__ts"), F.col("__seq"), *[F.col(f"__tv_{c}") for c in value_cols])
-    per_day = tb.groupBy("__k", B).agg(F.max_by(payload, F.struct("__ts", "__seq")).alias("__last"))
-    row_type = per_day.schema["__last"].dataType
-
+    replaced by the looked-up values, null on a miss or after a tombstone.
+    Stream rows with a null key are skipped, as are table rows without a key
+    or time; stream rows without a time find nothing.
+
+    One pass: stream and table rows are one union, stored once and dealt to
+    ranges of (key, time), so that a hot key spans several of them; a window
+    inside each (key, range) finds the newest table row before every stream
+    row, and where there is none yet, the last one of the key's earlier
+    ranges is carried over.  Only a key that crosses the border of a range
+    has such a carry, so there are fewer of them than ranges, and they are
+    broadcast."""
+    payload = F.struct(F.col(ts).cast("timestamp").alias("ts"), F.col(seq).cast("long").alias("seq"), *[F.col(c).alias(f"v_{c}") for c in value_cols])
+    versions = (changelog.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+                .select(F.col(key).alias("__k"), F.col(ts).alias("__ts"), F.lit(0).alias("__side"), F.col(seq).cast("long").alias("__seq"),
+                        payload.alias("__row")))
     keep = [c for c in stream.columns if c not in value_cols]
-    st = (stream.where(F.col(key).isNotNull())
-          .select(F.col(key).alias("__k"), F.col(ts).alias("__ts"),
-                  F.struct(*[F.col(c) for c in keep]).alias("__srow"))
-          .withColumn(B, time_bucket("__ts", bucket_seconds)))
-    st_days = st.select("__k", B).distinct()
-
-    # (2) newest table row of the days strictly before each stream day; the
-    # stream-day mark sorts before the same day's table summary.
-    marks = (per_day.select("__k", B, "__last", F.lit(False).alias("__sd"))
-             .unionByName(st_days.select("__k", B, F.lit(None).cast(row_type).alias("__last"),
-                                         F.lit(True).alias("__sd"))))
-    wcarry = (Window.partitionBy("__k").orderBy(F.col(B), F.col("__sd").desc())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (marks.withColumn("__prev", F.last("__last", ignorenulls=True).over(wcarry))
-               .where(F.col("__sd")).select("__k", B, "__prev"))
-
-    # (3) as-of inside the day
-    s_part = st.select("__k", B, "__ts", F.lit(1).alias("__side"),
-                       F.lit(None).cast("long").alias("__seq"), "__srow",
-                       F.lit(None).cast(row_type).alias("__row"))
-    t_part = (tb.join(st_days, ["__k", B], "left_semi")
-              .select("__k", B, "__ts", F.lit(0).alias("__side"), F.col("__seq").cast("long"),
-                      F.lit(None).cast(st.schema["__srow"].dataType).alias("__srow"),
-                      payload.alias("__row")))
-    win = (Window.partitionBy("__k", B).orderBy("__ts", "__side", "__seq")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inday = (s_part.unionByName(t_part)
-             .withColumn("__hit", F.last("__row", ignorenulls=True).over(win))
-             .where(F.col("__side") == 1).select("__k", B, "__srow", "__hit"))
-    res = (inday.join(carried, ["__k", B], "left")
-           .select("__srow", F.coalesce("__hit", "__prev").alias("__r")))
-    found = res.select(*[F.col(f"__srow.{c}").alias(c) for c in keep],
-                       *[F.col(f"__r.__tv_{c}").alias(c) for c in value_cols])
-    return found
+    rows = (stream.where(F.col(key).isNotNull())
+            .select(F.col(key).alias("__k"), F.col(ts).alias("__ts"), F.lit(1).alias("__side"), F.lit(None).cast("long").alias("__seq"),
+                    F.struct(*[F.col(c) for c in keep]).alias("__srow")))
+    order = ["__ts", "__side", "__seq"]
+    both = in_ranges(versions.unionByName(rows, allowMissingColumns=True), ["__k", *order])
+
+    last = both.groupBy("__k", RANGE).agg(F.max_by("__row", F.when(F.col("__side") == 0, F.struct("__ts", "__seq"))).alias("__last"))
+    before = Window.partitionBy("__k").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (last.withColumn("__prev", F.last("__last", ignorenulls=True).over(before)).where(F.col("__prev").isNotNull())
+               .select(F.col("__k").alias("__ck"), F.col(RANGE).alias("__cr"), "__prev"))
+    inside = Window.partitionBy("__k", RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = both.withColumn("__hit", F.last("__row", ignorenulls=True).over(inside)).where("__side = 1")
+    found = hits.join(F.broadcast(carried), (F.col("__k") == F.col("__ck")) & (F.col(RANGE) == F.col("__cr")), "left")
+    newest = F.when(F.col("__ts").isNotNull(), F.coalesce("__hit", "__prev"))
+    return found.withColumn("__r", newest).select(*[F.col(f"__srow.{c}").alias(c) for c in keep], *[F.col(f"__r.v_{c}").alias(c) for c in value_cols])
 
 
 def extract_event_time(entity: Column, transaction_date: Column, json: Column | None = None) -> Column:
