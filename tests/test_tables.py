@@ -51,3 +51,22 @@ def test_null_stream_keys_are_skipped(spark):
     s = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
     t = spark.createDataFrame([("a", "x")], "name string, w string")
     assert [tuple(r) for r in tables.lookup_join(s, t, "k", "name").collect()] == [("a", 1, "a", "x")]
+
+
+def test_class_and_time_by_shape(spark):
+    rows = ['{"userName":null,"itemName":"i","transactionDate":7,"quantity":1}', '{"itemName":"i","address":null,"type":null,"price":null}',
+            '{"name":"n","address":"a","gender":null,"age":3}', '{"transactionDate":9}', '{"transactionDate":"x"}', '{"transactionDate":null}',
+            '{"a":1}', '[1]', '"s"', 'null', 'no json', '', None]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, r string").withColumn("v", F.try_parse_json("r"))
+    got = [tuple(x) for x in df.select(tables.record_class(F.col("v")), tables.event_time_of_record(F.col("v"))).orderBy("k").collect()]
+    other = 1447113610000
+    assert got == [("order", 7), ("item", 1449795610000), ("user", 1449792010000), ("json", 9), ("json", other), ("json", other)] + [("other", other)] * 7
+
+
+def test_asof_of_a_key_over_many_ranges(spark):
+    """One key fills all ranges: the newest version is carried over them."""
+    versions = spark.createDataFrame([("k", 1, 1, "first"), ("k", 900, 2, "second"), ("z", 0, 3, "z")], "key string, t long, seq long, value string")
+    rows = spark.createDataFrame([("k", t, t) for t in range(0, 2000)] + [("a", 5, -1), ("k", None, -2), (None, 5, -3)], "key string, t long, id long")
+    at = lambda d: d.withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    got = {r.id: r.value for r in tables.asof_lookup(at(rows), at(versions)).collect()}
+    assert got == {**{t: None if t < 1 else "first" if t < 900 else "second" for t in range(2000)}, -1: None, -2: None}

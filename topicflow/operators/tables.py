@@ -143,3 +143,26 @@ def extract_event_time(entity: Column, transaction_date: Column, json: Column |
             .when(entity == F.lit("item"), F.lit(ITEM_EVENT_MS))
             .when(entity == F.lit("user"), F.lit(USER_EVENT_MS))
             .otherwise(F.lit(OTHER_EVENT_MS))).cast("long")
+
+
+def record_class(value: Column) -> Column:
+    """F7 on a topic of several classes: what a parsed JSON value (VARIANT)
+    is, by the fields that it has, null or not: ``order``, ``item``, ``user``,
+    any other object with a transaction date ``json``, else ``other``."""
+    def has(*names):
+        found = [F.try_variant_get(value, f"$.{n}", "variant").isNotNull() for n in names]
+        return found[0] if len(found) == 1 else found[0] & has(*names[1:])
+
+    return (F.when(has("userName", "itemName", "transactionDate", "quantity"), F.lit("order"))
+            .when(has("itemName", "type", "price"), F.lit("item"))
+            .when(has("name", "gender", "age"), F.lit("user"))
+            .when(has("transactionDate"), F.lit("json")).otherwise(F.lit("other")))
+
+
+def event_time_of_record(value: Column) -> Column:
+    """ST1 on a mixed topic: the event time (epoch ms) of a parsed JSON value
+    by its class; a value that is no JSON (null) has the default time, as has
+    one whose date is no whole number."""
+    date = F.try_variant_get(value, "$.transactionDate", "long")
+    entity = record_class(value)
+    return F.coalesce(extract_event_time(F.when(entity == "json", F.lit("order")).otherwise(entity), date), F.lit(OTHER_EVENT_MS).cast("long"))

@@ -188,6 +188,20 @@ def q_extract_event_time(spark, sf_dir):
         F.col("entity"), F.col("transaction_date"), F.col("json")).alias("event_ms"))
 
 
+@register("mixed_topic_event_time", V.with_(V.ORDERS, V.USERS, V.ITEMS) + """
+SELECT 'order' AS entity, user_name AS key, transaction_date AS event_ms FROM orders_s
+UNION ALL SELECT 'json', CAST(o_orderkey AS VARCHAR), epoch_ms(CAST(o_orderdate AS TIMESTAMP)) FROM orders
+UNION ALL SELECT 'other', CAST(n_nationkey AS VARCHAR), 1447113610000 FROM nation
+UNION ALL SELECT 'user', name, 1449792010000 FROM users_t
+UNION ALL SELECT 'item', item_name, 1449795610000 FROM items_t""")
+def q_mixed_topic_event_time(spark, sf_dir):
+    """ST1 + F7: one stored topic with orders, items, users, bare JSON and
+    text; the class and the event time of each by the shape of its value."""
+    log = driver.mixed_log(spark, sf_dir).withColumn("v", F.try_parse_json(F.decode("value", "UTF-8")))
+    return log.select(tables.record_class(F.col("v")).alias("entity"), F.decode("key", "UTF-8").alias("key"),
+                      tables.event_time_of_record(F.col("v")).alias("event_ms"))
+
+
 # ------------------------------------------------------------- top items
 _TOP_SQL = V.with_(V.ORDERS, V.USERS, V.ITEMS, V.ORDER_USER, V.OUI_ADULT) + """,
 panes AS (

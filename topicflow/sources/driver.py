@@ -172,6 +172,29 @@ def profile_lookup(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return rows, versions
 
 
+def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored topic with values of several classes: orders, items and
+    users as JSON objects, per order of the driver table a bare object with
+    its date, and per nation a text that is no JSON."""
+    from topicflow.functions.codec import to_json_all_fields
+    from topicflow.operators.partitioning import assign_partition
+    from topicflow.schemas import ITEM_JSON_FIELDS, ORDER_JSON_FIELDS, USER_JSON_FIELDS
+    from topicflow.session import scratch_path
+    from topicflow.sources.log import keyed_json_records, read_log, write_log
+    parts = [keyed_json_records(df, key, {j: c for c, j in fields.items()}, "mixed") for df, key, fields in (
+        (orders(spark, sf_dir), "user_name", ORDER_JSON_FIELDS), (items(spark, sf_dir), "item_name", ITEM_JSON_FIELDS), (users(spark, sf_dir), "name", USER_JSON_FIELDS))]
+    od, nation = table(spark, sf_dir, "orders"), table(spark, sf_dir, "nation")
+    bare = to_json_all_fields({"id": F.col("o_orderkey"), "transactionDate": ts_ms("o_orderdate")})
+    parts.append(od.select(F.lit("mixed").alias("topic"), F.encode(F.col("o_orderkey").cast("string"), "UTF-8").alias("key"), F.encode(bare, "UTF-8").alias("value")))
+    parts.append(nation.select(F.lit("mixed").alias("topic"), F.encode(F.col("n_nationkey").cast("string"), "UTF-8").alias("key"), F.encode("n_name", "UTF-8").alias("value")))
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
+    path = scratch_path(spark, "mixed-log")
+    write_log(assign_partition(log, TOPIC_PARTITIONS, key_col=F.decode(F.col("key"), "UTF-8")), path)
+    return read_log(spark, path)
+
+
 def timed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-count input records: ``value`` text and record ``timestamp``."""
     e = table(spark, sf_dir, "events")
