@@ -83,3 +83,17 @@ def test_texts_scored_together_score_as_alone():
 def test_without_languages(spark):
     assert langid.fit(spark, documents(spark).where("lang is null"), F.lit(True)) is None
     assert {x.lang_pred for x in langid.predict(documents(spark), None).collect()} == {"und"}
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """The lowest hashes of each of the most frequent languages, counted
+    exactly however many documents there are."""
+    seen = []
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    monkeypatch.setattr(langid, "fit_rows", lambda langs, x: seen.append(sorted(langs)))
+    r = random.Random(5)
+    rows = [(i, _speech(r, lang, 3), lang) for i, lang in enumerate(["en"] * 900 + ["de"] * 30 + ["fr"] * 5)]
+    docs = spark.createDataFrame(rows + [(1, "again", "en")], "doc_id long, text string, lang string")
+    langid.fit(spark, docs, F.lit(True), max_per_language=20)
+    langid.fit(spark, docs.repartition(7), F.lit(True), max_per_language=50)
+    assert seen == [["de"] * 20 + ["en"] * 20, ["de"] * 30 + ["en"] * 50]

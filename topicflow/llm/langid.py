@@ -11,12 +11,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged
 
-MAX_PER_LANGUAGE = 300  # labelled documents a language is learned from, about
+MAX_PER_LANGUAGE = 300  # labelled documents that a language is learned from, at most
+MAX_LANGUAGES = 64      # languages that are learned: those of the most documents
 BITS = 12               # trigrams are hashed into 2 ** BITS features
 UNDETERMINED = "und"
 _BLOCK = 1 << 20        # bytes of text scored at a time
@@ -118,17 +119,23 @@ def fit_rows(languages_of_rows: list[str], x: np.ndarray) -> Model | None:
 
 def fit(spark: SparkSession, docs: DataFrame, train: Column, max_per_language: int = MAX_PER_LANGUAGE) -> Model | None:
     """The hierarchy from the documents with a language for which ``train``
-    (a condition on doc_id) holds: for every language about
-    ``max_per_language`` of them, those with the lowest hashes.  Their
-    features reach the driver.  None if there are none."""
+    (a condition on doc_id) holds: for each of the MAX_LANGUAGES most frequent
+    languages (ties by name) the ``max_per_language`` documents of the lowest
+    hashes, or all if it has fewer.  Their features, at most 16 kB times both
+    bounds, reach the driver.  Documents of null or wordless text teach
+    nothing; None if there are none to learn from."""
     known = docs.where("lang is not null and text is not null").where(train)
-    counts = {r[0]: r[1] for r in known.groupBy("lang").agg(F.count(F.lit(1))).collect()}
-    parts = 1_000_000
-    limit = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, max(1, max_per_language * parts // n))]) if counts else F.lit(None)
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(parts))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return None
-    sample = known.where(part < limit[F.col("lang")]).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    # a hash below which a language has twice as many documents as wanted, on
+    # average, so that few rows are put in order
+    whole = 1 << 62
+    limit = F.create_map(*[F.lit(v) for r in counts for v in (r.lang, whole if r.n <= 4 * max_per_language else whole // r.n * 2 * max_per_language)])
+    h = F.shiftright(F.xxhash64(F.col("doc_id"), F.lit("language sample")), 1).bitwiseAND(F.lit(whole - 1))
+    ordered = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
+    sample = (known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", h.alias("h")).where(F.col("h") < limit[F.col("lang")])
+              .withColumn("n", F.row_number().over(ordered)).where(F.col("n") <= max_per_language).select("doc_id", "lang", "text"))
 
     def run(batches):
         for batch in batches:
@@ -221,7 +228,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def determined(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is determined with a
-    score of at least ``least``."""
+    score of at least ``least``.  Null texts and those without a letter go;
+    repeated rows share their fate; an empty table gives no rows; other
+    columns may have any name; without a model all rows go."""
     place = docs.columns.index("text")
 
     def run(batches):

@@ -223,5 +223,8 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> Da
 def packed_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
                      capacity: int = CAPACITY) -> DataFrame:
     """Documents tokenized, cut and packed: one row per piece with
-    sequence_id and offset."""
+    sequence_id and offset.  Cases as in :func:`token_pieces` (a null or
+    empty text is one piece of one id) and :func:`pack` (repeated rows take
+    one place each); a null doc_id stays null; an empty table gives no
+    rows."""
     return pack(spark, staged(spark, token_pieces(docs, tokenizer_path, capacity), "pieces"), capacity)

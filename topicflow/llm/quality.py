@@ -233,7 +233,10 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def good(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``least``."""
+    """The rows of ``docs``, all columns, whose score is at least ``least``.
+    Null and empty texts are scored like any other (equal to each other);
+    repeated rows share their fate; an empty table gives no rows; other
+    columns may have any name; without a model every score is 0.5."""
     place = docs.columns.index("text")
 
     def run(batches):
