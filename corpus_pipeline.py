@@ -23,31 +23,36 @@ LEAST_LANGUAGE = 0.2
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose probability of good quality is below
-    LEAST_QUALITY; learned from the labels of two thirds of the ids."""
+    LEAST_QUALITY; learned from the labels of two thirds of the ids.  Cases
+    (nulls, empty and repeated rows, other columns) as in quality.good."""
     model = quality.fit(spark, docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
     return quality.good(docs, model, LEAST_QUALITY)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of undetermined language or a score below
-    LEAST_LANGUAGE; learned from the languages of three quarters of the ids."""
+    LEAST_LANGUAGE; learned from the languages of three quarters of the ids.
+    Cases as in langid.determined: null and wordless texts go."""
     model = langid.fit(spark, docs, crc_mod("doc_id", 4) != 2)
     return langid.determined(docs, model, LEAST_LANGUAGE)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate component."""
+    """Keep one document of each near-duplicate component.  Cases as in
+    jaccard.one_of_each: null and wordless texts and rows without an id stay."""
     return jaccard.one_of_each(spark, docs)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The target mixture; a document of the second epoch comes twice."""
+    """The target mixture; a document of the second epoch comes twice.  Cases
+    as in mixing.mix: null languages and sources are leaves of their own."""
     return mixing.mix(spark, docs, MIX_FRACTION, MIX_EPOCHS, MIX_WEIGHTS, MIX_SEED).select(
         *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack every document left into sequences (one row per piece)."""
+    """Pack every document left into sequences (one row per piece).  Cases as
+    in packing.packed_documents."""
     return packing.packed_documents(spark, docs, public_tokenizers.path(WORD_BPE))
 
 
