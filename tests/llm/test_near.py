@@ -92,6 +92,24 @@ def test_near_texts_equal_brute_force(spark, monkeypatch, block, frequent):
     assert _got(spark, spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
 
 
+def test_one_of_each_with_clashing_columns(spark):
+    text = "a b c d e f g h i j"
+    names = ["_gone", "_again", "_class", "_wanted", "id", "row", "class", "gone", "again", "n_shingles", "component_id", "key", "run"]
+    rows = [(k, t, *names) for k, t in [(1, text), (2, text), (3, "other words that stand alone here"), (3, text), (4, None), (None, text), (3, "other words that stand alone here")]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = jaccard.one_of_each(spark, docs)
+    assert out.columns == docs.columns
+    assert sorted([tuple(r) for r in out.collect()], key=str) == sorted([rows[0], rows[2], rows[4], rows[5]], key=str)
+
+
+def test_partners_in_several_runs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_PARTNERS", 3)
+    monkeypatch.setattr(jaccard, "_PAIRS_IN_BATCH", 2)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(base[:i] + ["x"] + base[i:])) for i in range(50)] + [(100 + i, " ".join(f"z{i}_{k}" for k in range(9))) for i in range(5)]
+    assert _got(spark, spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
+
+
 def test_bounds_are_upper_bounds():
     r = np.random.default_rng(1)
     for _ in range(200):
@@ -137,3 +155,20 @@ def test_near_vectors_recall_and_edges(spark, monkeypatch, block):
     assert (by[None].n_links, by[None].component_id, by[None].kept) == (0, None, False)
     assert nearvectors.near_vectors(spark, df.limit(0)).count() == 0
     assert nearvectors.near_vectors(spark, df.where(f"vec_id in ({n}, {n + 1})")).count() == 2
+
+
+def test_vectors_of_each_length_have_their_index(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [3.0]), (6, [0.5]), (7, [-1.0]), (8, [0.0, 1.0])]
+    rows += [(100 + i, [float(np.cos(i)), float(np.sin(i)), 1.0, 5.0]) for i in range(40)] + [(200 + i, [1.0] * 5) for i in range(3000)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in nearvectors.near_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert [got[i] for i in range(1, 9)] == [(1, 1, True), (1, 1, False), (1, 3, True), (1, 3, False), (1, 5, True), (1, 5, False), (0, 7, True), (0, 8, True)]
+    assert all(got[200 + i] == (2999, 200, i == 0) for i in range(3000))
+    assert {c for _, c, _ in (got[100 + i] for i in range(40))} == {100}
+
+
+def test_shared_values_equal_brute_force():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        left, right = ([r.choice(12, 4, replace=False) for _ in range(r.integers(1, 30))] for _ in range(2))
+        i, j = nearvectors.sharing(np.array(left), np.array(right), 2)
+        assert set(zip(i.tolist(), j.tolist())) == {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if len(set(x) & set(y)) >= 2}

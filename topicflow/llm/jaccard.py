@@ -5,12 +5,12 @@ Texts with the same words form a class; joins work on classes.  By the
 prefix principle, two similar sets share a shingle among the first quarter
 (and one) of their shingles in any common order; the order used puts
 shingles found frequent first-hand last.  Classes that share such a shingle
-are compared within size-banded tiles: hashed bitmaps (four bits a shingle)
+are compared within size-banded tiles: hashed bitmaps (two bits a shingle)
 bound the overlap from above, and pairs that pass are settled by intersecting
 the exact sorted arrays.
 
 Only links between different components matter, so the work goes in rounds:
-(1) every class against one leading class per shingle, (2) every class
+(1) every class against the first class of each shingle, (2) every class
 against its most promising partner in another component, (3) all pairs still
 in different components that pass the bound, each found in one tile only.
 No round writes more than a row per shared shingle, but for pairs of the last
@@ -19,10 +19,12 @@ round, which links have not joined and bounds cannot rule out.
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -31,12 +33,14 @@ from .graph import components, runs_of
 
 WORDS = 5
 PERCENT = 75
-FREQUENT = 1 << 16      # shingles the order knows to be frequent (any number is right)
+FREQUENT = 1 << 20      # shingles the order knows to be frequent (any number is right)
 SALTS = 64              # tasks over which a frequent shingle is spread
 BLOCK = 512
 PROMISING_ROUNDS = 1
 BROADCAST_IDS = 500_000  # ids (8 bytes each) sent to all tasks; more are joined by a shuffle
-_COUNTED_AT_ONCE = 1 << 20
+_COUNTED_AT_ONCE = 1 << 21
+_PAIRS_IN_BATCH = 500    # rows with a bitmap or a whole text that an Arrow batch holds
+_PARTNERS = 256         # classes that one task run compares with one class
 _KNOWN_WORDS = 250_000
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
@@ -73,10 +77,10 @@ def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 def bitmap(shingle_set: np.ndarray) -> bytes:
-    """A power of two of bits, at least 64 and four times the set's size;
+    """A power of two of bits, at least 64 and twice the set's size;
     folding halves onto each other gives that of half the width."""
     width = 64
-    while width < 4 * len(shingle_set):
+    while width < 2 * len(shingle_set):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(shingle_set & np.uint64(width - 1)).astype(np.int64)] = 1
@@ -157,13 +161,13 @@ def _describe(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "kind int, doc_id long, key long, size long, bits binary")
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, frequent) -> DataFrame:
     """(shingle, salt, class, size) of the prefix of every class, once a
-    task.  ``frequent``: shingles in the order of their counts."""
-    by_value = np.argsort(frequent)
-    ordered = frequent[by_value]
+    task.  ``frequent`` (broadcast): shingles by value, and their places in
+    the order of their counts."""
 
     def run(batches):
+        ordered, by_value = frequent.value
         hashes, seen = WordHashes(), set()
         for batch in batches:
             parts, salts, keys, sizes = [], [], [], []
@@ -194,24 +198,52 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, salt int, class long, size long")
 
 
-def _with_bitmaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("class").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-    return pairs
-
-
-def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of few rows while a table of bulky rows is written."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(_PAIRS_IN_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _beside(pairs: DataFrame, table: DataFrame, what: list[str]) -> DataFrame:
+    """The pairs (a, b) as runs of one key ``run``: first a row with the
+    columns ``what`` of b (partner null), then a row with those of a for
+    every a.  Partners of one b beyond _PARTNERS make several runs."""
+    runs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _PARTNERS).cast("int").alias("runs"))
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = [F.col(c) for c in what]
+    heads = (runs.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).join(table, F.col("b") == F.col("class"))
+             .select("b", "k", F.lit(None).cast("long").alias("a"), *cells))
+    rows = (pairs.join(runs, "b").withColumn("k", F.pmod(F.xxhash64("a"), F.col("runs")).cast("int")).join(table, F.col("a") == F.col("class"))
+            .select("b", "k", "a", *cells))
+    return (heads.union(rows).withColumn("run", F.xxhash64("b", "k"))
+            .repartition(parts, "run").sortWithinPartitions("run", F.col("a").isNotNull()))
+
+
+def _bounded(spark: SparkSession, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose bitmaps allow a link."""
 
     def run(batches):
+        b = size_b = bits_b = None
         for batch in batches:
-            ok = []
-            for sa, sb, ba, bb in zip(*(batch.column(c).to_pylist() for c in ("size_a", "size_b", "bits_a", "bits_b"))):
-                x = folded([ba, bb])
-                ok.append(may_link(int(most_overlap(x[:1], x[1:], np.array([sa]), np.array([sb]))[0, 0]), sa, sb))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            keep = []
+            for place, (x, y, size, bits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("b", "a", "size", "bits")))):
+                if y is None:
+                    b, size_b, bits_b = x, np.array([size]), bits
+                    continue
+                assert b == x
+                two = folded([bits, bits_b])
+                if may_link(int(most_overlap(two[:1], two[1:], np.array([size]), size_b)[0, 0]), size, int(size_b[0])):
+                    keep.append(place)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return _with_bitmaps(pairs, classes).mapInArrow(run, "a long, b long")
+    with _small_batches(spark):
+        return staged(spark, _beside(pairs, classes, ["size", "bits"]).mapInArrow(run, "a long, b long"), "pairs")
 
 
 def _semi(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -235,28 +267,24 @@ def _settle(spark: SparkSession, docs: DataFrame, pairs: DataFrame, firsts: Data
     texts = (_semi(docs, wanted, n).mapInArrow(canonical, "class long, words binary")
              .join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.first("words").alias("words")))
     texts = staged(spark, texts, "texts")
-    for side in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("class").alias(side), F.col("words").alias(f"words_{side}")), side)
 
     def run(batches):
-        hashes, known = WordHashes(), {}
-
-        def set_of(key, words):
-            if key not in known:
-                if len(known) > 256:
-                    known.clear()
-                known[key] = shingles(words.split(), hashes)
-            return known[key]
-
+        hashes, b, set_b = WordHashes(), None, None
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            linked = []
-            for ka, kb, wa, wb in zip(a, b, batch.column("words_a").to_pylist(), batch.column("words_b").to_pylist()):
-                x, y = set_of(ka, wa), set_of(kb, wb)
-                linked.append(may_link(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            found = ([], [], [])
+            for x, y, words in zip(batch.column("b").to_pylist(), batch.column("a").to_pylist(), batch.column("words")):
+                mine = shingles(words.as_py().split(), hashes)
+                if y is None:
+                    b, set_b = x, mine
+                    continue
+                assert b == x
+                for column, value in zip(found, (y, x, may_link(len(np.intersect1d(mine, set_b, assume_unique=True)), len(mine), len(set_b)))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.bool_())],
+                                             names=["a", "b", "linked"])
 
-    return staged(spark, pairs.mapInArrow(run, "a long, b long, linked boolean"), "settled")
+    with _small_batches(spark):
+        return staged(spark, _beside(pairs, texts, ["words"]).mapInArrow(run, "a long, b long, linked boolean"), "settled")
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -279,11 +307,10 @@ def _tiles(members: DataFrame) -> DataFrame:
             .drop("t", "blocks", "block", "band"))
 
 
-def _candidates(spark: SparkSession, shared: DataFrame, classes: DataFrame, found: DataFrame, tried: DataFrame, every: bool) -> DataFrame:
-    """(a, b, bound) of pairs in different components that bitmaps allow and
-    that have not been tried: for every class the most promising of a tile,
-    or with ``every`` all of them, in the tile of their first shared shingle."""
-    members = shared.join(found, F.col("class") == F.col("node"), "left").select("shingle", "class", "size", F.coalesce("component", "class").alias("component"))
+def _mixed(spark: SparkSession, shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(shingle, class, size, component) of the shingles of several
+    components; other shingles cannot have them later either."""
+    members = shared.select("shingle", "class", "size").join(found, F.col("class") == F.col("node"), "left").select("shingle", "class", "size", F.coalesce("component", "class").alias("component"))
     members = staged(spark, members, "members")
     # shingles of several components (two classes alone have met in round 1);
     # of those that the same classes share, as a common passage has many, the first
@@ -291,7 +318,13 @@ def _candidates(spark: SparkSession, shared: DataFrame, classes: DataFrame, foun
         F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("class")).alias("s"), F.bit_xor(F.xxhash64("class", F.lit("again"))).alias("t"))
         .where("x <> y and n > 2").groupBy("n", "s", "t").agg(F.min("shingle").alias("shingle")).select("shingle"))
-    members = staged(spark, members.join(staged(spark, mixed, "mixed"), "shingle", "left_semi"), "members")
+    return staged(spark, members.join(staged(spark, mixed, "mixed"), "shingle", "left_semi"), "members")
+
+
+def _candidates(spark: SparkSession, members: DataFrame, classes: DataFrame, tried: DataFrame, every: bool) -> DataFrame:
+    """(a, b, bound) of pairs in different components that bitmaps allow and
+    that have not been tried: for every class the most promising of a tile,
+    or with ``every`` all of them, in the tile of their first shared shingle."""
     tried = tried.groupBy("a").agg(F.collect_list("b").alias("tried")).withColumnRenamed("a", "class")
     more = classes.select("class", "bits").join(tried, "class", "left")
     if every:  # the shared shingles of a class: at most a prefix of its text
@@ -370,32 +403,40 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
     common = most_frequent(common, "n", FREQUENT).toArrow()  # at most FREQUENT rows
     key, n = common.column("key").to_numpy(), common.column("n").to_numpy()
     frequent = key[np.lexsort((key, n))].view(np.uint64)
+    by_value = np.argsort(frequent)
+    frequent = spark.sparkContext.broadcast((frequent[by_value], by_value.astype(np.int32)))
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = (_prefixes(docs, frequent).repartition(parts, "shingle", "salt")
                .groupBy("shingle", "salt", "class").agg(F.max("size").alias("size")))
-    held = entries.withColumn("n", F.expr("count(*) over (partition by shingle, salt)"))
-    shared = staged(spark, held.where("n > 1 or salt > 0").select("shingle", "class", "size"), "shared")
+    together = Window.partitionBy("shingle", "salt")
+    held = entries.withColumns({"n": F.count(F.lit(1)).over(together), "first": F.min(F.struct("class", "size")).over(together)})
+    shared = staged(spark, held.where("n > 1 or salt > 0").select(
+        "shingle", "class", "size", F.expr("salt > 0").alias("salted"), F.expr("n > 2 or salt > 0").alias("several"),
+        F.col("first.class").alias("b"), F.col("first.size").alias("size_b")), "shared")
 
     one = described.where("kind = 0 and size > 0")
     firsts = staged(spark, one.groupBy(F.col("key").alias("class")).agg(F.min("doc_id").alias("doc_id")), "firsts")
-    share = staged(spark, shared.groupBy("class").agg((F.count(F.lit(1)) / F.max("size")).alias("share")), "share")
     classes = staged(spark, one.where("bits is not null").select(F.col("key").alias("class"), "size", "bits")
-                     .join(share.select("class"), "class", "left_semi").groupBy("class").agg(F.first("size").alias("size"), F.first("bits").alias("bits")), "classes")
-
-    # round 1: every class against the class of most shared shingles, for every shingle
-    leaders = staged(spark, shared.join(share, "class").groupBy("shingle").agg(F.max(F.struct("share", "class", "size")).alias("l"))
-                     .select("shingle", F.col("l.class").alias("b"), F.col("l.size").alias("size_b")), "leaders")
-    pairs = (shared.join(leaders, "shingle").where(F.col("class") != F.col("b"))
+                     .join(shared.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.first("size").alias("size"), F.first("bits").alias("bits")), "classes")
+
+    # round 1: every class against the first class, for every shingle (a
+    # frequent one: of its salt, and those against the first of all)
+    firsts_of = shared.where("salted").groupBy("shingle", "b", "size_b").agg(F.lit(0).alias("x"))
+    least_of = firsts_of.groupBy("shingle").agg(F.min(F.struct("b", "size_b")).alias("l"))
+    pairs = shared.select("class", "size", "b", "size_b").union(firsts_of.join(least_of, "shingle").select("b", "size_b", "l.b", "l.size_b"))
+    pairs = (pairs.where(F.col("class") != F.col("b"))
              .where(F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * PERCENT).select(F.col("class").alias("a"), "b").distinct())
-    pairs = staged(spark, _bounded(staged(spark, pairs, "pairs"), classes), "pairs")
+    pairs = _bounded(spark, staged(spark, pairs, "pairs"), classes)
     settled = _settle(spark, docs, pairs, firsts)
     links, tried = settled.where("linked").select("a", "b"), settled.where("not linked").select("a", "b")
     found = components(spark, links)
 
+    members = shared.where("several")
     for turn in range(PROMISING_ROUNDS + 1):
         every = turn == PROMISING_ROUNDS
-        pairs = staged(spark, _candidates(spark, shared, classes, found, tried, every), "candidates")
+        members = _mixed(spark, members, found)
+        pairs = staged(spark, _candidates(spark, members, classes, tried, every), "candidates")
         if not every:  # one partner a class
             pairs = pairs.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         pairs = staged(spark, pairs.select("a", "b").distinct(), "pairs")
@@ -420,41 +461,41 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return rows.where("n_shingles > 0").join(named, "class").select(*columns).union(alone.select(*columns))
 
 
-def _with_class(docs: DataFrame) -> DataFrame:
-    place = docs.columns.index("text")
+def _with_class(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, row: struct with a text) plus the class of the text."""
 
     def run(batches):
         for batch in batches:
-            keys = [class_key(words_of(t.as_py())) for t in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "_class"])
+            keys = [class_key(words_of(t.as_py())) for t in batch.column(1).field("text")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["id", "row", "class"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_class", LongType())]))
+    return rows.select("id", "row").mapInArrow(run, StructType([rows.schema["id"], rows.schema["row"], StructField("class", LongType())]))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, less near duplicates: of each
-    component one row of the smallest (doc_id, class) stays, so that an id on
-    several texts keeps those of other components.  Texts without words and
-    rows without an id all stay."""
+    """The rows of ``docs``, all columns whatever their names, less near
+    duplicates: of each component one row of the smallest (doc_id, class)
+    stays, so that an id on several texts keeps those of other components.
+    Null and empty texts, those without words and rows without an id all
+    stay; repeated rows are near duplicates of each other, ties between them
+    are any; an empty table gives no rows."""
     rows = staged(spark, _near(spark, docs), "near")
     repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("most")).where("n > 1 and most > 0")
-    repeated = staged(spark, repeated.select("doc_id"), "repeated")
+    repeated = staged(spark, repeated.select(F.col("doc_id").alias("again")), "repeated")
     several = not repeated.isEmpty()
     leaving = rows.where("n_shingles > 0 and doc_id is not null and (doc_id <> component_id or class <> component_class)")
-    one = leaving.join(repeated, "doc_id", "left_anti") if several else leaving  # an id of one row names it
-    dropped = staged(spark, one.select("doc_id").distinct(), "dropped")
-    n = dropped.count()
-    gone, again = dropped.select(F.col("doc_id").alias("_gone")), repeated.select(F.col("doc_id").alias("_again"))
-    if n <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    if not several:
-        return kept
-    same_id = F.col("doc_id").cast("long") == F.col("_again")
-    pairs = leaving.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_gone"), F.col("class").alias("_gone_class")).distinct()
-    more = staged(spark, _with_class(docs.join(again, same_id, "left_semi"))
-                  .join(pairs, (F.col("doc_id").cast("long") == F.col("_gone")) & (F.col("_class") == F.col("_gone_class")), "left_anti"), "several")
-    wordless = F.col("_class") == class_key([])
-    first = more.where(~wordless).groupBy("doc_id", "_class").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text").alias("_row"))
-    return (kept.join(again, same_id, "left_anti").unionByName(more.where(wordless).drop("_class"))
-            .unionByName(first.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])))
+    one = leaving.join(repeated, F.col("doc_id") == F.col("again"), "left_anti") if several else leaving  # an id of one row names it
+    dropped = staged(spark, one.select(F.col("doc_id").alias("gone")).distinct(), "dropped")
+    gone = F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped
+    nested = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = nested.join(gone, F.col("id") == F.col("gone"), "left_anti")
+    if several:
+        pairs = (leaving.join(repeated, F.col("doc_id") == F.col("again"), "left_semi")
+                 .select(F.col("doc_id").alias("gone"), F.col("class").alias("gone_class")).distinct())
+        more = staged(spark, _with_class(nested.join(repeated, F.col("id") == F.col("again"), "left_semi"))
+                      .join(pairs, (F.col("id") == F.col("gone")) & (F.col("class") == F.col("gone_class")), "left_anti"), "several")
+        wordless = F.col("class") == class_key([])
+        first = more.where(~wordless).groupBy("id", "class").agg(F.min_by("row", F.col("row.text")).alias("row"))
+        kept = (kept.join(repeated, F.col("id") == F.col("again"), "left_anti").select("row")
+                .unionByName(more.where(wordless).select("row")).unionByName(first.select("row")))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
