@@ -38,10 +38,12 @@ SALTS = 64              # tasks over which a frequent shingle is spread
 BLOCK = 512
 PROMISING_ROUNDS = 1
 BROADCAST_IDS = 500_000  # ids (8 bytes each) sent to all tasks; more are joined by a shuffle
-_COUNTED_AT_ONCE = 1 << 21
+_COUNTED_AT_ONCE = 1 << 20
+_TEXTS_IN_BATCH = 2_000
+_ENTRIES_IN_BATCH = 1 << 17
 _PAIRS_IN_BATCH = 500    # rows with a bitmap or a whole text that an Arrow batch holds
 _PARTNERS = 256         # classes that one task run compares with one class
-_KNOWN_WORDS = 250_000
+_KNOWN_WORDS = 150_000
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
@@ -169,8 +171,14 @@ def _prefixes(docs: DataFrame, frequent) -> DataFrame:
     def run(batches):
         ordered, by_value = frequent.value
         hashes, seen = WordHashes(), set()
+        parts, salts, keys, sizes, entries = [], [], [], [], 0
+
+        def joined():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(keys)),
+                 pa.array(np.concatenate(sizes))], names=["shingle", "salt", "class", "size"])
+
         for batch in batches:
-            parts, salts, keys, sizes = [], [], [], []
             for text in batch.column(1):
                 words = words_of(text.as_py())
                 key = class_key(words)
@@ -190,20 +198,22 @@ def _prefixes(docs: DataFrame, frequent) -> DataFrame:
                 salts.append(np.repeat(np.array([0, 1 + key % SALTS], np.int32), [len(rare), len(often)]))
                 keys.append(np.full(length, key, np.int64))
                 sizes.append(np.full(length, n, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(keys)),
-                     pa.array(np.concatenate(sizes))], names=["shingle", "salt", "class", "size"])
+                entries += length
+                if entries >= _ENTRIES_IN_BATCH:
+                    yield joined()
+                    parts, salts, keys, sizes, entries = [], [], [], [], 0
+        if entries:
+            yield joined()
 
     return docs.mapInArrow(run, "shingle long, salt int, class long, size long")
 
 
 @contextlib.contextmanager
-def _small_batches(spark: SparkSession):
+def _small_batches(spark: SparkSession, rows: int = _PAIRS_IN_BATCH):
     """Arrow batches of few rows while a table of bulky rows is written."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(_PAIRS_IN_BATCH))
+    spark.conf.set(key, str(rows))
     try:
         yield
     finally:
@@ -398,7 +408,8 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """:func:`near_texts` with the class of every row, and that of the row
     that names its component: the smallest (doc_id, class)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = staged(spark, _describe(docs), "described")
+    with _small_batches(spark, _TEXTS_IN_BATCH):
+        described = staged(spark, _describe(docs), "described")
     common = staged(spark, described.where("kind = 1").groupBy("key").agg(F.sum("size").alias("n")), "common")
     common = most_frequent(common, "n", FREQUENT).toArrow()  # at most FREQUENT rows
     key, n = common.column("key").to_numpy(), common.column("n").to_numpy()
@@ -411,9 +422,10 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
                .groupBy("shingle", "salt", "class").agg(F.max("size").alias("size")))
     together = Window.partitionBy("shingle", "salt")
     held = entries.withColumns({"n": F.count(F.lit(1)).over(together), "first": F.min(F.struct("class", "size")).over(together)})
-    shared = staged(spark, held.where("n > 1 or salt > 0").select(
-        "shingle", "class", "size", F.expr("salt > 0").alias("salted"), F.expr("n > 2 or salt > 0").alias("several"),
-        F.col("first.class").alias("b"), F.col("first.size").alias("size_b")), "shared")
+    with _small_batches(spark, _TEXTS_IN_BATCH):
+        shared = staged(spark, held.where("n > 1 or salt > 0").select(
+            "shingle", "class", "size", F.expr("salt > 0").alias("salted"), F.expr("n > 2 or salt > 0").alias("several"),
+            F.col("first.class").alias("b"), F.col("first.size").alias("size_b")), "shared")
 
     one = described.where("kind = 0 and size > 0")
     firsts = staged(spark, one.groupBy(F.col("key").alias("class")).agg(F.min("doc_id").alias("doc_id")), "firsts")
