@@ -48,6 +48,13 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def slices(column, rows: int = 1_000):
+    """An Arrow column as lists of at most ``rows`` values (one if empty), so
+    that a task holds few texts at a time."""
+    for at in range(0, max(1, len(column)), rows):
+        yield column.slice(at, rows).to_pylist()
+
+
 def most_frequent(df: DataFrame, n: str, limit: int) -> DataFrame:
     """The rows of the largest ``n`` (positive), at most ``limit``: those in
     the upper eighths of an octave that together hold so many.  Sizes come

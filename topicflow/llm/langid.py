@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import slices, staged
 
 MAX_PER_LANGUAGE = 300  # labelled documents that a language is learned from, at most
 MAX_LANGUAGES = 64      # languages that are learned: those of the most documents
@@ -212,6 +212,12 @@ def predict_texts(model: Model | None, texts) -> tuple[list[str], np.ndarray]:
     return [model.languages[k] if ok else UNDETERMINED for k, ok in zip(lang, known)], np.where(known, score, 0.0)
 
 
+def predict_column(model: Model | None, texts) -> tuple[list[str], np.ndarray]:
+    """:func:`predict_texts` of an Arrow column, some texts at a time."""
+    parts = [predict_texts(model, some) for some in slices(texts)]
+    return [lang for langs, _ in parts for lang in langs], np.concatenate([scores for _, scores in parts])
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text.  ``und`` with score 0
     if the text is null, empty or has no letter, or nothing was learned;
@@ -219,7 +225,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict_texts(model, batch.column(1).to_pylist())
+            langs, scores = predict_column(model, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
@@ -235,7 +241,7 @@ def determined(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            langs, scores = predict_texts(model, batch.column(place).to_pylist())
+            langs, scores = predict_column(model, batch.column(place))
             yield batch.filter(pa.array([a != UNDETERMINED and s >= least for a, s in zip(langs, scores)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

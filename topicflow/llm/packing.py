@@ -24,7 +24,7 @@ from .common import numbered, staged
 
 CAPACITY = 2048
 END_ID = 0
-_CACHED_WORDS = 1_000_000  # bounds a task's memory, not its results
+_CACHED_WORDS = 300_000  # bounds a task's memory, not its results
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

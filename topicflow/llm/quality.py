@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import slices, staged
 
 MAX_SAMPLE = 8000    # labelled documents the classifier is fitted on, about
 WORD_IDS = 1 << 14   # words are hashed into so many vectors
@@ -25,7 +25,7 @@ DIM = 48
 SIGNS = 6            # non-zeros of an index vector
 WINDOW = 2
 HIDDEN = 32
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 200_000
 _VECTORS = WORD_IDS + SHAPES + MARKS
 
 
@@ -218,6 +218,11 @@ def text_scores(model: Model | None, tokens: Tokens, texts) -> np.ndarray:
     return probabilities(model, np.stack([pooled(tokens, model.vectors, t or "") for t in texts])) if texts else np.zeros(0)
 
 
+def column_scores(model: Model | None, tokens: Tokens, texts) -> np.ndarray:
+    """:func:`text_scores` of an Arrow column, some texts at a time."""
+    return np.concatenate([text_scores(model, tokens, some) for some in slices(texts)])
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score): the probability of quality 1 of every whole text.
     A null text scores as the empty one, equal texts alike, repeated rows
@@ -226,7 +231,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches):
         tokens = Tokens()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text_scores(model, tokens, batch.column(1).to_pylist()))],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(column_scores(model, tokens, batch.column(1)))],
                                              names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
@@ -242,6 +247,6 @@ def good(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
     def run(batches):
         tokens = Tokens()
         for batch in batches:
-            yield batch.filter(pa.array(text_scores(model, tokens, batch.column(place).to_pylist()) >= least))
+            yield batch.filter(pa.array(column_scores(model, tokens, batch.column(place)) >= least))
 
     return docs.mapInArrow(run, docs.schema)
