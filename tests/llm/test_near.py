@@ -172,3 +172,14 @@ def test_shared_values_equal_brute_force():
         left, right = ([r.choice(12, 4, replace=False) for _ in range(r.integers(1, 30))] for _ in range(2))
         i, j = nearvectors.sharing(np.array(left), np.array(right), 2)
         assert set(zip(i.tolist(), j.tolist())) == {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if len(set(x) & set(y)) >= 2}
+
+
+def test_word_hashes():
+    """One hash a word, equal for equal words only, wherever the text is cut."""
+    text = "A b\x0bC\x0cd e F\t\n" * 3000 + "x" * 9000 + " y\x1cz é" + "q" * 5000 + " Q" + "q" * 4999
+    words = jaccard.words_of(text)
+    got = jaccard.word_hashes(text).tolist()
+    assert len(got) == len(words) and len(set(got)) == len(set(words)) == len(set(zip(words, got)))
+    assert jaccard.word_hashes(b" ".join(words)).tolist() == got
+    assert not len(jaccard.word_hashes(None)) and not len(jaccard.word_hashes(" \n"))
+    assert len(jaccard.shingles(jaccard.word_hashes(text))) == len({tuple(words[i:i + 5]) for i in range(len(words) - 4)})

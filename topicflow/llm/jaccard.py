@@ -19,8 +19,6 @@ round, which links have not joined and bounds cannot rule out.
 
 from __future__ import annotations
 
-import contextlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import most_frequent, staged
+from .common import most_frequent, small_batches, staged
 from .graph import components, runs_of
 
 WORDS = 5
@@ -43,39 +41,81 @@ _TEXTS_IN_BATCH = 2_000
 _ENTRIES_IN_BATCH = 1 << 17
 _PAIRS_IN_BATCH = 500    # rows with a bitmap or a whole text that an Arrow batch holds
 _PARTNERS = 256         # classes that one task run compares with one class
-_KNOWN_WORDS = 150_000
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+_MIX = [np.uint64(x) for x in _MULTIPLIERS]
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+# a value per byte, A-Z as a-z, 0 for blanks
+_VALUES = np.array([0 if _BLANK[b] else xxhash.xxh64_intdigest(bytes([b]).lower()) | 1 for b in range(256)], np.uint64)
+_PIECE = 1 << 12        # bytes hashed at a time, unless a word is longer; its powers go along with every task
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n - 1 of an odd number and those of its inverse, modulo 2 ** 64."""
+    inverse = pow(_MULTIPLIERS[0], -1, 1 << 64)
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, x, np.uint64)]) for x in (_MULTIPLIERS[0], inverse))
+
+
+_POWERS = _powers(_PIECE)
+
+
+def _hashed(raw: np.ndarray) -> np.ndarray:
+    """The hashes of the words of ``raw``: polynomials of their bytes, as
+    differences of one running sum, mixed."""
+    blank = np.ones(len(raw) + 2, bool)
+    blank[1:-1] = _BLANK[raw]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _POWERS if len(raw) <= _PIECE else _powers(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * up[:len(raw)], out=total[1:])
+    h = (total[ends] - total[starts]) * down[starts]
+    h ^= h >> np.uint64(32)
+    h *= _MIX[4]
+    h ^= h >> np.uint64(29)
+    h *= _MIX[1]
+    return h ^ (h >> np.uint64(32))
+
+
+def word_hashes(text: str | bytes | None) -> np.ndarray:
+    """64-bit hashes of the lower-cased words, in order."""
+    raw = np.frombuffer((text or "").encode() if not isinstance(text, bytes) else text, np.uint8)
+    parts, at = [], 0
+    while at < len(raw):
+        end = at + _PIECE
+        if end < len(raw):  # a piece ends at a blank
+            blanks = np.flatnonzero(_BLANK[raw[at:end]])
+            if len(blanks):
+                end = at + int(blanks[-1]) + 1
+            else:
+                later = _BLANK[raw[end:]]
+                end = end + int(later.argmax()) + 1 if later.any() else len(raw)
+        parts.append(_hashed(raw[at:end]))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
+def shingles(words: np.ndarray) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the 5-word shingles (of the whole
-    sequence, if shorter; none without words)."""
-    if not words:
+    sequence, if shorter; none without words), from :func:`word_hashes`."""
+    if not len(words):
         return np.zeros(0, np.uint64)
     if len(words) < WORDS:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    if len(hashes) > _KNOWN_WORDS:
-        hashes.clear()
-    a = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    m = [np.uint64(x) for x in _MULTIPLIERS]
-    n = len(a) - WORDS + 1
-    h = a[:n] * m[0]
+        return np.array([xxhash.xxh64_intdigest(words.tobytes(), seed=len(words))], np.uint64)
+    n = len(words) - WORDS + 1
+    h = words[:n] * _MIX[0]
     for k in range(1, WORDS):
-        h = (h ^ (h >> np.uint64(29))) * m[4] + a[k:n + k] * m[k - 1]
+        h = (h ^ (h >> np.uint64(29))) * _MIX[4] + words[k:n + k] * _MIX[k - 1]
     h ^= h >> np.uint64(32)
-    h *= m[0]
+    h *= _MIX[0]
     h ^= h >> np.uint64(29)
-    return np.unique(h)
+    h.sort()
+    return h[np.r_[True, h[1:] != h[:-1]]]  # np.unique takes several times as long
 
 
 def bitmap(shingle_set: np.ndarray) -> bytes:
@@ -119,8 +159,8 @@ def most_overlap(bits_a, bits_b, size_a, size_b) -> np.ndarray:
     return out
 
 
-def class_key(words: list[bytes]) -> int:
-    h = xxhash.xxh3_64_intdigest(b" ".join(words))
+def class_key(words: np.ndarray) -> int:
+    h = xxhash.xxh3_64_intdigest(words.tobytes())
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -129,7 +169,7 @@ def _describe(docs: DataFrame) -> DataFrame:
     once a task; kind 1: shingles that some documents of a task share."""
 
     def run(batches):
-        hashes, seen, held, size = WordHashes(), set(), [], 0
+        seen, held, size = set(), [], 0
 
         def shared():
             values, n = np.unique(np.concatenate(held), return_counts=True)
@@ -141,9 +181,9 @@ def _describe(docs: DataFrame) -> DataFrame:
         for batch in batches:
             keys, sizes, bits = [], [], []
             for text in batch.column(1):
-                words = words_of(text.as_py())
+                words = word_hashes(text.as_py())
                 keys.append(class_key(words))
-                s = shingles(words, hashes)
+                s = shingles(words)
                 sizes.append(len(s))
                 first = len(s) and keys[-1] not in seen
                 bits.append(bitmap(s) if first else None)
@@ -170,7 +210,7 @@ def _prefixes(docs: DataFrame, frequent) -> DataFrame:
 
     def run(batches):
         ordered, by_value = frequent.value
-        hashes, seen = WordHashes(), set()
+        seen = set()
         parts, salts, keys, sizes, entries = [], [], [], [], 0
 
         def joined():
@@ -180,12 +220,12 @@ def _prefixes(docs: DataFrame, frequent) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(1):
-                words = words_of(text.as_py())
+                words = word_hashes(text.as_py())
                 key = class_key(words)
-                if not words or key in seen:
+                if not len(words) or key in seen:
                     continue
                 seen.add(key)
-                s = shingles(words, hashes)
+                s = shingles(words)
                 n = len(s)
                 length = n - (PERCENT * n + 99) // 100 + 1
                 place = np.full(n, -1)
@@ -208,18 +248,6 @@ def _prefixes(docs: DataFrame, frequent) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, salt int, class long, size long")
 
 
-@contextlib.contextmanager
-def _small_batches(spark: SparkSession, rows: int = _PAIRS_IN_BATCH):
-    """Arrow batches of few rows while a table of bulky rows is written."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def _beside(pairs: DataFrame, table: DataFrame, what: list[str]) -> DataFrame:
     """The pairs (a, b) as runs of one key ``run``: first a row with the
     columns ``what`` of b (partner null), then a row with those of a for
@@ -252,7 +280,7 @@ def _bounded(spark: SparkSession, pairs: DataFrame, classes: DataFrame) -> DataF
                     keep.append(place)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    with _small_batches(spark):
+    with small_batches(spark, _PAIRS_IN_BATCH):
         return staged(spark, _beside(pairs, classes, ["size", "bits"]).mapInArrow(run, "a long, b long"), "pairs")
 
 
@@ -270,8 +298,8 @@ def _settle(spark: SparkSession, docs: DataFrame, pairs: DataFrame, firsts: Data
 
     def canonical(batches):
         for batch in batches:
-            words = [words_of(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array([class_key(w) for w in words], pa.int64()), pa.array([b" ".join(w) for w in words], pa.binary())],
+            words = [b" ".join(words_of(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array([class_key(word_hashes(w)) for w in words], pa.int64()), pa.array(words, pa.binary())],
                                              names=["class", "words"])
 
     texts = (_semi(docs, wanted, n).mapInArrow(canonical, "class long, words binary")
@@ -279,11 +307,11 @@ def _settle(spark: SparkSession, docs: DataFrame, pairs: DataFrame, firsts: Data
     texts = staged(spark, texts, "texts")
 
     def run(batches):
-        hashes, b, set_b = WordHashes(), None, None
+        b = set_b = None
         for batch in batches:
             found = ([], [], [])
             for x, y, words in zip(batch.column("b").to_pylist(), batch.column("a").to_pylist(), batch.column("words")):
-                mine = shingles(words.as_py().split(), hashes)
+                mine = shingles(word_hashes(words.as_py()))
                 if y is None:
                     b, set_b = x, mine
                     continue
@@ -293,7 +321,7 @@ def _settle(spark: SparkSession, docs: DataFrame, pairs: DataFrame, firsts: Data
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.bool_())],
                                              names=["a", "b", "linked"])
 
-    with _small_batches(spark):
+    with small_batches(spark, _PAIRS_IN_BATCH):
         return staged(spark, _beside(pairs, texts, ["words"]).mapInArrow(run, "a long, b long, linked boolean"), "settled")
 
 
@@ -408,7 +436,7 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """:func:`near_texts` with the class of every row, and that of the row
     that names its component: the smallest (doc_id, class)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    with _small_batches(spark, _TEXTS_IN_BATCH):
+    with small_batches(spark, _TEXTS_IN_BATCH):
         described = staged(spark, _describe(docs), "described")
     common = staged(spark, described.where("kind = 1").groupBy("key").agg(F.sum("size").alias("n")), "common")
     common = most_frequent(common, "n", FREQUENT).toArrow()  # at most FREQUENT rows
@@ -422,7 +450,7 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
                .groupBy("shingle", "salt", "class").agg(F.max("size").alias("size")))
     together = Window.partitionBy("shingle", "salt")
     held = entries.withColumns({"n": F.count(F.lit(1)).over(together), "first": F.min(F.struct("class", "size")).over(together)})
-    with _small_batches(spark, _TEXTS_IN_BATCH):
+    with small_batches(spark, _TEXTS_IN_BATCH):
         shared = staged(spark, held.where("n > 1 or salt > 0").select(
             "shingle", "class", "size", F.expr("salt > 0").alias("salted"), F.expr("n > 2 or salt > 0").alias("several"),
             F.col("first.class").alias("b"), F.col("first.size").alias("size_b")), "shared")
@@ -478,7 +506,7 @@ def _with_class(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keys = [class_key(words_of(t.as_py())) for t in batch.column(1).field("text")]
+            keys = [class_key(word_hashes(t.as_py())) for t in batch.column(1).field("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=["id", "row", "class"])
 
     return rows.select("id", "row").mapInArrow(run, StructType([rows.schema["id"], rows.schema["row"], StructField("class", LongType())]))
@@ -506,7 +534,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
                  .select(F.col("doc_id").alias("gone"), F.col("class").alias("gone_class")).distinct())
         more = staged(spark, _with_class(nested.join(repeated, F.col("id") == F.col("again"), "left_semi"))
                       .join(pairs, (F.col("id") == F.col("gone")) & (F.col("class") == F.col("gone_class")), "left_anti"), "several")
-        wordless = F.col("class") == class_key([])
+        wordless = F.col("class") == class_key(word_hashes(None))
         first = more.where(~wordless).groupBy("id", "class").agg(F.min_by("row", F.col("row.text")).alias("row"))
         kept = (kept.join(repeated, F.col("id") == F.col("again"), "left_anti").select("row")
                 .unionByName(more.where(wordless).select("row")).unionByName(first.select("row")))
