@@ -1,8 +1,10 @@
 """Each pipeline stage against a plain version of it on a small table."""
 
+import tracemalloc
 from collections import Counter
 
 import corpus_pipeline as P
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -64,3 +66,24 @@ def test_stages_and_run(spark):
 
     final = P.run(spark, SF)
     assert final.columns == after.columns and final.count() == after.count()
+
+
+def test_stages_of_whole_texts_are_stored(spark):
+    """Written by the stage itself, in small Arrow batches, so that no later write holds 10,000 texts at once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for stage in P.STORED:
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and "Scan parquet" in plan
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == size
+
+
+def test_margins_hold_little():
+    r = np.random.default_rng(3)
+    n = 60  # machines
+    model = langid.Model([], [], [], r.normal(size=(1 << langid.BITS, n)).astype(np.float32), np.zeros(n), np.ones(n))
+    tracemalloc.start()
+    langid.margins(model, ["some words of a text " * 50] * 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6

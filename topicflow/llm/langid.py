@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import TEXTS_IN_BATCH, slices, small_batches, staged
 
 MAX_PER_LANGUAGE = 300  # labelled documents that a language is learned from, at most
 MAX_LANGUAGES = 64      # languages that are learned: those of the most documents
 BITS = 12               # trigrams are hashed into 2 ** BITS features
 UNDETERMINED = "und"
-_BLOCK = 1 << 20        # bytes of text scored at a time
+_BLOCK = 1 << 16        # bytes of text scored at a time: each holds a weight for every machine meanwhile
 
 # Closely related languages.
 FAMILIES = {
@@ -144,7 +144,8 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, max_per_language: i
                 [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.string()),
                  pa.array([k[2].tobytes() for k in kept], pa.binary())], names=["doc_id", "lang", "x"])
 
-    t = staged(spark, sample.mapInArrow(run, "doc_id long, lang string, x binary"), "language-sample").toArrow()
+    with small_batches(spark, TEXTS_IN_BATCH):
+        t = staged(spark, sample.mapInArrow(run, "doc_id long, lang string, x binary"), "language-sample").toArrow()
     doc_id, lang, x = (t.column(c) for c in ("doc_id", "lang", "x"))
     order = sorted(range(t.num_rows), key=lambda k: (crc32(str(doc_id[k]).encode()), lang[k].as_py(), x[k].as_py()))
     if not order:

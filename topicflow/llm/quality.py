@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import TEXTS_IN_BATCH, slices, small_batches, staged
 
 MAX_SAMPLE = 8000    # labelled documents the classifier is fitted on, about
 WORD_IDS = 1 << 14   # words are hashed into so many vectors
@@ -194,8 +194,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column,
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     total = np.zeros((_VECTORS, DIM), np.int64)
-    for row in sample.select("text").mapInArrow(sums, "sums binary").collect():  # 4 rows of fixed size
-        total += np.frombuffer(row[0], np.int32).reshape(_VECTORS, DIM)
+    with small_batches(spark, TEXTS_IN_BATCH):
+        for row in sample.select("text").mapInArrow(sums, "sums binary").collect():  # 4 rows of fixed size
+            total += np.frombuffer(row[0], np.int32).reshape(_VECTORS, DIM)
     vectors = word_vectors(total, index)
 
     def features(batches):
@@ -204,7 +205,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column,
             x = [pooled(tokens, vectors, t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.binary())], names=["doc_id", "y", "x"])
 
-    rows = sample.select("doc_id", "text", "y").mapInArrow(features, "doc_id long, y int, x binary").collect()
+    with small_batches(spark, TEXTS_IN_BATCH):
+        rows = sample.select("doc_id", "text", "y").mapInArrow(features, "doc_id long, y int, x binary").collect()
     rows.sort(key=lambda r: (crc32(str(r.doc_id).encode()), r.doc_id, r.x))
     y = np.array([r.y for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
