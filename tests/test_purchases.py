@@ -2,7 +2,7 @@
 
 from pyspark.sql import Row, functions as F
 
-from topicflow.operators import purchases, tables
+from topicflow.operators import purchases, sweep, tables
 
 
 def _rows(df, *cols):
@@ -183,3 +183,24 @@ def test_unknown_amounts_rank_last(spark):
     got = purchases.top_items_from_panes(panes, 60000, 5000).where("window_start = 800 * 5000").orderBy("rank").collect()
     assert [(r.item_name, r["count"], r.price, r.amount) for r in got[:2]] == [("b", 2, 2.0, 5.0), ("d", 3, 1.0, got[1].amount)]
     assert [(r.item_name, r.amount) for r in got[2:]] == [("a", None), ("c", None)] and abs(got[1].amount) < 1e-16
+
+
+def test_window_takes_its_best_anew_only_when_they_change():
+    w = sweep._Window(2)
+    for name, amount in (("a", 5.0), ("b", 4.0), ("c", 3.0)):
+        w.enter(name, 1, amount, 1.0)
+    best = w.top()
+    assert best == [("a", 1, 1.0, 5.0), ("b", 1, 1.0, 4.0)]
+    w.enter("d", 1, 2.0, 1.0)           # below the best
+    w.enter("c", 1, None, 9.0)          # a second pane without an amount
+    w.leave("d")
+    assert w.top() is best
+    w.leave("c")                        # the pane without an amount is left
+    w.leave("a")
+    assert w.top() == [("b", 1, 1.0, 4.0), ("c", 1, 9.0, None)]
+
+
+def test_report_lines_need_no_lambda_per_window(spark, fx_orders, fx_users, fx_items):
+    report = purchases.top_items_report(purchases.adult_purchases(fx_orders, fx_users, fx_items))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "lambda" not in plan.split("explode")[0]

@@ -232,17 +232,18 @@ def top_items_report(purchases: DataFrame, size_ms: int = TOP_ITEMS_WINDOW_MS,
 
     Built per ranked segment: the part of each line after ``start,end`` is
     fixed within a segment, and the window bounds are put in front while
-    expanding the segment to its window starts."""
+    expanding the segment to its window starts (as part of the delimiter of
+    one ``array_join``; a lambda over the lines is interpreted line by line)."""
     panes = staged(pane_totals(purchases, advance_ms), "panes")
     ranked = _rounded(ranked_segments(panes, size_ms, advance_ms, k), money_digits)
-    lines_of = F.transform("top", lambda x, i: F.struct((i + 1).alias("rank"), F.concat_ws(
+    lines_of = F.transform("top", lambda x, i: F.concat_ws(
         ",", java_str(F.col("item_type")), java_str(x["item_name"]), x["count"].cast("string"), x["price"].cast("string"),
-        x["amount"].cast("string"), (i + 1).cast("string")).alias("t")))
-    per_seg = ranked.select("item_type", "seg", "seg_end", lines_of.alias("ls"))
+        x["amount"].cast("string"), (i + 1).cast("string")))
+    per_seg = ranked.select("item_type", "seg", "seg_end", F.size("top").alias("n"), lines_of.alias("ls"))
     out = _expand_starts(per_seg)
     ws = (F.col("start") * advance_ms)
     prefix = F.concat(ws.cast("string"), F.lit(","), (ws + size_ms).cast("string"), F.lit(","))
-    lines = F.array_join(F.transform("ls", lambda x: F.concat(prefix, x["t"])), "\n")
+    lines = F.when(F.col("n") > 0, F.concat(prefix, F.call_function("array_join", F.col("ls"), F.concat(F.lit("\n"), prefix)))).otherwise(F.lit(""))
     return out.select(ws.alias("window_start"), (ws + size_ms).alias("window_end"), "item_type",
-                      F.size("ls").alias("n_items"),
-                      F.concat(lines, F.when(F.size("ls") < k, F.lit("\n")).otherwise(F.lit(""))).alias("report"))
+                      F.col("n").alias("n_items"),
+                      F.concat(lines, F.when(F.col("n") < k, F.lit("\n")).otherwise(F.lit(""))).alias("report"))
