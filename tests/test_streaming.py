@@ -133,3 +133,9 @@ def test_delayed_delivery_edges(spark, tmp_path):
     every = d.result().collect()
     assert len(every) == 6 and {r.key for r in every if r.offset == 0} == {None}
     assert {r.delay_seconds for r in every if r.offset == 3} == {40 * 86400, 2**63 - 1}
+
+
+def test_orders_are_joined_once_for_a_stream(spark):
+    """Bounds and chunks of a staged topic read stored orders, not the join of the driver tables."""
+    plan = jobs._orders(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Scan parquet" in plan

@@ -37,7 +37,7 @@ def in_ranges(df: DataFrame, order_cols: Sequence) -> DataFrame:
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = staged(df, "unranged")
     path = scratch_path(spark, "ranges")
-    df.repartitionByRange(ranges, *order_cols).withColumn(_B, F.spark_partition_id()).write.parquet(path)
+    df.repartitionByRange(ranges, *order_cols).withColumn(_B, F.spark_partition_id()).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(T.StructType([*df.schema.fields, T.StructField(_B, T.IntegerType())])).parquet(path)
 
 

@@ -122,7 +122,7 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
             raise q.exception()
 
     for i in range(n_chunks):
-        source.where(_chunk_filter(order_col, lo, hi, i, n_chunks)).write.mode("append").parquet(inp)
+        source.where(_chunk_filter(order_col, lo, hi, i, n_chunks)).write.mode("append").option("compression", "zstd").parquet(inp)
         with state_partitions(spark):
             run_once()
     if close_after is not None and hi is not None:
