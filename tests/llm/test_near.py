@@ -183,3 +183,37 @@ def test_word_hashes():
     assert jaccard.word_hashes(b" ".join(words)).tolist() == got
     assert not len(jaccard.word_hashes(None)) and not len(jaccard.word_hashes(" \n"))
     assert len(jaccard.shingles(jaccard.word_hashes(text))) == len({tuple(words[i:i + 5]) for i in range(len(words) - 4)})
+
+
+def test_last_round_takes_only_classes_with_a_partner(spark, monkeypatch):
+    """Texts that share a passage and no more are ruled out once; texts go to the pairs without being stored in between."""
+    r, rows = random.Random(4), []
+    for k in range(24):  # the longer text shares the rare shingles of the other two, which then need not meet in round 1
+        base = [f"{k}x{r.random()}" for _ in range(100)]
+        rows += [base, [*base[:-1], "other"], [*base, *(f"{k}y{r.random()}" for _ in range(100))]]
+    passage = [f"p{k}" for k in range(12)]
+    rows += [[*passage, *(f"{k}z{r.random()}" for _ in range(20))] for k in range(30)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    tiles, names, plain = [], [], jaccard.staged
+
+    def staged(spark, df, name, *folders):
+        out = plain(spark, df, name, *folders)
+        names.append(name)
+        if name == "tiles":
+            tiles.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", staged)
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)  # so that the passage is in their prefixes
+    assert _got(spark, spark.createDataFrame(rows, "doc_id long, text string")) == _brute(rows)
+    assert len(tiles) == 2 and tiles[0] >= 30 and tiles[1] == 0
+    assert "settled" in names and "texts" not in names
+
+
+def test_staged_tables_are_packed(spark):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from topicflow.llm.common import staged
+    part = next(f for f in staged(spark, spark.range(99).withColumn("text", F.repeat(F.lit("some text "), 9)), "packed").inputFiles())
+    assert pq.read_metadata(part.removeprefix("file://")).row_group(0).column(1).compression == "ZSTD"

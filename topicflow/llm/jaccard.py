@@ -12,7 +12,8 @@ the exact sorted arrays.
 Only links between different components matter, so the work goes in rounds:
 (1) every class against the first class of each shingle, (2) every class
 against its most promising partner in another component, (3) all pairs still
-in different components that pass the bound, each found in one tile only.
+in different components that pass the bound, each found in one tile only, of
+the classes that had a partner there in round 2.
 No round writes more than a row per shared shingle, but for pairs of the last
 round, which links have not joined and bounds cannot rule out.
 """
@@ -254,12 +255,9 @@ def _beside(pairs: DataFrame, table: DataFrame, what: list[str]) -> DataFrame:
     every a.  Partners of one b beyond _PARTNERS make several runs."""
     runs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _PARTNERS).cast("int").alias("runs"))
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = [F.col(c) for c in what]
-    heads = (runs.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("runs") - 1))).join(table, F.col("b") == F.col("class"))
-             .select("b", "k", F.lit(None).cast("long").alias("a"), *cells))
-    rows = (pairs.join(runs, "b").withColumn("k", F.pmod(F.xxhash64("a"), F.col("runs")).cast("int")).join(table, F.col("a") == F.col("class"))
-            .select("b", "k", "a", *cells))
-    return (heads.union(rows).withColumn("run", F.xxhash64("b", "k"))
+    heads = runs.select(F.col("b").alias("class"), "b", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("k"), F.lit(None).cast("long").alias("a"))
+    rows = pairs.join(runs, "b").select(F.col("a").alias("class"), "b", F.pmod(F.xxhash64("a"), F.col("runs")).cast("int").alias("k"), "a")
+    return (heads.union(rows).join(table, "class").select("b", "k", "a", *what).withColumn("run", F.xxhash64("b", "k"))
             .repartition(parts, "run").sortWithinPartitions("run", F.col("a").isNotNull()))
 
 
@@ -302,9 +300,9 @@ def _settle(spark: SparkSession, docs: DataFrame, pairs: DataFrame, firsts: Data
             yield pa.RecordBatch.from_arrays([pa.array([class_key(word_hashes(w)) for w in words], pa.int64()), pa.array(words, pa.binary())],
                                              names=["class", "words"])
 
+    # not staged: their one shuffle serves the join with the pairs too
     texts = (_semi(docs, wanted, n).mapInArrow(canonical, "class long, words binary")
              .join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.first("words").alias("words")))
-    texts = staged(spark, texts, "texts")
 
     def run(batches):
         b = set_b = None
@@ -345,26 +343,33 @@ def _tiles(members: DataFrame) -> DataFrame:
             .drop("t", "blocks", "block", "band"))
 
 
-def _mixed(spark: SparkSession, shared: DataFrame, found: DataFrame) -> DataFrame:
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids`` (staged), sent to all tasks if they are at most BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _mixed(spark: SparkSession, shared: DataFrame, found: DataFrame, least: int) -> DataFrame:
     """(shingle, class, size, component) of the shingles of several
-    components; other shingles cannot have them later either."""
+    components and ``least`` classes; other shingles cannot have them later
+    either."""
     members = shared.select("shingle", "class", "size").join(found, F.col("class") == F.col("node"), "left").select("shingle", "class", "size", F.coalesce("component", "class").alias("component"))
     members = staged(spark, members, "members")
-    # shingles of several components (two classes alone have met in round 1);
     # of those that the same classes share, as a common passage has many, the first
     mixed = (members.groupBy("shingle").agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("class")).alias("s"), F.bit_xor(F.xxhash64("class", F.lit("again"))).alias("t"))
-        .where("x <> y and n > 2").groupBy("n", "s", "t").agg(F.min("shingle").alias("shingle")).select("shingle"))
-    return staged(spark, members.join(staged(spark, mixed, "mixed"), "shingle", "left_semi"), "members")
+        .where(f"x <> y and n >= {least}").groupBy("n", "s", "t").agg(F.min("shingle").alias("shingle")).select("shingle"))
+    return staged(spark, members.join(_few(staged(spark, mixed, "mixed")), "shingle", "left_semi"), "members")
 
 
 def _candidates(spark: SparkSession, members: DataFrame, classes: DataFrame, tried: DataFrame, every: bool) -> DataFrame:
     """(a, b, bound) of pairs in different components that bitmaps allow and
-    that have not been tried: for every class the most promising of a tile,
-    or with ``every`` all of them, in the tile of their first shared shingle."""
+    that have not been tried, with the tile's shingle and the size of a: for
+    every class that has any the most promising of a tile, or with ``every``
+    all of them, in the tile of their first shared shingle."""
     tried = tried.groupBy("a").agg(F.collect_list("b").alias("tried")).withColumnRenamed("a", "class")
-    more = classes.select("class", "bits").join(tried, "class", "left")
+    wanted = staged(spark, members.select("class").distinct(), "wanted")
+    more = classes.select("class", "bits").join(_few(wanted), "class", "left_semi").join(tried, "class", "left")
     if every:  # the shared shingles of a class: at most a prefix of its text
         more = more.join(members.groupBy("class").agg(F.sort_array(F.collect_list("shingle")).alias("shingles")), "class")
     # bitmaps go only to tiles with something to compare
@@ -372,7 +377,7 @@ def _candidates(spark: SparkSession, members: DataFrame, classes: DataFrame, tri
     useful = (placed.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("square").alias("square"),
                                          F.min("right").alias("l"), F.max("right").alias("r"))
               .where("x <> y and (square or (not l and r))").select("tile"))
-    placed = placed.join(staged(spark, useful, "useful"), "tile", "left_semi")
+    placed = placed.join(_few(staged(spark, useful, "useful")), "tile", "left_semi")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tiles = placed.join(more, "class").repartition(parts, "tile").sortWithinPartitions("tile")
 
@@ -401,9 +406,9 @@ def _candidates(spark: SparkSession, members: DataFrame, classes: DataFrame, tri
             a, b, likely = left_rows[i], right_rows[j], bound[i, j] / (size[left_rows][i] + size[right_rows][j])
             some = np.array([key[y] not in done[x] and key[x] not in done[y] for x, y in zip(a.tolist(), b.tolist())], bool)
             a, b, likely = a[some], b[some], likely[some]
+            shingle = t.column("shingle")[0].as_py()
             if every:
                 own = t.column("shingles").to_pylist()
-                shingle = t.column("shingle")[0].as_py()
                 first = np.array([np.intersect1d(own[x], own[y], assume_unique=True)[0] == shingle for x, y in zip(a.tolist(), b.tolist())], bool)
                 a, b, likely = a[first], b[first], likely[first]
             else:  # the best partner of each class
@@ -414,9 +419,10 @@ def _candidates(spark: SparkSession, members: DataFrame, classes: DataFrame, tri
                 lead[1:] = who[1:] != who[:-1]
                 a, b, likely = who[lead], partner[lead], value[lead]
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(key[b]), pa.array(likely)], names=["a", "b", "bound"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(key[b]), pa.array(likely), pa.array(np.full(len(a), shingle)), pa.array(size[a])],
+                                                 names=["a", "b", "bound", "shingle", "size"])
 
-    return tiles.mapInArrow(run, "a long, b long, bound double")
+    return tiles.mapInArrow(run, "a long, b long, bound double, shingle long, size long")
 
 
 def near_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -475,9 +481,10 @@ def _near(spark: SparkSession, docs: DataFrame) -> DataFrame:
     members = shared.where("several")
     for turn in range(PROMISING_ROUNDS + 1):
         every = turn == PROMISING_ROUNDS
-        members = _mixed(spark, members, found)
+        members = _mixed(spark, members, found, 2 if turn else 3)  # two classes alone have met in round 1
         pairs = staged(spark, _candidates(spark, members, classes, tried, every), "candidates")
-        if not every:  # one partner a class
+        if not every:  # one partner a class; a class that has none in a tile has none there later, when components are fewer
+            members = pairs.select("shingle", F.col("a").alias("class"), "size").distinct()
             pairs = pairs.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         pairs = staged(spark, pairs.select("a", "b").distinct(), "pairs")
         if pairs.isEmpty():
