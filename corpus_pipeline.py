@@ -25,7 +25,7 @@ LEAST_LANGUAGE = 0.2
 
 def kept(spark: SparkSession, docs: DataFrame) -> DataFrame:
     with small_batches(spark, TEXTS_IN_BATCH):
-        return staged(spark, docs, "stage")
+        return staged(spark, docs, "stage", compression="zstd")  # whole texts
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,5 +84,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES) and stage not in STORED:
-            docs = staged(spark, docs, "stage")
+            docs = staged(spark, docs, "stage", compression="zstd")
     return docs

@@ -6,6 +6,7 @@ from collections import Counter
 import corpus_pipeline as P
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from topicflow.llm import langid, mixing, packing, quality
@@ -78,6 +79,12 @@ def test_stages_of_whole_texts_are_stored(spark):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == size
 
 
+def test_stored_texts_are_packed(spark):
+    docs = spark.createDataFrame([(k, f"some text {k}") for k in range(99)], "doc_id long, text string")
+    part = P.kept(spark, docs).inputFiles()[0].removeprefix("file://")
+    assert pq.read_metadata(part).row_group(0).column(1).compression == "ZSTD"
+
+
 def test_margins_hold_little():
     r = np.random.default_rng(3)
     n = 60  # machines
