@@ -140,3 +140,53 @@ def test_orders_are_joined_once_for_a_stream(spark):
     """Bounds and chunks of a staged topic read stored orders, not the join of the driver tables."""
     plan = jobs._orders(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Scan parquet" in plan
+
+
+def test_top_items_hold_no_state_in_the_executors(spark, tmp_path):
+    """The panes that a stream of orders has open lie in a table; in a state store half
+    of all panes were in the executors' memory at once."""
+    import os
+    from topicflow.session import checkpoint_root
+    root = checkpoint_root(spark)
+    before = set(os.listdir(root.removeprefix("file:")))
+    jobs.stream_top_items(spark, SMALL)
+    new = [f for f in set(os.listdir(root.removeprefix("file:"))) - before if f.startswith("stream-top-items")]
+    assert len(new) == 1 and "state" not in os.listdir(f"{root.removeprefix('file:')}/{new[0]}/checkpoint")
+
+
+def test_open_panes_over_many_batches(spark, tmp_path):
+    """Panes are added up over batches, closed once by the watermark and not changed by
+    late rows, by a batch that runs again or by rows without a time."""
+    import random
+    from topicflow.schemas import TOP_ITEMS_ADVANCE_MS as ADV
+    r = random.Random(4)
+    retention, t0 = 60_000, 1_700_000_000_000 // ADV * ADV
+    closed = jobs.ClosedPanes(spark, str(tmp_path), 720)
+    panes = jobs.OpenPanes(closed, lambda s: s, ADV, retention_ms=retention)
+    schema = ("transaction_date long, order_key long, line_number int, item_name string, quantity int, "
+              "item_price double, item_type string")
+    want, watermark, late, crossing = {}, None, 0, set()
+    for b in range(6):
+        rows = [(t0 + b * 40_000 + r.randint(-150_000, 40_000), b * 1000 + i, 1, f"i{r.randint(0, 2)}", r.randint(1, 5),
+                 float(r.randint(1, 9)), r.choice("xy")) for i in range(40)] if b != 3 else []
+        df = spark.createDataFrame([*rows, (None, 1, 1, "i0", 1, 1.0, "x")], schema).withColumn("ts", F.timestamp_millis("transaction_date"))
+        panes.add(df, b)
+        if b in (2, 4):
+            panes.add(df, b)  # again
+        for row in rows:
+            key = (row[6], row[3], row[0] // ADV)
+            if watermark is not None and (key[2] + 1) * ADV <= watermark:
+                late += 1
+                continue
+            if any(x[1] // 1000 < b for x in want.setdefault(key, [])):
+                crossing.add(key)
+            want[key].append(row)
+        watermark = max([watermark or 0, *(row[0] - retention for row in rows)])
+    panes.add(spark.createDataFrame([(t0 + 10_000_000, 9, 9, "i0", 1, 1.0, "x")], schema).withColumn("ts", F.timestamp_millis("transaction_date")), 6)
+    got = {(x.item_type, x.item_name, x.pane): (x.cnt, x.amt, x.first_price)
+           for x in spark.read.parquet(f"{tmp_path}/panes").where("open = 0").collect()}
+    assert late > 10 and len(crossing) > 3
+    assert got == {k: (sum(x[4] for x in v), sum(x[4] * x[5] for x in v), min(v)[5]) for k, v in want.items()}
+    closed.finish()
+    starts = {s for x in closed.segments().collect() for s in range(x.seg, x.seg_end)}
+    assert starts == {s for _, _, pane in got for s in range(pane - 719, pane + 1)}

@@ -5,6 +5,7 @@ Each returns the final result table, which equals its batch twin."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -404,69 +405,113 @@ def stream_due_messages(spark: SparkSession, sf_dir: str, order_col: str = "time
 def stream_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TW3 + ST7: hourly top-10 items per type on a 5 s hop, incrementally.
 
-    Stage 1 is a streaming event-time aggregation to 5 s panes per
-    (type, item) — JVM state, bounded by the open panes — in append mode,
-    so each pane is emitted once, when the watermark (1 day retention) has
-    passed it.  In ``foreachBatch`` the closed panes are appended to a pane
-    table and exactly the windows that closed in this batch — end in
-    (previous frontier, new frontier], where the frontier is the newest
-    emitted pane end — are ranked from the pane table by the batch
-    algorithm.  Batch outputs are ranked segments of window starts, written
-    under ``batch=<id>`` (idempotent on retry) and expanded to windows by
-    the reader.  A closing record, whose event time is that of the staged
-    column, pushes the watermark past the last pane; the windows that end
-    after the last pane are ranked when the topic ends.  An empty topic gives
-    no rows."""
+    Stage 1 adds the stream up to 5 s panes per (type, item) by event time
+    (:class:`OpenPanes`): each pane closes once, when the watermark (1 day
+    retention) has passed it; the open ones lie in a table, not in the
+    memory of the executors.  Exactly the windows that closed in this batch —
+    end in (previous frontier, new frontier], where the frontier is the first
+    pane that may still be open — are ranked from the table of closed panes by
+    the batch algorithm (:class:`ClosedPanes`).  Batch outputs are ranked
+    segments of window starts, written under ``batch=<id>`` (idempotent on
+    retry) and expanded to windows by the reader.  A closing record, whose
+    event time is that of the staged column, pushes the watermark past the
+    last pane; windows that end behind it are ranked when the topic ends.  An
+    empty topic gives no rows."""
     from topicflow.schemas import TOP_ITEMS_ADVANCE_MS as ADV, TOP_ITEMS_WINDOW_MS as SIZE
 
     orders = _orders(spark, sf_dir)
     users, items = driver.users(spark, sf_dir), driver.items(spark, sf_dir)
     root = scratch_path(spark, "stream-top-items")
-    L = SIZE // ADV
-
-    def build(s):
-        s = s.withWatermark("ts", DEFAULT_RETENTION)
-        p = purchases.adult_purchases(without_end(s), users, items)
-        first_key = F.struct(*[F.col(c) for c in purchases.ARRIVAL])
-        return (p.groupBy(F.window("ts", f"{ADV} milliseconds").alias("w"), "item_type", "item_name")
-                .agg(F.sum("quantity").cast("long").alias("cnt"),
-                     F.sum(F.col("quantity") * F.col("item_price")).alias("amt"),
-                     F.min_by("item_price", first_key).alias("first_price"))
-                .select("item_type", "item_name",
-                        (F.unix_millis(F.col("w.start")) / ADV).cast("long").alias("pane"),
-                        "cnt", "amt", "first_price"))
-
-    closed = ClosedPanes(spark, root, L)
+    closed = ClosedPanes(spark, root, SIZE // ADV)
+    panes = OpenPanes(closed, lambda s: purchases.adult_purchases(without_end(s), users, items), ADV)
     run_bounded(spark, "top-items", orders.withColumn("ts", F.timestamp_millis("transaction_date")), "ts",
-                build, root=root, foreach=closed.add, close_after=CLOSE_AFTER)
+                lambda s: s, root=root, foreach=panes.add, close_after=CLOSE_AFTER, stateful=False)
     closed.finish()
     return purchases.windows_of_segments(closed.segments(), SIZE, ADV, money_digits=2)
 
 
+class OpenPanes:
+    """TW3 + ST3: a stream of records with the event time ``ts``, whose
+    purchases (``purchases_of``) are added up to panes of ``advance_ms`` per
+    (type, item).
+
+    The purchases of a micro-batch and the totals of the panes still open are
+    one aggregate, which tasks may spill, and its result is stored: what is
+    open, or comes in one batch, may be larger than the executors' memory.
+    Panes that end at or before the watermark — the newest event time of all
+    batches less ``retention_ms`` — are closed.  Purchases of panes that an
+    earlier batch closed are late and dropped, as are those without a time."""
+
+    def __init__(self, closed: ClosedPanes, purchases_of: Callable[[DataFrame], DataFrame], advance_ms: int,
+                 retention_ms: int = 86_400_000):
+        self.closed, self.purchases_of, self.advance, self.retention = closed, purchases_of, advance_ms, retention_ms
+        self.watermark = Frontier(closed.spark, f"{closed.root}/watermark")
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch of records."""
+        newest, before = batch.agg(F.max(F.unix_millis("ts"))).first()[0], self.watermark.get(batch_id)
+        times = [t for t in (before, None if newest is None else newest - self.retention) if t is not None]
+        if not times:
+            return
+        late = -(1 << 62) if before is None else before // self.advance     # panes below are closed
+        new = (self.purchases_of(batch).withColumn("pane", F.floor(F.unix_millis("ts") / self.advance).cast("long"))
+               .where(F.col("pane") >= F.lit(late))
+               .select("item_type", "item_name", "pane", F.col("quantity").cast("long").alias("cnt"),
+                       (F.col("quantity") * F.col("item_price")).alias("amt"),
+                       F.struct(*purchases.ARRIVAL, "item_price").alias("first")))
+        totals = (new.unionByName(self.closed.still_open(new.schema, batch_id)).groupBy("item_type", "item_name", "pane")
+                  .agg(F.sum("cnt").alias("cnt"), F.sum("amt").alias("amt"), F.min("first").alias("first")))
+        frontier = max(times) // self.advance
+        totals = totals.withColumns({"first_price": F.col("first.item_price"),
+                                     "first": F.when(F.col("pane") >= F.lit(frontier), F.col("first"))})  # of open panes only
+        self.closed.add(totals, batch_id, frontier)
+        self.watermark.put(batch_id, max(times))
+
+
 class ClosedPanes:
     """ST7: the table of closed panes of a stream and the ranked segments of
     the windows (``length`` panes long) that they close.
 
-    ``add`` takes the panes that a micro-batch closed; ``finish`` ranks the
-    windows that still reach behind the last pane."""
+    ``add`` takes the pane totals of a micro-batch; ``finish`` ranks the
+    windows that still reach behind the last closed pane.  Totals of panes
+    still open lie beside the closed ones and are not ranked; the next batch
+    takes them (``still_open``) and gives them back."""
+
+    PANES = "item_type string, item_name string, pane long, cnt long, amt double, first_price double"
 
     def __init__(self, spark: SparkSession, root: str, length: int):
         self.spark, self.root, self.length = spark, root, length
-        self.frontier = Frontier(spark, f"{root}/frontier")     # behind the newest closed pane
+        self.frontier = Frontier(spark, f"{root}/frontier")     # the first pane that may still be open
 
-    def add(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        new = batch.agg(F.max("pane")).first()[0]
-        if new is not None:
-            # sorted by pane, so the pane-range filter of later batches skips
-            # row groups by their min/max statistics
-            batch.sortWithinPartitions("pane").write.mode("overwrite").parquet(f"{self.root}/panes/batch={batch_id}")
-            before = self.frontier.get(batch_id) or 0
-            frontier = max(before, new + 1)      # all panes below it are closed
-            self.frontier.put(batch_id, frontier)
-            L = self.length
-            self._rank(max(before - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (before, frontier]
-        batch.unpersist()
+    def _panes(self, schema: T.StructType) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("open", T.IntegerType())])
+        return self.spark.read.schema(stored).parquet(f"{self.root}/panes")
+
+    def still_open(self, schema: T.StructType, before: int) -> DataFrame:
+        """The open panes as the last batch below ``before`` left them."""
+        last = self.frontier.last(before)
+        if last is None:
+            return self.spark.createDataFrame([], schema)
+        return self._panes(schema).where((F.col("batch") == last) & (F.col("open") == 1)).select(*schema.names)
+
+    def add(self, batch: DataFrame, batch_id: int, frontier: int | None = None) -> None:
+        """Pane totals of a micro-batch, one row per pane and (type, item);
+        those from ``frontier`` on are still open (None: all are closed)."""
+        is_open = F.lit(0) if frontier is None else (F.col("pane") >= F.lit(frontier)).cast("int")
+        # sorted by pane, so the pane-range filter of later batches skips
+        # row groups by their min/max statistics
+        (batch.withColumn("open", is_open).sortWithinPartitions("open", "pane")
+         .write.mode("overwrite").partitionBy("open").parquet(f"{self.root}/panes/batch={batch_id}"))
+        if frontier is None:
+            newest = self._panes(_schema(self.PANES)).where(F.col("batch") == batch_id).agg(F.max("pane")).first()[0]
+            if newest is None:
+                return
+            frontier = newest + 1
+        before = self.frontier.get(batch_id) or 0
+        frontier = max(before, frontier)     # all panes below it are closed
+        self.frontier.put(batch_id, frontier)
+        L = self.length
+        self._rank(max(before - L + 1, 0), frontier - L + 1, frontier, batch_id)   # window ends in (before, frontier]
 
     def finish(self) -> None:
         """The topic has ended: the windows that start before its last pane's end."""
@@ -478,7 +523,8 @@ class ClosedPanes:
         """Segments of the window starts in [lo, hi), from panes below ``end``."""
         if hi <= lo:
             return
-        panes = self.spark.read.parquet(f"{self.root}/panes").where((F.col("pane") >= lo) & (F.col("pane") < end)).drop("batch")
+        panes = (self._panes(_schema(self.PANES)).where((F.col("open") == 0) & (F.col("pane") >= lo) & (F.col("pane") < end))
+                 .drop("batch", "open"))
         top = purchases.ranked_segments(panes)
         (top.withColumns({"seg": F.greatest("seg", F.lit(lo)), "seg_end": F.least("seg_end", F.lit(hi))})
          .where("seg < seg_end").write.mode("overwrite").parquet(f"{self.root}/segments/batch={batch_id}"))

@@ -89,12 +89,14 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
                 build: Callable[[DataFrame], DataFrame], mode: str = "append",
                 key: str | None = None, n_chunks: int = 2,
                 close_after: datetime.timedelta | None = None, root: str | None = None,
-                foreach: Callable[[DataFrame, int], None] | None = None) -> str:
+                foreach: Callable[[DataFrame, int], None] | None = None, stateful: bool = True) -> str:
     """Stage ``source`` chunk by chunk, run ``build(stream)`` after each, and
     return the output path (see module doc).  ``key`` is the result's key
     for ``mode='update'``; ``foreach`` takes each micro-batch of an append
-    query instead of the file sink."""
+    query instead of the file sink.  A query without state store
+    (``stateful=False``) keeps the session's number of shuffle partitions."""
     root = root or scratch_path(spark, f"stream-{name}")
+    partitions = state_partitions if stateful else contextlib.nullcontext
     inp, ckpt, out = f"{root}/input", f"{root}/checkpoint", f"{root}/output"
     lo, hi = _bounds(source, order_col)
     if close_after is not None:
@@ -123,13 +125,13 @@ def run_bounded(spark: SparkSession, name: str, source: DataFrame, order_col: st
 
     for i in range(n_chunks):
         source.where(_chunk_filter(order_col, lo, hi, i, n_chunks)).write.mode("append").option("compression", "zstd").parquet(inp)
-        with state_partitions(spark):
+        with partitions(spark):
             run_once()
     if close_after is not None and hi is not None:
         last = {order_col: hi + close_after, END: True}
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
         spark.createDataFrame([tuple(last.get(f.name) for f in schema)], nullable).write.mode("append").parquet(inp)
-        with state_partitions(spark):
+        with partitions(spark):
             run_once()
     return out
 

@@ -222,6 +222,13 @@ class Frontier:
         return (self.spark.read.schema("frontier long, batch int").parquet(self.path).where(F.col("batch") < before)
                 .agg(F.max("frontier")).first()[0])
 
+    def last(self, before: int = LAST) -> int | None:
+        """The newest of the batches below ``before``."""
+        if not exists(self.spark, self.path):
+            return None
+        return (self.spark.read.schema("frontier long, batch int").parquet(self.path).where(F.col("batch") < before)
+                .agg(F.max("batch")).first()[0])
+
     def put(self, batch_id: int, value: int) -> None:
         (self.spark.createDataFrame([(value,)], "frontier long").coalesce(1).write.mode("overwrite")
          .parquet(f"{self.path}/batch={batch_id}"))
